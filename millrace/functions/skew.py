@@ -18,7 +18,7 @@ SALTS = 32
 def planned_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate (an upper estimate after filters); runs no job."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
