@@ -1 +1,72 @@
-"""placeholder"""
+"""The streaming jobs run over the given tables as streams, each to its end, then read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from millrace.plans import roles, sync  # noqa: F401
+from millrace.plans.registry import REGISTRY, query
+from millrace.session import fresh_dir
+from millrace.sources.tables import Tables
+from millrace.streaming import sync as S
+
+
+class StreamedTables(Tables):
+    """The same tables as file streams."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        still = Tables(self.spark, self.folder).__getattr__(name)
+        if name not in self._open:
+            # As a glob the path may be one file or a folder of files.
+            path = f"{self.folder}/{{{name}.parquet}}"
+            self._open[name] = self.spark.readStream.schema(still.schema).parquet(path)
+        return self._open[name]
+
+
+def _spec(t: Tables, label: str) -> S.SyncSpec:
+    columns = StructType(list(t.orders.schema.fields))
+    return S.SyncSpec(fresh_dir(t.spark, label), ("o_orderkey",), columns, policy=S.SNAPSHOT)
+
+
+@query("stream_sync", REGISTRY["current_from_history"].sql)
+def stream_sync(t: Tables) -> DataFrame:
+    spec = _spec(t, "sync")
+    S.start_sync(roles.order_history(StreamedTables(t.spark, t.folder)), spec).awaitTermination()
+    return S.mirror(t.spark, spec)
+
+
+@query("stream_history", f"WITH {roles.HISTORY_SQL} SELECT * FROM history")
+def stream_history(t: Tables) -> DataFrame:
+    spec = _spec(t, "history")
+    changes = roles.order_history(StreamedTables(t.spark, t.folder))
+    # The stream delivers every change twice, as after a source-side retry.
+    S.start_history(changes.unionByName(changes), spec).awaitTermination()
+    return S.history(t.spark, spec)
+
+
+@query("stream_rollup", """SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start, event_type,
+  count(*) AS n, round(sum(value), 2) AS total, max(value) AS peak FROM events GROUP BY 1, 2""")
+def stream_rollup(t: Tables) -> DataFrame:
+    root = fresh_dir(t.spark, "rollup")
+    events = StreamedTables(t.spark, t.folder).events.withColumn("ts", F.col("ts").cast("timestamp"))
+    S.start_rollup(events, "ts", "1 hour", ["event_type"], "value", root).awaitTermination()
+    table = S.rollup_table(t.spark, root, ["event_type"])
+    return table.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"),
+                              "total": F.round("total", 2)})
+
+
+@query("stream_sessions", """WITH s AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL
+    OR epoch_us(ts) - epoch_us(lag(ts) OVER w) >= 21600000000 THEN 1 ELSE 0 END AS fresh
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session_no FROM s),
+g AS (SELECT user_id, min(ts) AS started_at, max(ts) AS ended_at, count(*) AS n_events
+  FROM n GROUP BY user_id, session_no)
+SELECT * FROM g WHERE ended_at + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def stream_sessions(t: Tables) -> DataFrame:
+    root = fresh_dir(t.spark, "sessions")
+    events = StreamedTables(t.spark, t.folder).events.withColumn("ts", F.col("ts").cast("timestamp"))
+    S.start_sessions(events, "user_id", "ts", "6 hours", root).awaitTermination()
+    closed = t.spark.read.parquet(f"{root}/sessions")
+    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at", "ended_at")})
