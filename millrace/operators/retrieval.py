@@ -52,27 +52,24 @@ def scan_against(corpus: DataFrame, corpus_id: str, questions: DataFrame, questi
 
     blocks = -(-questions.count() // bound)
     slabs = max(1, -(-corpus.count() // slab_rows))
+    zero = F.lit(0).cast("long")
     q = (questions.withColumn("_block", F.pmod(F.xxhash64(question_id), F.lit(blocks)))
-         .withColumn("_slab", F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).cast("long")))
+         .withColumn("_slab", F.explode(F.sequence(zero, zero + (slabs - 1)))))
     c = (corpus.withColumn("_slab", F.pmod(F.xxhash64(corpus_id), F.lit(slabs)))
-         .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long")))
+         .withColumn("_block", F.explode(F.sequence(zero, zero + (blocks - 1)))))
     q_columns, c_columns = questions.columns, corpus.columns
 
-    def pair(q_part: pa.Table, c_part: pa.Table) -> pa.Table:
-        out = list(prepare(q_part.select(q_columns))(c_part.select(c_columns).to_batches()))
-        return pa.Table.from_batches(out) if out else None
-
-    empty = pa.schema([(f.split()[0], {"long": pa.int64(), "double": pa.float64()}[f.split()[1]])
-                       for f in schema.split(", ")])
+    empty = pa.schema([(name, {"long": pa.int64(), "double": pa.float64()}[kind])
+                       for name, kind in (field.split() for field in schema.split(", "))]).empty_table()
 
-    def guarded(q_part: pa.Table, c_part: pa.Table) -> pa.Table:
+    def pair(q_part: pa.Table, c_part: pa.Table) -> pa.Table:
         if not q_part.num_rows or not c_part.num_rows:
-            return empty.empty_table()
-        found = pair(q_part, c_part)
-        return empty.empty_table() if found is None else found.cast(empty)
+            return empty
+        out = list(prepare(q_part.select(q_columns))(c_part.select(c_columns).to_batches()))
+        return pa.Table.from_batches(out).cast(empty.schema) if out else empty
 
     keys = ("_slab", "_block")
-    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(guarded, schema)
+    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(pair, schema)
 
 
 # --- vectors --------------------------------------------------------------------------------

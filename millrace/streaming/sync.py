@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import (DataType, DateType, IntegerType, StringType, StructType,
+from pyspark.sql.types import (DataType, IntegerType, StringType, StructType,
                                TimestampNTZType)
 
 from millrace.operators.cdc import CHANGE_TYPE, COMMIT_TS
@@ -115,22 +115,23 @@ def compact(spark: SparkSession, spec: SyncSpec) -> str:
 def start_history(changes: DataFrame, spec: SyncSpec) -> StreamingQuery:
     """Append every change to a history once per (key, commit), however late it comes.
 
-    The history is partitioned by commit day. A batch is compared with the days it touches
-    only, and no watermark can discard a late change.
+    Files are sorted by commit time and a batch is compared with the commit range it covers, so
+    file statistics skip the rest of the history; no watermark can discard a late change.
     """
     _check_columns(spec, changes)
+    identity = [*spec.keys, spec.seq]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        dated = batch.withColumn("commit_day", F.to_date(F.col(spec.seq)))
-        bounds = dated.agg(F.min("commit_day").alias("lo"), F.max("commit_day").alias("hi")).first()
-        fresh = dated.dropDuplicates([*spec.keys, spec.seq])
-        if batch_id > 0 and bounds["lo"] is not None and _has_rows(spark, spec.changes):
-            known = (_read_history(spark, spec)
-                     .filter((F.col("batch") != batch_id) & F.col("commit_day").between(*bounds)))
-            seen = known.select(*spec.keys, spec.seq)
-            fresh = fresh.join(seen, [*spec.keys, spec.seq], "left_anti")
-        fresh.write.mode("overwrite").partitionBy("commit_day").parquet(f"{spec.changes}/batch={batch_id}")
+        fresh = batch.dropDuplicates(identity)
+        if _has_rows(spark, spec.changes):
+            low, high = batch.agg(F.min(spec.seq), F.max(spec.seq)).first()
+            if low is not None:
+                known = _read_history(spark, spec).filter(
+                    (F.col("batch") != batch_id) & F.col(spec.seq).between(F.lit(low), F.lit(high)))
+                fresh = fresh.join(known.select(*identity), identity, "left_anti")
+        (fresh.sortWithinPartitions(spec.seq).write.mode("overwrite")
+         .parquet(f"{spec.changes}/batch={batch_id}"))
 
     return (changes.writeStream.foreachBatch(write).trigger(**spec.trigger())
             .option("checkpointLocation", spec.checkpoint).start())
@@ -144,8 +145,7 @@ def _has_rows(spark: SparkSession, path: str) -> bool:
 def _read_history(spark: SparkSession, spec: SyncSpec) -> DataFrame:
     # Declared, not inferred: a history of empty batches has no file to infer from.
     extra = StructType(list(spec.columns.fields))
-    for name, kind in ((CHANGE_TYPE, StringType()), (spec.seq, spec.seq_type), ("batch", IntegerType()),
-                       ("commit_day", DateType())):
+    for name, kind in ((CHANGE_TYPE, StringType()), (spec.seq, spec.seq_type), ("batch", IntegerType())):
         if name not in extra.names:
             extra = extra.add(name, kind)
     return spark.read.schema(extra).option("basePath", spec.changes).parquet(spec.changes)
@@ -153,7 +153,7 @@ def _read_history(spark: SparkSession, spec: SyncSpec) -> DataFrame:
 
 def history(spark: SparkSession, spec: SyncSpec) -> DataFrame:
     """The appended history."""
-    return _read_history(spark, spec).drop("batch", "commit_day")
+    return _read_history(spark, spec).drop("batch")
 
 
 def start_rollup(events: DataFrame, ts: str, width: str, keys: Sequence[str], value: str, root: str,
