@@ -70,3 +70,12 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: s
                     F.lit(0), F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0)))))
                 .drop("_hot"))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a scan that has too few splits for expensive per-row work.
+
+    Where the input already has about as many splits as there are cores, nothing moves.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores, key)

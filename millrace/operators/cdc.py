@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.skew import key_set, lookup_join
+from millrace.functions.skew import BROADCAST_LIMIT, key_set, lookup_join, planned_bytes
 from millrace.operators.keyed import latest_per_key, positions
 
 CHANGE_TYPE = "_change_type"
@@ -68,8 +68,15 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], seq: str,
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
-                  seq: str = COMMIT_TS, tie: Sequence[str | Column] = ()) -> DataFrame:
-    """Fold a change log into a table: deletes remove, other changes replace or insert."""
+                  seq: str = COMMIT_TS, tie: Sequence[str | Column] = (),
+                  limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Fold a change log into a table: deletes remove, other changes replace or insert.
+
+    A small log is matched by its keys, so the target stays where it is. A large one is stacked
+    on the target and both are reduced to one row per key in a single shuffle.
+    """
+    if planned_bytes(changes) > limit:
+        return _fold(target, F.lit(None), changes, keys, seq, tie, [F.col("_base").asc()], [])
     last = latest_changes(changes, keys, seq, tie)
     kept = target.join(key_set(last, keys), list(keys), "left_anti")
     live = last.filter(F.col(CHANGE_TYPE) != "delete")
@@ -77,15 +84,31 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
 
 
 def apply_changes_ordered(target: DataFrame, changes: DataFrame, keys: Sequence[str],
-                          target_seq: str, seq: str = COMMIT_TS,
-                          tie: Sequence[str | Column] = ()) -> DataFrame:
-    """Like :func:`apply_changes`, but a change older than the stored row is ignored."""
+                          target_seq: str, seq: str = COMMIT_TS, tie: Sequence[str | Column] = (),
+                          limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Like :func:`apply_changes`, but a change older than the stored row is ignored. A missing
+    sequence value is older than any other."""
+    if planned_bytes(changes) > limit:
+        return _fold(target, F.col(target_seq), changes, keys, seq, tie, [], [F.col("_base").asc()])
     last = latest_changes(changes, keys, seq, tie)
     stored = target.select(*keys, F.col(target_seq).alias("_stored"))
+    older = (F.col("_incoming") < F.col("_stored")) | (F.col("_incoming").isNull() & F.col("_stored").isNotNull())
     stale = (last.select(*keys, F.col(seq).alias("_incoming")).join(stored, list(keys))
-             .filter(F.col("_incoming") < F.col("_stored")).select(*keys))
+             .filter(older).select(*keys))
     fresh = last.join(stale, list(keys), "left_anti")
-    return apply_changes(target, fresh, keys, seq)
+    return apply_changes(target, fresh, keys, seq, limit=limit)
+
+
+def _fold(target: DataFrame, target_seq: Column, changes: DataFrame, keys: Sequence[str], seq: str,
+          tie: Sequence[str | Column], before: Sequence[Column], after: Sequence[Column]) -> DataFrame:
+    kind = changes.schema[seq].dataType
+    extra = [F.col(c) for c in tie if isinstance(c, str) and c not in target.columns]
+    base = target.withColumns({CHANGE_TYPE: F.lit("insert"), "_seq": target_seq.cast(kind), "_base": F.lit(True)})
+    log = changes.select(*target.columns, CHANGE_TYPE, F.col(seq).alias("_seq"), F.lit(False).alias("_base"), *extra)
+    rows = base.unionByName(log, allowMissingColumns=True)
+    order = [*before, F.col("_seq").desc_nulls_last(), *after, *tie]
+    return (latest_per_key(rows, keys, order).filter(F.col(CHANGE_TYPE) != "delete")
+            .select(*target.columns))
 
 
 def current_from_history(history: DataFrame, keys: Sequence[str], columns: Sequence[str],

@@ -25,6 +25,8 @@ from millrace.operators.keyed import last_n_per_key
 QUESTION_BOUND = 4096
 #: Rows of corpus per task when the question table exceeds the bound.
 SLAB_ROWS = 50_000
+#: Most distinct question lexemes sent to every task.
+TERM_BOUND = 200_000
 #: Decimals at which two scores count as equal (equal scores are ordered by id).
 SCORE_DIGITS = 9
 
@@ -271,6 +273,18 @@ def postings(docs: DataFrame, doc_id: str, tokens: str = "tokens") -> DataFrame:
             .groupBy("term", doc_id).agg(F.count(F.lit(1)).alias("tf")))
 
 
+def _sizes(tokens: pa.Array) -> np.ndarray:
+    return np.nan_to_num(tokens.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+
+
+def _occurrences(tokens: pa.Array, sizes: np.ndarray, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row number and vocabulary place of every token that is in the vocabulary."""
+    place = pc.fill_null(pc.index_in(tokens.flatten(), value_set=vocabulary), -1)
+    place = place.to_numpy(zero_copy_only=False).astype(np.int64)
+    known = place >= 0
+    return np.repeat(np.arange(len(sizes)), sizes)[known], place[known]
+
+
 def _term_scan(k: int | None, mode: str, scoring: str, k1: float, b: float, mean_length: float,
                digits: int, names: tuple[str, str, str]):
     def prepare(questions: pa.Table) -> Scan:
@@ -311,15 +325,10 @@ def _term_scan(k: int | None, mode: str, scoring: str, k1: float, b: float, mean
                     [out.column(0), out.column(1), pc.negate(out.column(2))], names=list(names))
 
         def match(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            tokens = batch.column(1)
-            lengths = np.nan_to_num(
-                tokens.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-            found = pc.fill_null(pc.index_in(tokens.flatten(), value_set=vocabulary), -1)
-            found = found.to_numpy(zero_copy_only=False).astype(np.int64)
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            known = found >= 0
+            lengths = _sizes(batch.column(1))
+            owner, code = _occurrences(batch.column(1), lengths, vocabulary)
             size = max(len(vocabulary), 1)
-            cell, tf = np.unique(owner[known] * size + found[known], return_counts=True)
+            cell, tf = np.unique(owner * size + code, return_counts=True)
             row, term = cell // size, cell % size
             if scoring == "bm25":
                 norm = k1 * (1.0 - b + b * lengths[row] / mean_length)
@@ -379,21 +388,54 @@ def keyword_match(questions: DataFrame, docs: DataFrame, question_id: str = "que
     return _ranked(found, question_id, doc_id, "score", k, rank_as, descending=True)
 
 
-def bm25(questions: DataFrame, docs: DataFrame, k: int, question_id: str = "query_id",
-         doc_id: str = "doc_id", tokens: str = "tokens", k1: float = 1.2, b: float = 0.75,
-         mode: str = "any", rank_as: str = "rank", bound: int = QUESTION_BOUND,
-         slab_rows: int = SLAB_ROWS) -> DataFrame:
-    """Exact BM25 top ``k`` per question.
+def corpus_statistics(docs: DataFrame, terms: DataFrame, tokens: str = "tokens",
+                      bound: int = TERM_BOUND) -> tuple[int, float, DataFrame]:
+    """Number of documents, their mean length, and (term, df) for the listed terms.
 
-    One pass counts documents, their mean length and how many hold each question lexeme; a
-    second scores. Only question lexemes are counted, and they are combined before the shuffle.
+    Up to ``bound`` terms are broadcast and one scan gives all three, combined before the
+    shuffle. More terms are matched by a join on the exploded documents.
     """
+    listed = terms.limit(bound + 1).toArrow().column(0).combine_chunks()
+    if len(listed) <= bound:
+        shared = docs.sparkSession.sparkContext.broadcast(listed)
+
+        def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            vocabulary = shared.value
+            size = max(len(vocabulary), 1)
+            seen = np.zeros(size, dtype=np.int64)
+            rows = length = 0
+            for batch in batches:
+                sizes = _sizes(batch.column(0))
+                owner, code = _occurrences(batch.column(0), sizes, vocabulary)
+                seen += np.bincount(np.unique(owner * size + code) % size, minlength=size)
+                rows, length = rows + len(sizes), length + int(sizes.sum())
+            hit = np.flatnonzero(seen)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([[-1, -2], hit]), pa.int64()),
+                 pa.array(np.concatenate([[rows, length], seen[hit]]), pa.int64())], names=["code", "n"])
+
+        totals = docs.select(tokens).mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n"))
+        found = dict(tuple(r) for r in totals.collect())  # at most bound + 2 rows
+        total, length = found.pop(-1, 0), found.pop(-2, 0)
+        words = listed.to_pylist()
+        frequency = docs.sparkSession.createDataFrame(
+            [(words[code], n) for code, n in found.items()], "term string, df long")
+        return total, length / total if total else 0.0, frequency
+
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tokens)).alias("mean")).first()
-    total, mean = size["n"], float(size["mean"] or 0.0) or 1.0
-    vocabulary = settle(questions.select(F.explode("terms").alias("term")).distinct())
     seen = docs.select(F.explode(F.array_distinct(tokens)).alias("term"))
-    frequency = (lookup_join(seen, vocabulary, ["term"], "left_semi")
+    frequency = (lookup_join(seen, settle(terms), ["term"], "left_semi")
                  .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    return size["n"], float(size["mean"] or 0.0), frequency
+
+
+def bm25(questions: DataFrame, docs: DataFrame, k: int, question_id: str = "query_id",
+         doc_id: str = "doc_id", tokens: str = "tokens", k1: float = 1.2, b: float = 0.75,
+         mode: str = "any", rank_as: str = "rank", bound: int = QUESTION_BOUND,
+         slab_rows: int = SLAB_ROWS, term_bound: int = TERM_BOUND) -> DataFrame:
+    """Exact BM25 top ``k`` per question: one scan for the corpus statistics, one to score."""
+    vocabulary = questions.select(F.explode("terms").alias("term")).distinct()
+    total, mean, frequency = corpus_statistics(docs, vocabulary, tokens, term_bound)
     idf = F.log(F.lit(1.0) + (F.lit(float(total)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = (questions.select(question_id, F.explode("terms").alias("term"))
                 .join(frequency, "term", "left")
@@ -405,7 +447,7 @@ def bm25(questions: DataFrame, docs: DataFrame, k: int, question_id: str = "quer
     names = (question_id, doc_id, "score")
     found = scan_against(docs.select(F.col(doc_id).cast("long").alias(doc_id), tokens), doc_id,
                          weighted, question_id,
-                         _term_scan(k, mode, "bm25", k1, b, mean, SCORE_DIGITS, names),
+                         _term_scan(k, mode, "bm25", k1, b, mean or 1.0, SCORE_DIGITS, names),
                          f"{question_id} long, {doc_id} long, score double", bound, slab_rows)
     return _ranked(found, question_id, doc_id, "score", k, rank_as, descending=True)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.skew import key_set
-from millrace.functions.text import chunks
+from millrace.functions.skew import key_set, spread
+from millrace.functions.text import chunks, lexemes
 from millrace.functions.vectors import distance
 from millrace.operators import retrieval as R
 from millrace.operators.security import assigned_rows
@@ -39,7 +39,7 @@ SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS chunk
   CAST(length(chunk) AS BIGINT) AS n_chars, md5(chunk) AS digest
 FROM c WHERE regexp_matches(chunk, '\S')""")
 def chunk_documents(t: Tables) -> DataFrame:
-    return (t.documents.select("doc_id", F.posexplode(chunks("text")).alias("chunk_index", "chunk"))
+    return (spread(t.documents.select("doc_id", "text"), "doc_id").select("doc_id", F.posexplode(chunks("text")).alias("chunk_index", "chunk"))
             .select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"),
                     F.length("chunk").cast("long").alias("n_chars"), F.md5("chunk").alias("digest")))
 
@@ -164,7 +164,7 @@ def rrf_join(t: Tables) -> DataFrame:
 
 @query("rrf_filtered", _rrf_join_sql("lang = 'en' AND n_chars >= 200", 50, 10))
 def rrf_filtered(t: Tables) -> DataFrame:
-    docs = roles.doc_tokens(t).filter((F.col("lang") == "en") & (F.col("n_chars") >= 200))
+    docs = roles.with_tokens(t.documents.filter((F.col("lang") == "en") & (F.col("n_chars") >= 200)))
     return _hybrid(t, docs, 50, 10)
 
 
@@ -183,9 +183,8 @@ def hybrid_secured(t: Tables) -> DataFrame:
     assigned = (t.documents.select("doc_id", "source").join(toxic, "doc_id", "left_semi")
                 .select(F.lit("reviewer").alias("principal"), "source").distinct())
     good = t.labels.filter(F.col("quality") == 1)
-    docs = t.documents.filter((F.col("lang") == "en") & (F.col("n_chars") >= 200))
+    docs = spread(t.documents.filter((F.col("lang") == "en") & (F.col("n_chars") >= 200)), "doc_id")
     docs = assigned_rows(docs, assigned, "reviewer", ["source"]).join(key_set(good, ["doc_id"]), "doc_id", "left_semi")
-    from millrace.functions.text import lexemes
     return _hybrid(t, docs.withColumn("tokens", lexemes("text", F.col("lang"))), 50, 10)
 
 

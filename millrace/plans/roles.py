@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.skew import spread
 from millrace.functions.text import lexemes
 from millrace.functions.timing import stamp
 from millrace.operators import retrieval as R
@@ -145,7 +146,11 @@ def vectors(t: Tables) -> DataFrame:
 
 def doc_tokens(t: Tables) -> DataFrame:
     """Documents with their lexemes, language by language."""
-    return t.documents.withColumn("tokens", lexemes("text", F.col("lang")))
+    return with_tokens(t.documents)
+
+
+def with_tokens(docs: DataFrame) -> DataFrame:
+    return spread(docs, "doc_id").withColumn("tokens", lexemes("text", F.col("lang")))
 
 
 def questions(t: Tables) -> DataFrame:
@@ -159,7 +164,7 @@ def question_words(t: Tables) -> DataFrame:
 
 
 def doc_vectors(t: Tables, where: Column | None = None) -> DataFrame:
-    docs = doc_tokens(t) if where is None else doc_tokens(t).filter(where)
+    docs = doc_tokens(t) if where is None else with_tokens(t.documents.filter(where))
     return R.embed_hashed(docs, "doc_id", F.col("tokens"))
 
 

@@ -41,22 +41,26 @@ def test_insert_ignore_takes_first_per_key_and_needs_keys(spark, people):
         cdc.insert_ignore(people, source, [], ["score"])
 
 
-def test_several_changes_per_key_use_the_last(spark, people):
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_several_changes_per_key_use_the_last(spark, people, limit):
     changes = spark.createDataFrame([
         (1, "x", 1.0, "update", at(1)), (1, "y", 2.0, "delete", at(2)),
         (9, "n", 5.0, "insert", at(1)), (9, "n2", 6.0, "update", at(3)),
         (8, "gone", 1.0, "insert", at(1)), (8, "gone", 1.0, "delete", at(2))], CHANGES)
-    assert rows(cdc.apply_changes(people, changes, ["id"])) == [
+    assert rows(cdc.apply_changes(people, changes, ["id"], limit=limit)) == [
         (2, "bo", None), (3, None, 0.3), (9, "n2", 6.0)]
 
 
-def test_older_change_is_ignored(spark):
-    target = spark.createDataFrame([(1, "new", at(10)), (2, "old", at(0))], "id long, name string, seen timestamp_ntz")
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_older_change_is_ignored(spark, limit):
+    target = spark.createDataFrame([(1, "new", at(10)), (2, "old", at(0)), (3, "same", at(5)), (4, "keep", at(1))], "id long, name string, seen timestamp_ntz")
     changes = spark.createDataFrame(
-        [(1, "late", at(5), "update", at(5)), (2, "fresh", at(5), "update", at(5))],
+        [(1, "late", at(5), "update", at(5)), (2, "fresh", at(5), "update", at(5)), (3, "tie", at(5), "update", at(5)),
+         (4, "none", None, "delete", None), (6, "add", None, "insert", None)],
         "id long, name string, seen timestamp_ntz, _change_type string, _commit_timestamp timestamp_ntz")
-    out = cdc.apply_changes_ordered(target, changes, ["id"], "seen")
-    assert rows(out) == [(1, "new", at(10)), (2, "fresh", at(5))]
+    out = cdc.apply_changes_ordered(target, changes, ["id"], "seen", limit=limit)
+    assert rows(out) == [(1, "new", at(10)), (2, "fresh", at(5)), (3, "tie", at(5)), (4, "keep", at(1)),
+                         (6, "add", None)]
 
 
 TABLE = st.dictionaries(st.integers(1, 6), st.tuples(st.sampled_from(["a", "b", None]),

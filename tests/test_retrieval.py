@@ -134,6 +134,7 @@ def test_bm25_equals_formula_and_both_ways_agree(spark, library, wanted):
     out = R.bm25(wanted, library, 7)
     assert rows(out.select("query_id", "doc_id", "rank")) == sorted(expected, key=str)
     assert rows(R.bm25(wanted, library, 7, bound=2, slab_rows=40)) == rows(out)
+    assert rows(R.bm25(wanted, library, 7, term_bound=1)) == rows(out)
 
 
 def test_postings(spark, library):
