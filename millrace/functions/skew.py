@@ -59,7 +59,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: s
     keys = list(keys)
     if planned_bytes(lookup) <= limit:
         return facts.join(F.broadcast(lookup), keys, how)
-    hot = hot_keys(facts, keys, share).withColumn("_hot", F.lit(True))
+    # At most 1/share rows, so the broadcasts below are bounded.
+    hot = settle(hot_keys(facts, keys, share)).withColumn("_hot", F.lit(True))
     row_hash = F.xxhash64(*facts.columns)
     salted = (facts.join(F.broadcast(hot), keys, "left")
               .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts)))

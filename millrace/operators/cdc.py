@@ -127,7 +127,7 @@ def as_of(history: DataFrame, keys: Sequence[str], columns: Sequence[str], at: C
 def change_history(history: DataFrame, key_list: DataFrame, keys: Sequence[str],
                    seq: str = COMMIT_TS) -> DataFrame:
     """All changes of the listed keys in commit order."""
-    wanted = history.join(key_set(key_list, keys), list(keys), "left_semi")
+    wanted = lookup_join(history, key_set(key_list, keys), keys, "left_semi")
     return wanted.orderBy(seq, *keys)
 
 
@@ -235,7 +235,7 @@ def delete_cascade(parents: DataFrame, condition: Column, key: str,
                    cascading: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Delete parents and, in the named children, the rows that refer to them."""
     gone = key_set(parents.filter(condition), [key])
-    children = {name: child.join(gone, [key], "left_anti") for name, child in cascading.items()}
+    children = {name: lookup_join(child, gone, [key], "left_anti") for name, child in cascading.items()}
     return delete_where(parents, condition), children
 
 
@@ -243,12 +243,15 @@ def delete_cascade(parents: DataFrame, condition: Column, key: str,
 
 def restore_rows(current: DataFrame, past: DataFrame, keys: Sequence[str],
                  damaged: Column) -> DataFrame:
-    """Copy rows back from a past state: damaged rows are replaced, lost rows return."""
-    broken = key_set(current.filter(damaged), keys)
-    repaired = past.join(broken, list(keys), "left_semi")
-    lost = past.join(key_set(current, keys), list(keys), "left_anti")
-    untouched = current.join(key_set(repaired, keys), list(keys), "left_anti")
-    return untouched.unionByName(repaired).unionByName(lost)
+    """Copy rows back from a past state: damaged rows are replaced, lost rows return.
+
+    One join of the two states; a damaged row without a past stays as it is.
+    """
+    flagged = current.withColumn("_damaged", F.coalesce(damaged, F.lit(False)))
+    both = _side_by_side(flagged, past, keys)
+    from_past = F.col("a").isNull() | (F.col("a._damaged") & F.col("b").isNotNull())
+    return both.select(*[F.when(from_past, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(c)
+                         for c in current.columns])
 
 
 def overlay(base: DataFrame, branch_changes: DataFrame, keys: Sequence[str],
@@ -287,12 +290,12 @@ def reconcile_versions(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataF
 
 def take_statuses(compared: DataFrame, columns: Sequence[str], from_a: Sequence[str],
                   from_b: Sequence[str]) -> DataFrame:
-    """Rows chosen from a comparison, each status naming the version it is taken from."""
-    a = compared.filter(F.col("status").isin(list(from_a))).select(
-        *[F.col(f"a.{c}").alias(c) for c in columns])
-    b = compared.filter(F.col("status").isin(list(from_b))).select(
-        *[F.col(f"b.{c}").alias(c) for c in columns])
-    return a.unionByName(b)
+    """Rows chosen from a comparison, each status naming the one version it is taken from."""
+    if set(from_a) & set(from_b):
+        raise ValueError("a status can be taken from one version only")
+    a_side = F.col("status").isin(list(from_a))
+    return (compared.filter(F.col("status").isin([*from_a, *from_b]))
+            .select(*[F.when(a_side, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in columns]))
 
 
 def snapshot_difference(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -11,6 +11,9 @@ from millrace.functions.skew import lookup_join, settle
 from millrace.functions.timing import micros
 from millrace.session import shared_dir
 
+#: Pieces into which one sketch cuts the candidate values of a quantile.
+_GRID = 200
+
 # ``row_number() <= n`` lets Spark cut every key to n rows inside each map task before the
 # shuffle (WindowGroupLimit), so a key holding a third of the table costs n rows per task.
 
@@ -144,36 +147,51 @@ def sessions(events: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFram
 
 
 def nearest_rank(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.95,
-                 name: str = "p95", accuracy: int = 10_000) -> DataFrame:
+                 name: str = "p95", sort_rows: int = 1_000_000) -> DataFrame:
     """Exact nearest-rank quantile per key: element ``min(int(p*n), n-1)`` of the sorted values.
 
-    A mergeable sketch brackets the element; only values inside the bracket are then counted,
-    one row per distinct value, so no task sorts a whole group. Should a bracket miss the
-    element, that key is searched over its full range.
+    While a key has more than ``sort_rows`` candidate values, a mergeable sketch brackets the
+    element and everything outside the bracket is only counted. The few values left are counted
+    per distinct value and walked in order, so no task ever sorts a whole group. A bracket that
+    misses the element is discarded, which costs time but not exactness.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    slack = 2.0 / accuracy + 1e-3
-    lo, hi = max(0.0, p - slack), min(1.0, p + slack)
-    bracket = settle(rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(F.lit(lo), F.lit(hi)), F.lit(accuracy)).alias("_b"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max")))
-    placed = lookup_join(rows, bracket, keys)
-    totals = placed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.col("_v") < F.col("_b")[0]).alias("_below"),
-        F.count_if(F.col("_v") <= F.col("_b")[1]).alias("_upto"),
-        F.first("_b").alias("_b"), F.first("_min").alias("_min"), F.first("_max").alias("_max"))
-    target = F.least(F.floor(F.lit(p) * F.col("_n")), F.col("_n") - 1)
-    inside = (target >= F.col("_below")) & (target < F.col("_upto"))
-    plan = settle(totals.select(
-        *keys, "_n", target.alias("_target"),
-        F.when(inside, F.col("_below")).otherwise(F.lit(0)).alias("_skip"),
-        F.when(inside, F.col("_b")[0]).otherwise(F.col("_min")).alias("_lo"),
-        F.when(inside, F.col("_b")[1]).otherwise(F.col("_max")).alias("_hi")))
-    counted = (lookup_join(rows, plan, keys)
-               .filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-               .groupBy(*keys, "_n", "_target", "_skip", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    size = F.col("_m")
+    plan = settle(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+                  .withColumns({"_target": F.least(F.floor(F.lit(p) * size), size - 1), "_skip": F.lit(0).cast("long")}))
+    columns = plan.columns
+
+    def candidates() -> DataFrame:
+        return lookup_join(rows, plan, keys).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+
+    def largest() -> int:
+        return plan.filter(F.col("_lo") < F.col("_hi")).agg(F.max("_m")).first()[0] or 0
+
+    left = largest()
+    while left > sort_rows:
+        grid = F.percentile_approx("_v", F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)]), F.lit(50 * _GRID))
+        cuts = settle(candidates().groupBy(*keys).agg(grid.alias("_cuts")))
+        step = F.floor((F.col("_target") - F.col("_skip")) / size * _GRID).cast("int")
+        narrowed = lookup_join(plan, cuts, keys).withColumns({
+            "_a": F.col("_cuts")[F.greatest(step - 1, F.lit(0))],
+            "_b": F.col("_cuts")[F.least(step + 2, F.lit(_GRID))]}).drop("_cuts")
+        inside = (F.col("_v") >= F.col("_a")) & (F.col("_v") <= F.col("_b"))
+        counts = (lookup_join(rows, settle(narrowed), keys)
+                  .filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+                  .groupBy(*columns, "_a", "_b")
+                  .agg(F.count_if(F.col("_v") < F.col("_a")).alias("_below"), F.count_if(inside).alias("_in")))
+        first = F.col("_skip") + F.col("_below")
+        hit = (F.col("_target") >= first) & (F.col("_target") < first + F.col("_in"))
+        plan = settle(counts.withColumns({
+            "_lo": F.when(hit, F.col("_a")).otherwise(F.col("_lo")),
+            "_hi": F.when(hit, F.col("_b")).otherwise(F.col("_hi")),
+            "_skip": F.when(hit, first).otherwise(F.col("_skip")),
+            "_m": F.when(hit, F.col("_in")).otherwise(size)}).select(*columns))
+        before, left = left, largest()
+        if left >= before:
+            break
+    counted = candidates().groupBy(*keys, "_target", "_skip", "_v").agg(F.count(F.lit(1)).alias("_c"))
     running = Window.partitionBy(*keys).orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     reached = counted.withColumn("_cum", F.col("_skip") + F.sum("_c").over(running))

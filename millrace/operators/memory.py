@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.skew import key_set, lookup_join
@@ -28,8 +28,9 @@ def session_bounds(messages: DataFrame, session: str, order: str) -> DataFrame:
 def recent_messages(messages: DataFrame, session: str, order: Sequence[str], n: int = 20) -> DataFrame:
     """Last ``n`` messages per session with ``position`` counting oldest first."""
     ranked = last_n_per_key(messages, [session], [F.col(c).desc() for c in order], n, rank_as="_back")
-    return (ranked.join(ranked.groupBy(session).agg(F.max("_back").alias("_kept")), session)
-            .withColumn("position", F.col("_kept") - F.col("_back") + 1).drop("_back", "_kept")
+    # At most n rows per session are left, so counting them again needs no further shuffle.
+    kept = F.max("_back").over(Window.partitionBy(session))
+    return (ranked.withColumn("position", kept - F.col("_back") + 1).drop("_back")
             .orderBy(session, "position"))
 
 
@@ -38,8 +39,9 @@ def recall(requests: DataFrame, episodes: DataFrame, user: str, k: int, request_
            weight: float = 0.1, digits: int = 9) -> DataFrame:
     """Best ``k`` episodes of the asking user per request, by distance minus weighted importance.
 
-    Requests must hold one row per user and id; they join to the user's own episodes only. With
-    ``weight=0`` (or no ``importance``) the order is plain distance.
+    Requests meet only their user's own episodes, and each task keeps its best ``k`` per request
+    before anything is shuffled. With ``weight=0`` (or no ``importance``) the order is plain
+    distance.
     """
     asked = requests.select(user, F.col(request_id), F.col(request_vec).alias("_asked"))
     pairs = lookup_join(episodes, asked, [user]).withColumn("distance", distance(vec, "_asked"))
@@ -139,4 +141,4 @@ def call_log(started: DataFrame, finished: DataFrame, key: str, start_ts: str, e
 
 def forget_sessions(messages: DataFrame, doomed: DataFrame, session: str) -> DataFrame:
     """Messages without those of the listed sessions (call logs are kept on purpose)."""
-    return messages.join(key_set(doomed, [session]), [session], "left_anti")
+    return lookup_join(messages, key_set(doomed, [session]), [session], "left_anti")

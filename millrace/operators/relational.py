@@ -100,7 +100,7 @@ def entity_search(entities: DataFrame, key: str, name: str, activity: DataFrame,
     found = entities.filter(F.startswith(low, F.lit(text.lower())) | (initials == text.lower()))
     matching = found.select(key, name)
     # Activity is cut to the matching entities and reduced to one row each before the join.
-    wanted = activity.join(key_set(matching, [key]), [key], "left_semi")
+    wanted = lookup_join(activity, key_set(matching, [key]), [key], "left_semi")
     last = wanted.groupBy(key).agg(F.max(activity_ts).alias("last_active"))
     return top_k(matching.join(last, key, "left"),
                  [F.col("last_active").desc_nulls_last(), F.col(key)], k)

@@ -115,6 +115,35 @@ def embed_hashed(df: DataFrame, id_col: str, tokens: Column, dims: int = 64) ->
             .mapInArrow(run, f"{id_col} {kind}, embedding array<float>"))
 
 
+def mean_vectors(df: DataFrame, group: str, vec: str = "embedding") -> DataFrame:
+    """Mean vector per group. Each task sums its rows as arrays and sends one row per group."""
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        rows: dict[int, int] = {}
+        for batch in batches:
+            batch = batch.filter(batch.column(1).is_valid())
+            if not batch.num_rows:
+                continue
+            matrix = as_matrix(batch.column(1), len(batch.column(1)[0]))
+            names, place = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            part = np.zeros((len(names), matrix.shape[1]))
+            np.add.at(part, place, matrix)
+            for name, total, n in zip(names.tolist(), part, np.bincount(place)):
+                sums[name] = sums[name] + total if name in sums else total
+                rows[name] = rows.get(name, 0) + int(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.array([rows[g] for g in sums], pa.int64()),
+             pa.array([list(v) for v in sums.values()], pa.list_(pa.float64()))], names=[group, "n", "total"])
+
+    parts = (df.dropna(subset=[group]).select(F.col(group).cast("long").alias(group), vec)
+             .mapInArrow(add, f"{group} long, n long, total array<double>"))
+    cells = (parts.select(group, "n", F.posexplode("total").alias("pos", "x")).groupBy(group, "pos")
+             .agg((F.sum("x") / F.sum("n")).alias("mean")))
+    # As many values per group as a vector has.
+    return (cells.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("pos", "mean"))).alias("v"))
+            .select(group, F.col("v.mean").cast("array<float>").alias(vec)))
+
+
 def _ranked(candidates: DataFrame, question_id: str, doc_id: str, score: str, k: int,
             rank: str, descending: bool) -> DataFrame:
     order = [F.col(score).desc() if descending else F.col(score).asc(), F.col(doc_id)]

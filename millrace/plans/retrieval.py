@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.skew import key_set, spread
+from millrace.functions.skew import key_set, lookup_join, spread
 from millrace.functions.text import chunks, lexemes
 from millrace.functions.vectors import distance
 from millrace.operators import retrieval as R
@@ -61,7 +61,7 @@ FROM asked JOIN stored ON query_id = label""")
 def vector_distances(t: Tables) -> DataFrame:
     mean = roles.mean_vectors(t).select(F.col("query_id").cast("int").alias("label"), "query_id",
                                         F.col("embedding").alias("q"))
-    pairs = roles.vectors(t).join(mean, "label")
+    pairs = lookup_join(roles.vectors(t), mean, ["label"])
     return pairs.select("doc_id", "query_id",
                         F.round(distance("embedding", "q", "cosine"), 6).alias("cosine"),
                         F.round(distance("embedding", "q", "l2"), 6).alias("l2"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.skew import spread
+from millrace.functions.skew import settle, spread
 from millrace.functions.text import lexemes
 from millrace.functions.timing import stamp
 from millrace.operators import retrieval as R
@@ -114,12 +114,7 @@ HISTORY_SQL = """history AS (
 
 def mean_vectors(t: Tables) -> DataFrame:
     """One question vector per label: the mean of its embeddings."""
-    means = (t.embeddings.select("label", F.posexplode("embedding").alias("pos", "x"))
-             .groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m")))
-    return (means.groupBy("label")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("v"))
-            .select(F.col("label").cast("long").alias("query_id"),
-                    F.col("v.m").cast("array<float>").alias("embedding")))
+    return settle(R.mean_vectors(t.embeddings, "label").withColumnRenamed("label", "query_id"))
 
 
 MEAN_VECTORS_SQL = """dims AS (

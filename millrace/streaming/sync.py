@@ -185,6 +185,8 @@ def rollup_table(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFra
 def start_sessions(events: DataFrame, key: str, ts: str, idle: str, root: str,
                    lateness: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
     """Append a row per session that has been idle for ``idle``, once no earlier event can come."""
+    # Merge a key's events inside each task first, so that a busy key is not shuffled row by row.
+    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     closed = (events.withWatermark(ts, lateness)
               .groupBy(key, F.session_window(ts, idle).alias("_s"))
               .agg(F.min(ts).alias("started_at"), F.max(ts).alias("ended_at"), F.count(F.lit(1)).alias("n_events"))

@@ -56,10 +56,16 @@ def test_nearest_rank_rule(spark, values):
     assert out["g"] == ordered[min(int(0.95 * len(ordered)), len(ordered) - 1)]
 
 
-def test_nearest_rank_survives_a_bad_bracket(spark):
-    data = [("g", float(v)) for v in range(1000)]
-    out = K.nearest_rank(spark.createDataFrame(data, "g string, v double"), ["g"], "v", accuracy=2)
-    assert rows(out) == [("g", 950.0)]
+@pytest.mark.parametrize("values", [range(5000), [1] * 3000 + list(range(50)), [7] * 500,
+                                    [x * x % 997 for x in range(4000)]])
+def test_nearest_rank_by_narrowing(spark, values):
+    values = [float(v) for v in values]
+    data = [("g", v) for v in values] + [("h", -v) for v in values[:900]] + [("tiny", 3.0)]
+    df = spark.createDataFrame(data, "g string, v double")
+    out = dict(rows(K.nearest_rank(df, ["g"], "v", sort_rows=40)))
+    for group in ("g", "h", "tiny"):
+        ordered = sorted(v for k, v in data if k == group)
+        assert out[group] == ordered[min(int(0.95 * len(ordered)), len(ordered) - 1)]
 
 
 def test_positions_are_dense_and_ordered(spark):
