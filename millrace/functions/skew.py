@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,15 +11,25 @@ from pyspark.sql import functions as F
 
 from millrace.session import shared_dir
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+#: Largest planned size of a side that is broadcast. Planned sizes are those of compressed
+#: files, so this leaves room for a tenfold larger table in memory.
+BROADCAST_LIMIT = 32 * 1024 * 1024
+UNBOUNDED = 1 << 62
+_MULTIPLIES = re.compile(r"\b(Generate|MapInArrow|MapInPandas|FlatMapCoGroupsInArrow|LogicalRDD)\b")
 HOT_SHARE = 0.01
 SALTS = 32
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate (an upper estimate after filters); runs no job."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    """Upper estimate of a plan's size; runs no job.
+
+    The optimizer's estimate errs on the large side for filters, joins and aggregates. It does
+    not see rows multiplied by a generator or by Python code, so such plans count as unbounded.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if _MULTIPLIES.search(plan.toString()):
+        return UNBOUNDED
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,8 +48,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Da
 def settle(df: DataFrame, rows: int = 50_000) -> DataFrame:
     """Run ``df`` once. A result of at most ``rows`` rows comes back as a local relation, whose
     size the optimizer knows exactly; a larger one is checkpointed to the shared folder."""
-    head = df.limit(rows + 1).collect()
-    if len(head) <= rows:
+    head = df.limit(rows + 1).toArrow()
+    if head.num_rows <= rows:
         return df.sparkSession.createDataFrame(head, df.schema)
     shared_dir(df.sparkSession)
     return df.checkpoint()

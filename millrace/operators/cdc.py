@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.skew import BROADCAST_LIMIT, key_set, lookup_join, planned_bytes
+from millrace.functions.skew import BROADCAST_LIMIT, UNBOUNDED, key_set, lookup_join, planned_bytes
 from millrace.operators.keyed import latest_per_key, positions
 
 CHANGE_TYPE = "_change_type"
@@ -78,7 +78,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     if planned_bytes(changes) > limit:
         return _fold(target, F.lit(None), changes, keys, seq, tie, [F.col("_base").asc()], [])
     last = latest_changes(changes, keys, seq, tie)
-    kept = target.join(key_set(last, keys), list(keys), "left_anti")
+    kept = target.join(F.broadcast(key_set(last, keys)), list(keys), "left_anti")
     live = last.filter(F.col(CHANGE_TYPE) != "delete")
     return kept.unionByName(live.select(*target.columns))
 
@@ -91,12 +91,12 @@ def apply_changes_ordered(target: DataFrame, changes: DataFrame, keys: Sequence[
     if planned_bytes(changes) > limit:
         return _fold(target, F.col(target_seq), changes, keys, seq, tie, [], [F.col("_base").asc()])
     last = latest_changes(changes, keys, seq, tie)
+    incoming = F.broadcast(last.select(*keys, F.col(seq).alias("_incoming")))
     stored = target.select(*keys, F.col(target_seq).alias("_stored"))
     older = (F.col("_incoming") < F.col("_stored")) | (F.col("_incoming").isNull() & F.col("_stored").isNotNull())
-    stale = (last.select(*keys, F.col(seq).alias("_incoming")).join(stored, list(keys))
-             .filter(older).select(*keys))
-    fresh = last.join(stale, list(keys), "left_anti")
-    return apply_changes(target, fresh, keys, seq, limit=limit)
+    stale = stored.join(incoming, list(keys)).filter(older).select(*keys)
+    fresh = last.join(F.broadcast(stale), list(keys), "left_anti")
+    return apply_changes(target, fresh, keys, seq, limit=UNBOUNDED)
 
 
 def _fold(target: DataFrame, target_seq: Column, changes: DataFrame, keys: Sequence[str], seq: str,

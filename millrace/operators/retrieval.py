@@ -448,7 +448,8 @@ def corpus_statistics(docs: DataFrame, terms: DataFrame, tokens: str = "tokens",
         total, length = found.pop(-1, 0), found.pop(-2, 0)
         words = listed.to_pylist()
         frequency = docs.sparkSession.createDataFrame(
-            [(words[code], n) for code, n in found.items()], "term string, df long")
+            pa.table({"term": pa.array([words[c] for c in found], pa.string()),
+                      "df": pa.array(list(found.values()), pa.int64())}), "term string, df long")
         return total, length / total if total else 0.0, frequency
 
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tokens)).alias("mean")).first()
