@@ -112,6 +112,17 @@ def chunks(body: str | Column, max_chars: int = 1800, overlap: int = 200,
                     lambda c: F.length(strip(c)) > 0)
 
 
+def word_chunks(body: str | Column, max_words: int = 500, overlap: int = 50) -> Column:
+    """Overlapping windows of blank-separated words, joined by single spaces."""
+    if not 0 <= overlap < max_words:
+        raise ValueError("overlap must be at least 0 and below max_words")
+    col = F.col(body) if isinstance(body, str) else body
+    words = F.filter(F.split(F.coalesce(col, F.lit("")), r"\s+"), lambda w: w != "")
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(max_words - overlap))
+    return F.filter(F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(max_words)), " ")),
+                    lambda c: c != "")
+
+
 def parse_importance(output: str | Column) -> tuple[Column, Column]:
     """Summary and importance out of model text.
 

@@ -8,16 +8,44 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.ids import stable_uuid
 from millrace.functions.skew import key_set, lookup_join
 from millrace.functions.text import parse_importance
 from millrace.functions.timing import older_than
 from millrace.functions.vectors import distance
-from millrace.operators.cdc import insert_ignore, update_where
+from millrace.operators.cdc import append_generated_ids, insert_ignore, update_where
 from millrace.operators.keyed import last_n_per_key
 
 ROLES = ("system", "user", "assistant", "tool")
 
 
+def open_sessions(requests: DataFrame, key: Sequence[str], user: str, agent: Column, started: str) -> DataFrame:
+    """Session rows for requests to talk: an id made from the key, user, agent, start, no end."""
+    return requests.select(stable_uuid(*key).alias("session_id"), F.col(user).alias("user_id"),
+                           agent.alias("agent_name"), F.col(started).alias("started_at"),
+                           F.lit(None).cast("timestamp_ntz").alias("ended_at"))
+
+
+def add_messages(messages: DataFrame, new: DataFrame, id_col: str, order: Sequence[str],
+                 role: str = "role") -> tuple[DataFrame, DataFrame]:
+    """Append messages with generated ids. Returns (all messages, new rows).
+
+    A role outside :data:`ROLES` raises when the row is computed.
+    """
+    known = F.when(F.col(role).isin(*ROLES), F.col(role)).otherwise(
+        F.raise_error(F.concat(F.lit("unknown role: "), F.coalesce(F.col(role), F.lit("NULL")))))
+    return append_generated_ids(messages, new.withColumn(role, known), id_col, order)
+
+
+def orders_tool(requests: DataFrame, users: DataFrame, orders: DataFrame, natural: str, user: str,
+                order_key: str, placed: str, n: int = 5) -> DataFrame:
+    """Last ``n`` orders of every user asked for by natural key, times as ISO text."""
+    wanted = users.join(key_set(requests, [natural]), [natural], "left_semi").select(user, natural)
+    mine = lookup_join(orders, wanted, [user])
+    ranked = last_n_per_key(mine, [natural], [F.col(placed).desc(), F.col(order_key).desc()], n, rank_as="rank")
+    return ranked.withColumn(placed, F.date_format(placed, "yyyy-MM-dd'T'HH:mm:ss"))
+
+
 def session_bounds(messages: DataFrame, session: str, order: str) -> DataFrame:
     """First and last message position and message count per session."""
     return messages.groupBy(session).agg(F.min(order).alias("first_" + order),

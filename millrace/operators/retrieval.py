@@ -520,6 +520,13 @@ def attach_documents(hits: DataFrame, docs: DataFrame, doc_id: str = "doc_id") -
     return lookup_join(short, docs, [doc_id])
 
 
+def snippets(hits: DataFrame, docs: DataFrame, content: str, length: int = 240,
+             question_id: str = "query_id", doc_id: str = "doc_id") -> DataFrame:
+    """Ranked hits with the beginning of each document, as shown to a caller."""
+    shown = docs.select(doc_id, F.substring(content, 1, length).alias("snippet"))
+    return attach_documents(hits.select(question_id, doc_id, "rank"), shown, doc_id)
+
+
 def context_blocks(hits: DataFrame, docs: DataFrame, source: str, title: Column, content: str,
                    question_id: str = "query_id", doc_id: str = "doc_id") -> DataFrame:
     """One cited context text per question from its ranked hits, and the cited sources in order."""

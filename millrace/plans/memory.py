@@ -193,3 +193,36 @@ def compare_agents(t: Tables) -> DataFrame:
 def forget_sessions(t: Tables) -> DataFrame:
     short = M.session_bounds(t.conversations, "conv_id", "turn").filter(F.col("n_messages") <= 3)
     return M.forget_sessions(t.conversations, short, "conv_id").drop("text")
+
+
+@query("open_sessions", f"""WITH {roles.DAY_SESSIONS_SQL}, m AS (
+  SELECT *, md5(user_id || '|' || strftime(day, '%Y-%m-%d')) AS h FROM day_sessions)
+SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-'
+  || substr(h, 21, 12) AS session_id, user_id, 'assistant' AS agent_name, started_at, CAST(NULL AS TIMESTAMP) AS ended_at
+FROM m""")
+def open_sessions(t: Tables) -> DataFrame:
+    asked = roles.day_sessions(t).withColumn("date", F.to_date("day"))
+    return M.open_sessions(asked, ["user_id", "date"], "user_id", F.lit("assistant"), "started_at")
+
+
+@query("add_messages", """WITH top AS (SELECT max(event_id) AS m FROM events)
+SELECT m + row_number() OVER (ORDER BY conv_id, turn) AS message_id, conv_id, turn, role FROM conversations, top""")
+def add_messages(t: Tables) -> DataFrame:
+    log = t.events.select(F.col("event_id").alias("message_id"), F.col("user_id").alias("conv_id"),
+                          F.lit(0).cast("long").alias("turn"), F.lit("tool").alias("role"))
+    return M.add_messages(log, t.conversations.drop("text"), "message_id", ["conv_id", "turn"])[1]
+
+
+@query("tool_get_orders", """WITH w AS (SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (
+  SELECT user_id FROM events WHERE event_type = 'error')),
+r AS (SELECT c_name, o_orderkey, o_totalprice, o_orderdate, row_number() OVER (
+  PARTITION BY c_name ORDER BY o_orderdate DESC, o_orderkey DESC) AS rank FROM orders JOIN w ON o_custkey = c_custkey)
+SELECT c_name, o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate, rank FROM r
+WHERE rank <= 5""")
+def tool_get_orders(t: Tables) -> DataFrame:
+    """Requests name the customers who met an error."""
+    names = F.concat(F.lit("Customer#"), F.lpad(F.col("user_id").cast("string"), 9, "0"))
+    requests = t.events.filter(F.col("event_type") == "error").select(names.alias("c_name"))
+    users = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    return M.orders_tool(requests, users, orders, "c_name", "o_custkey", "o_orderkey", "o_orderdate").drop("o_custkey")

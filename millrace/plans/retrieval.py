@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.skew import key_set, lookup_join, spread
-from millrace.functions.text import chunks, lexemes
+from millrace.functions.text import chunks, lexemes, word_chunks
 from millrace.functions.vectors import distance
 from millrace.operators import retrieval as R
 from millrace.operators.security import assigned_rows
@@ -44,6 +44,19 @@ def chunk_documents(t: Tables) -> DataFrame:
                     F.length("chunk").cast("long").alias("n_chars"), F.md5("chunk").alias("digest")))
 
 
+@query("chunk_by_words", r"""WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda w: w <> '') AS words FROM documents),
+w AS (SELECT doc_id, words, unnest(range(1, greatest(len(words), 1) + 1, 450)) AS pos FROM d),
+c AS (SELECT doc_id, pos, list_slice(words, pos, pos + 499) AS part FROM w)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS chunk_index, CAST(len(part) AS BIGINT) AS n_words,
+  md5(array_to_string(part, ' ')) AS digest FROM c WHERE len(part) > 0""")
+def chunk_by_words(t: Tables) -> DataFrame:
+    parts = spread(t.documents.select("doc_id", "text"), "doc_id").select(
+        "doc_id", F.posexplode(word_chunks("text")).alias("chunk_index", "chunk"))
+    return parts.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"),
+                        F.size(F.split("chunk", " ")).cast("long").alias("n_words"), F.md5("chunk").alias("digest"))
+
+
 @query("embed_hash", f"""WITH {roles.TOKENS_SQL}, dv AS ({roles.hashed_sql('doc_words', 'doc_id')}),
 grid AS (SELECT doc_id, unnest(range(64)) AS bucket FROM documents)
 SELECT doc_id, array_to_string(list(CAST(coalesce(w, 0) AS INTEGER) ORDER BY bucket), ',') AS vector
@@ -217,6 +230,12 @@ def rrf_union(t: Tables) -> DataFrame:
     return hybrid_hits(t).withColumn("rrf", F.round("rrf", 6))
 
 
+@query("tool_retrieve", f"""WITH {_UNION_SQL}
+SELECT query_id, doc_id, rank, substr(text, 1, 240) AS snippet FROM hits JOIN doc_lists USING (doc_id)""")
+def tool_retrieve(t: Tables) -> DataFrame:
+    return R.snippets(hybrid_hits(t), t.documents, "text")
+
+
 @query("rag_context", f"""WITH {_UNION_SQL}
 SELECT query_id, md5(string_agg('[Source: ' || source || ']' || chr(10) || '# Document ' || doc_id || chr(10) || text,
     chr(10) || chr(10) ORDER BY rank)) AS context_digest,

@@ -83,20 +83,25 @@ def order_history(t: Tables) -> DataFrame:
     finished low-priority ones are deleted after two months; urgent ones also receive an update
     that was committed a day before the insert, so it arrives out of order.
     """
-    def change(kind: str, days: int, status: Column, price: Column) -> Column:
-        at = F.col("o_orderdate") + F.make_interval(days=F.lit(days))
-        return F.struct("o_orderkey", "o_custkey", status.alias("o_orderstatus"),
-                        price.alias("o_totalprice"), "o_orderdate", "o_orderpriority",
-                        F.lit(kind).alias("_change_type"), at.alias("_commit_timestamp"))
-
     status, price = F.col("o_orderstatus"), F.col("o_totalprice")
-    rows = F.array_compact(F.array(
-        change("insert", 0, status, price),
-        F.when(status.isin("O", "P"), change("update", 30, F.lit("F"), price + 100)),
-        F.when((status == "F") & (F.col("o_orderpriority") == "5-LOW"),
-               change("delete", 60, status, price)),
-        F.when(F.col("o_orderpriority") == "1-URGENT", change("update", -1, F.lit("X"), price))))
-    return t.orders.select(F.explode(rows).alias("c")).select("c.*")
+    finished_low = (status == "F") & (F.col("o_orderpriority") == "5-LOW")
+    kinds = F.array_compact(F.array(
+        F.lit(0), F.when(status.isin("O", "P"), 1), F.when(finished_low, 2),
+        F.when(F.col("o_orderpriority") == "1-URGENT", 3)))
+    kind = F.col("_kind")
+
+    def by_kind(*values: Column) -> Column:
+        out = F.when(kind == 0, values[0])
+        for i, value in enumerate(values[1:], 1):
+            out = out.when(kind == i, value)
+        return out
+
+    days = by_kind(*[F.make_interval(days=F.lit(n)) for n in (0, 30, 60, -1)])
+    return t.orders.withColumn("_kind", F.explode(kinds)).select(
+        "o_orderkey", "o_custkey", by_kind(status, F.lit("F"), status, F.lit("X")).alias("o_orderstatus"),
+        by_kind(price, price + 100, price, price).alias("o_totalprice"), "o_orderdate", "o_orderpriority",
+        by_kind(*map(F.lit, ("insert", "update", "delete", "update"))).alias("_change_type"),
+        (F.col("o_orderdate") + days).alias("_commit_timestamp"))
 
 
 HISTORY_SQL = """history AS (
