@@ -15,6 +15,7 @@ from millrace.functions.timing import older_than
 from millrace.functions.vectors import distance
 from millrace.operators.cdc import append_generated_ids, insert_ignore, update_where
 from millrace.operators.keyed import last_n_per_key
+from millrace.session import ship_package
 
 ROLES = ("system", "user", "assistant", "tool")
 
@@ -119,6 +120,7 @@ def distill(talks: DataFrame, session: str, text: str, model: Callable[[list[str
     The model gets lists of texts and returns as many answers, each with a summary and a line
     ``IMPORTANCE: x``.
     """
+    ship_package(talks.sparkSession)
     kind = talks.schema[session].dataType.simpleString()
     extra = ["part"] if "part" in talks.columns else []
 

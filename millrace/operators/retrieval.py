@@ -20,6 +20,7 @@ from millrace.functions.skew import (BROADCAST_LIMIT, key_set, lookup_join, plan
 from millrace.functions.text import hashed_features
 from millrace.functions.vectors import BestRows, as_matrix, pairwise
 from millrace.operators.keyed import last_n_per_key
+from millrace.session import ship_package
 
 #: Most questions sent to every task in one piece.
 QUESTION_BOUND = 4096
@@ -43,6 +44,7 @@ def scan_against(corpus: DataFrame, corpus_id: str, questions: DataFrame, questi
     bounded size; both ways give the same candidates.
     """
     spark = corpus.sparkSession
+    ship_package(spark)
     head = questions.limit(bound + 1).toArrow()
     if head.num_rows <= bound:
         shared = spark.sparkContext.broadcast(head)
@@ -83,6 +85,8 @@ def embed(df: DataFrame, id_col: str, text: str,
 
     The number and the length of the returned vectors are checked.
     """
+    ship_package(df.sparkSession)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in batches:
             for start in range(0, piece.num_rows, batch):
@@ -102,6 +106,8 @@ def embed(df: DataFrame, id_col: str, text: str,
 
 def embed_hashed(df: DataFrame, id_col: str, tokens: Column, dims: int = 64) -> DataFrame:
     """Model-free embedding: signed counts of hashed lexemes, computed where the rows are."""
+    ship_package(df.sparkSession)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in batches:
             matrix = hashed_features(piece.column(1), dims)
@@ -117,6 +123,8 @@ def embed_hashed(df: DataFrame, id_col: str, tokens: Column, dims: int = 64) ->
 
 def mean_vectors(df: DataFrame, group: str, vec: str = "embedding") -> DataFrame:
     """Mean vector per group. Each task sums its rows as arrays and sends one row per group."""
+    ship_package(df.sparkSession)
+
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         rows: dict[int, int] = {}
@@ -250,6 +258,8 @@ def ivf_build(corpus: DataFrame, cells: int, doc_id: str = "doc_id", vec: str =
     centres = np.stack([np.asarray(c) for c in model.clusterCenters()])
     shared = corpus.sparkSession.sparkContext.broadcast(centres)
 
+    ship_package(corpus.sparkSession)
+
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             gaps = pairwise(as_matrix(batch.column(1), shared.value.shape[1]), shared.value, metric)
@@ -272,6 +282,7 @@ def knn_ivf(questions: DataFrame, index: IvfIndex, k: int, nprobe: int,
     """
     if metric != index.metric:
         raise ValueError(f"the index was built for {index.metric!r}, not {metric!r}")
+    ship_package(questions.sparkSession)
     shared = questions.sparkSession.sparkContext.broadcast(index.centres)
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,6 +435,7 @@ def corpus_statistics(docs: DataFrame, terms: DataFrame, tokens: str = "tokens",
     Up to ``bound`` terms are broadcast and one scan gives all three, combined before the
     shuffle. More terms are matched by a join on the exploded documents.
     """
+    ship_package(docs.sparkSession)
     listed = terms.limit(bound + 1).toArrow().column(0).combine_chunks()
     if len(listed) <= bound:
         shared = docs.sparkSession.sparkContext.broadcast(listed)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -25,7 +27,26 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application, wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="millrace-code-"), "millrace.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._millrace_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -9,6 +9,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import ship_package
+
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -17,6 +19,7 @@ class Tables:
     """Attribute access to ``<folder>/<name>.parquet``; each table is resolved once."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
+        ship_package(spark)
         self.spark = spark
         self.folder = folder.rstrip("/")
         self._open: dict[str, DataFrame] = {}
