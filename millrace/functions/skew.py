@@ -62,8 +62,9 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: s
 
     A lookup whose planned size is within ``limit`` is broadcast, so nothing moves. Otherwise
     both sides are shuffled on the key, and hot keys get a salt: their fact rows spread
-    over ``salts`` tasks and their lookup rows are repeated once per salt. The salt is a hash of
-    the row, so a retried task produces the same partitioning.
+    over ``salts`` tasks and their lookup rows are repeated once per salt. Rows with a NULL key,
+    which match nothing, are spread too. The salt is a hash of the row, so a retried task
+    produces the same partitioning.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -73,8 +74,9 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: s
     # At most 1/share rows, so the broadcasts below are bounded.
     hot = settle(hot_keys(facts, keys, share)).withColumn("_hot", F.lit(True))
     row_hash = F.xxhash64(*facts.columns)
+    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     salted = (facts.join(F.broadcast(hot), keys, "left")
-              .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts)))
+              .withColumn("_salt", F.when(F.col("_hot") | no_key, F.pmod(row_hash, F.lit(salts)))
                           .otherwise(F.lit(0)).cast("int"))
               .drop("_hot"))
     repeated = (lookup.join(F.broadcast(hot), keys, "left")

@@ -9,7 +9,8 @@ from millrace.functions.timing import stamp
 from millrace.operators import cdc
 from millrace.plans import roles
 from millrace.plans.registry import query
-from millrace.sources.tables import Tables
+from millrace.session import fresh_dir
+from millrace.sources.tables import Tables, VersionedTable
 
 KEY = roles.ORDER_KEY
 COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -294,3 +295,16 @@ def append_generated_ids(t: Tables) -> DataFrame:
     log = t.events.select("event_id", F.lit(None).cast("long").alias("conv_id"),
                           F.lit(None).cast("long").alias("turn"), F.lit(None).cast("string").alias("role"))
     return cdc.append_generated_ids(log, t.conversations.drop("text"), "event_id", ["conv_id", "turn"])[1]
+
+
+@query("reload", """SELECT c_custkey, c_name, c_mktsegment, count(*) AS n_orders, round(sum(o_totalprice), 2) AS spent
+FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2, 3""")
+def reload(t: Tables) -> DataFrame:
+    """Serving table loaded twice over: the second load replaces the first."""
+    spent = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("spent"))
+    profile = t.customer.select("c_custkey", "c_name", "c_mktsegment").join(spent, "c_custkey")
+    table = VersionedTable(t.spark, fresh_dir(t.spark, "reload"))
+    for _ in range(2):
+        table.replace(profile, cluster_by=["c_custkey"], rows_per_file=1_000_000)
+    return table.read()

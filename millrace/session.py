@@ -56,10 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
     setting gets a temporary folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
     context = spark.sparkContext
     current = context.getCheckpointDir()
+    if named:
+        if not current:
+            context.setCheckpointDir(named)
+        return named.rstrip("/")
     if current:
         return current.rstrip("/")
     if not context.master.startswith("local"):
