@@ -220,9 +220,8 @@ def backfill_first_n(df: DataFrame, key: str, n: int, condition: Column | None =
                      **values: Column) -> DataFrame:
     """Update the first ``n`` rows by key, as in UPDATE ... IN (SELECT ... ORDER BY ... LIMIT n)."""
     pool = df if condition is None else df.filter(condition)
-    # At most n keys, so the broadcast is bounded by the caller's n.
     chosen = pool.select(key).orderBy(key).limit(n).withColumn("_chosen", F.lit(True))
-    flagged = df.join(F.broadcast(chosen), key, "left")
+    flagged = lookup_join(df, chosen, [key], "left")
     return update_where(flagged, F.col("_chosen"), **values).select(*df.columns)
 
 

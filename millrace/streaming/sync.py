@@ -8,12 +8,13 @@ always belong to the data beside them.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import (DataType, IntegerType, StringType, StructType,
                                TimestampNTZType)
 
@@ -196,18 +197,53 @@ def start_sessions(events: DataFrame, key: str, ts: str, idle: str, root: str,
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+_STATUS = ("query string, batch_id long, at string, n_rows long, duration_ms long, newest_event string, "
+           "watermark string")
+
+
+def _status_row(p) -> tuple:
+    event_time = p.eventTime or {}
+    return (p.name or str(p.id), int(p.batchId), p.timestamp, int(p.numInputRows), int(p.batchDuration),
+            event_time.get("max"), event_time.get("watermark"))
+
+
+def _status_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    lag = F.unix_timestamp(F.to_timestamp("at")) - F.unix_timestamp(F.to_timestamp("newest_event"))
+    return spark.createDataFrame(list(rows), _STATUS).withColumn("lag_seconds", lag)
+
+
 def sync_status(query: StreamingQuery) -> DataFrame:
     """Recent micro-batches of a query: input rows, duration, newest event time and lag."""
-    rows = []
-    for p in query.recentProgress:
-        event_time = p.eventTime or {}
-        rows.append((query.name or str(query.id), int(p.batchId), p.timestamp, int(p.numInputRows),
-                     int(p.batchDuration), event_time.get("max"), event_time.get("watermark"), query.isActive))
-    schema = ("query string, batch_id long, at string, n_rows long, duration_ms long, newest_event string, "
-              "watermark string, active boolean")
-    status = SparkSession.active().createDataFrame(rows, schema)
-    lag = F.unix_timestamp(F.to_timestamp("at")) - F.unix_timestamp(F.to_timestamp("newest_event"))
-    return status.withColumn("lag_seconds", lag)
+    rows = [_status_row(p) for p in query.recentProgress]
+    return _status_table(SparkSession.active(), rows).withColumn("active", F.lit(query.isActive))
+
+
+class StatusRecorder(StreamingQueryListener):
+    """Keeps the last ``size`` micro-batches of all queries, and why queries ended.
+
+    Register it with ``spark.streams.addListener``; read it with :meth:`table`.
+    """
+
+    def __init__(self, size: int = 10_000) -> None:
+        self.rows: deque[tuple] = deque(maxlen=size)
+        self.failures: deque[tuple[str, str]] = deque(maxlen=size)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows.append(_status_row(event.progress))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.failures.append((str(event.id), event.exception))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """The recorded micro-batches as rows."""
+        return _status_table(spark, self.rows)
 
 
 def drift_of(spec: SyncSpec, source: DataFrame) -> DataFrame:

@@ -68,3 +68,15 @@ def test_no_query_plans_a_cross_product(spark, t):
 def test_rank_filter_is_not_a_single_task_window(t):
     ranked = K.last_n_per_key(t.orders, ["o_custkey"], [F.col("o_orderdate").desc()], 3)
     assert "hashpartitioning(o_custkey" in explain(ranked)
+
+
+def test_large_change_log_is_folded_in_one_shuffle(t):
+    plan = explain(REGISTRY["apply_changes"].run(t)).split("\n\n")[0]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_history_reads_and_comparisons_shuffle_once_per_table(t):
+    for name, shuffles in (("as_of", 1), ("current_from_history", 1), ("restore_rows", 2), ("take_versions", 2),
+                           ("snapshot_equal", 1)):
+        tree = explain(REGISTRY[name].run(t)).split("\n\n")[0]
+        assert tree.count("Exchange") <= shuffles, name

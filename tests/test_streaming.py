@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +95,8 @@ def test_continuous_policy_and_status(spark, tmp_path):
     inbox = str(tmp_path / "in")
     drop(spark, inbox, FIRST)
     s = S.SyncSpec(str(tmp_path / "out"), ("id",), COLUMNS, interval="0 seconds")
+    recorder = S.StatusRecorder()
+    spark.streams.addListener(recorder)
     query = S.start_sync(source(spark, inbox), s)
     try:
         query.processAllAvailable()
@@ -103,6 +106,12 @@ def test_continuous_policy_and_status(spark, tmp_path):
         assert status.agg(F.sum("n_rows")).first()[0] == 5
     finally:
         query.stop()
+    for _ in range(100):
+        if sum(r[3] for r in recorder.rows) == 5:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(recorder)
+    assert recorder.table(spark).agg(F.sum("n_rows")).first()[0] == 5 and not recorder.failures
     assert rows(S.mirror(spark, s)) == [(1, "a9"), (3, "c")]
 
 

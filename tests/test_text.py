@@ -1,3 +1,5 @@
+from itertools import chain, pairwise
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,20 +7,13 @@ from millrace.functions import text as X
 
 
 def plain_chunks(body, size, overlap):
-    """The splitting rule, stated for one text."""
-    sections, current = [], []
-    for line in body.strip().splitlines():
-        if line.startswith("## ") and current:
-            sections.append("\n".join(current).strip())
-            current = []
-        current.append(line)
-    if current:
-        sections.append("\n".join(current).strip())
-    out = []
-    for section in sections:
-        starts = [0] if len(section) <= size else range(0, len(section), size - overlap)
-        out += [section[i:i + size] for i in starts]
-    return [c for c in out if c.strip()]
+    """The splitting rule by line numbers."""
+    lines = body.strip().splitlines()
+    heads = [n for n, line in enumerate(lines) if n and line.startswith("## ")]
+    edges = [0, *heads, len(lines)]
+    sections = ["\n".join(lines[a:b]).strip() for a, b in pairwise(edges)]
+    windows = [[s] if len(s) <= size else [s[n:n + size] for n in range(0, len(s), size - overlap)] for s in sections]
+    return [w for w in chain.from_iterable(windows) if w.strip()]
 
 
 BODIES = ["# Title\nintro\n## One\nalpha\n\n## Two\n" + "b" * 95, "## only", "", "  \n ", "x" * 100,
