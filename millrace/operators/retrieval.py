@@ -15,9 +15,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, StructType
 
 from millrace.functions.skew import (BROADCAST_LIMIT, key_set, lookup_join, planned_bytes, settle)
-from millrace.functions.text import hashed_features
+from millrace.functions.text import chunks, hashed_features, lexemes
 from millrace.functions.vectors import BestRows, as_matrix, pairwise
 from millrace.operators.keyed import last_n_per_key
 from millrace.session import ship_package
@@ -104,21 +105,42 @@ def embed(df: DataFrame, id_col: str, text: str,
     return df.select(id_col, text).mapInArrow(run, f"{id_col} {kind}, embedding array<float>")
 
 
-def embed_hashed(df: DataFrame, id_col: str, tokens: Column, dims: int = 64) -> DataFrame:
-    """Model-free embedding: signed counts of hashed lexemes, computed where the rows are."""
+def embed_hashed(df: DataFrame, id_col: str, tokens: Column, dims: int = 64,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """Model-free embedding: signed counts of hashed lexemes, computed where the rows are.
+
+    Returns the id, the ``keep`` columns unchanged, and ``embedding``.
+    """
     ship_package(df.sparkSession)
+    picked = df.select(id_col, *keep, tokens.alias("_tokens"))
+    names = [id_col, *keep]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in batches:
-            matrix = hashed_features(piece.column(1), dims)
+            matrix = hashed_features(piece.column(len(names)), dims)
             offsets = np.arange(0, matrix.size + 1, dims, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))],
-                names=[id_col, "embedding"])
+            vectors = pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))
+            yield pa.RecordBatch.from_arrays([*piece.columns[:len(names)], vectors], names=[*names, "embedding"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return (df.select(id_col, tokens.alias("_tokens"))
-            .mapInArrow(run, f"{id_col} {kind}, embedding array<float>"))
+    schema = StructType([picked.schema[n] for n in names]).add("embedding", ArrayType(FloatType()))
+    return picked.mapInArrow(run, schema)
+
+
+def knowledge_rows(docs: DataFrame, doc_id: str, source: str, text: str, lang: str | Column = "en",
+                   max_chars: int = 1800, overlap: int = 200, dims: int = 64) -> DataFrame:
+    """Rows of a searchable chunk table, row by row from the documents and without a shuffle.
+
+    ``chunk_id`` is the document id times 2^20 plus the chunk's place, so a reload gives the
+    same ids. Lexemes and vector are stored: searches read one narrow column each and analyse
+    no text again.
+    """
+    cut = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"),
+                      (lang if isinstance(lang, Column) else F.lit(lang)).alias("lang"),
+                      F.posexplode(chunks(text, max_chars, overlap)).alias("chunk_index", "chunk"))
+    rows = cut.select((F.col("doc_id") * (1 << 20) + F.col("chunk_index")).alias("chunk_id"), "source", "chunk",
+                      F.to_json(F.struct("chunk_index", F.length("chunk").alias("n_chars"))).alias("metadata"),
+                      lexemes("chunk", F.col("lang")).alias("tokens"))
+    return embed_hashed(rows, "chunk_id", F.col("tokens"), dims, ["source", "chunk", "metadata", "tokens"])
 
 
 def mean_vectors(df: DataFrame, group: str, vec: str = "embedding") -> DataFrame:

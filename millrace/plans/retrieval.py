@@ -12,7 +12,8 @@ from millrace.operators import retrieval as R
 from millrace.operators.security import assigned_rows
 from millrace.plans import roles
 from millrace.plans.registry import query
-from millrace.sources.tables import Tables
+from millrace.session import fresh_dir
+from millrace.sources.tables import Tables, VersionedTable
 
 
 @query("tokenize", f"""WITH {roles.TOKENS_SQL}
@@ -236,6 +237,28 @@ def tool_retrieve(t: Tables) -> DataFrame:
     return R.snippets(hybrid_hits(t), t.documents, "text")
 
 
+_CHUNKED = r"""d0 AS (SELECT doc_id, lang, source, regexp_replace(text, '^\s+|\s+$', '', 'g') AS body FROM documents),
+w0 AS (SELECT *, unnest(CASE WHEN length(body) <= 1800 THEN [0] ELSE range(0, length(body), 1600) END) AS pos FROM d0),
+c0 AS (SELECT *, substr(body, pos + 1, 1800) AS text FROM w0),
+chunked AS (SELECT doc_id * 1048576 + row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS doc_id, text, lang,
+  source, length(text) AS n_chars FROM c0 WHERE regexp_matches(text, '\S'))"""
+
+
+@query("knowledge_search", f"""WITH {_CHUNKED}, {_UNION_SQL.replace('FROM documents)', 'FROM chunked)')}
+SELECT query_id, doc_id AS chunk_id, source, rank, round(rrf, 6) AS rrf, md5(text) AS digest
+FROM hits JOIN doc_lists USING (doc_id)""")
+def knowledge_search(t: Tables) -> DataFrame:
+    """The whole path: chunk, analyse and embed the documents, load the table, search it."""
+    table = VersionedTable(t.spark, fresh_dir(t.spark, "knowledge"))
+    table.replace(R.knowledge_rows(spread(t.documents, "doc_id"), "doc_id", "source", "text", F.col("lang")))
+    kb = table.read()
+    near = R.knn_exact(roles.question_vectors(t), kb, R.leg_size(5), doc_id="chunk_id")
+    worded = R.bm25(roles.question_words(t), kb, R.leg_size(5), doc_id="chunk_id")
+    hits = R.rrf_union([near, worded], 5, doc_id="chunk_id").withColumn("rrf", F.round("rrf", 6))
+    return (R.attach_documents(hits, kb.select("chunk_id", "source", "chunk"), "chunk_id")
+            .select("query_id", "chunk_id", "source", "rank", "rrf", F.md5("chunk").alias("digest")))
+
+
 @query("rag_context", f"""WITH {_UNION_SQL}
 SELECT query_id, md5(string_agg('[Source: ' || source || ']' || chr(10) || '# Document ' || doc_id || chr(10) || text,
     chr(10) || chr(10) ORDER BY rank)) AS context_digest,
