@@ -13,7 +13,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructType
 
@@ -252,9 +252,29 @@ class IvfIndex:
     centres: np.ndarray
     metric: str
 
-    def cells_for(self, vectors: np.ndarray, nprobe: int) -> np.ndarray:
-        gaps = pairwise(vectors, self.centres, self.metric)
-        return np.argsort(gaps, axis=1, kind="stable")[:, :nprobe]
+    def save(self, root: str, doc_id: str = "doc_id", rows_per_file: int = 500_000) -> IvfIndex:
+        """Write the index partitioned by cell and return the stored one.
+
+        A large cell becomes several files written by several tasks; a small one a single file.
+        """
+        sizes = settle(self.table.groupBy("cell").agg(F.count(F.lit(1)).alias("_n")))
+        files = sizes.select("cell", F.ceil(F.col("_n") / F.lit(rows_per_file)).alias("_files"))
+        placed = lookup_join(self.table, files, ["cell"]).withColumn(
+            "_file", F.pmod(F.xxhash64(doc_id), F.col("_files")))
+        (placed.repartition("cell", "_file").drop("_files", "_file")
+         .write.partitionBy("cell").parquet(f"{root}/rows"))
+        spark = self.table.sparkSession
+        centres = [(i, [float(x) for x in c], self.metric) for i, c in enumerate(self.centres)]
+        (spark.createDataFrame(centres, "cell int, centre array<double>, metric string").coalesce(1)
+         .write.parquet(f"{root}/centres"))
+        return IvfIndex.load(spark, root)
+
+    @staticmethod
+    def load(spark: SparkSession, root: str) -> IvfIndex:
+        """Open a stored index; only the centres are read."""
+        centres = spark.read.parquet(f"{root}/centres").orderBy("cell").collect()
+        return IvfIndex(spark.read.parquet(f"{root}/rows"), np.array([r.centre for r in centres]),
+                        centres[0].metric)
 
 
 def ivf_build(corpus: DataFrame, cells: int, doc_id: str = "doc_id", vec: str = "embedding",
@@ -262,7 +282,7 @@ def ivf_build(corpus: DataFrame, cells: int, doc_id: str = "doc_id", vec: str =
     """Cluster the corpus into cells with MLlib k-means and tag every row with its cell.
 
     Centres are learnt from about ``rows_per_cell`` rows per cell; every row is assigned.
-    Write ``table`` partitioned by ``cell`` so that a search reads only the probed cells.
+    Save the index before searching it often: a search then reads only the probed cells.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector

@@ -107,7 +107,7 @@ def knn_filtered(t: Tables) -> DataFrame:
 
 @query("knn_ivf_all_cells", _nearest_sql("true", 10))
 def knn_ivf_all_cells(t: Tables) -> DataFrame:
-    index = R.ivf_build(roles.vectors(t), cells=16)
+    index = R.ivf_build(roles.vectors(t), cells=16).save(fresh_dir(t.spark, "ivf"))
     return _shown(R.knn_ivf(roles.mean_vectors(t), index, 10, nprobe=16))
 
 

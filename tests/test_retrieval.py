@@ -79,6 +79,26 @@ def test_index_with_all_cells_is_exact_and_checks_metric(spark, corpus, asked):
         R.knn_ivf(asked, index, 5, nprobe=2, metric="l2")
 
 
+def test_saved_index_reads_only_probed_cells(spark, corpus, asked, tmp_path):
+    built = R.ivf_build(corpus, cells=6)
+    stored = built.save(str(tmp_path / "ivf"), rows_per_file=20)
+    again = R.IvfIndex.load(spark, str(tmp_path / "ivf"))
+    assert again.metric == "cosine" and np.allclose(again.centres, built.centres)
+    assert rows(R.knn_ivf(asked, stored, 5, nprobe=2)) == rows(R.knn_ivf(asked, built, 5, nprobe=2))
+    plan = R.knn_ivf(asked, again, 5, nprobe=1)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [cell" in plan
+
+
+def test_knowledge_rows(spark):
+    docs = spark.createDataFrame([(3, "a.md", "# T\nReturns here\n## Two\nmore words"), (4, "b.md", None)],
+                                 "id long, source string, body string")
+    out = R.knowledge_rows(docs, "id", "source", "body").orderBy("chunk_id").collect()
+    assert [(r.chunk_id, r.source, r.chunk, r.metadata) for r in out] == [
+        (3 << 20, "a.md", "# T\nReturns here", '{"chunk_index":0,"n_chars":16}'),
+        ((3 << 20) + 1, "a.md", "## Two\nmore words", '{"chunk_index":1,"n_chars":17}')]
+    assert out[0].tokens == ["t", "return", "here"] and sum(map(abs, out[0].embedding)) == 3.0
+
+
 def test_column_distances(spark):
     df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0])], "a array<float>, b array<float>")
     got = df.select(*[F.round(distance("a", "b", m), 6) for m in ("cosine", "l2", "negative_inner_product")]).first()
