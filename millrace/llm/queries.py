@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, exact_dedup, url_filter
+from millrace.llm import decontaminate, exact_dedup, line_dedup, simhash, url_filter
 from millrace.llm.registry import llm_query
 from millrace.sources.tables import Tables
 
@@ -21,6 +21,12 @@ def op1_exact_dedup(t: Tables) -> DataFrame:
     return exact_dedup.exact_dedup(t.documents)
 
 
+@llm_query("op4_simhash")
+def op4_simhash(t: Tables) -> DataFrame:
+    found = simhash.simhash_components(t.documents)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 #: Rules of the contract, in its order: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
@@ -73,3 +79,21 @@ def op9_decontamination(t: Tables) -> DataFrame:
     ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(ids, 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
+
+
+_LINE = r"trim(regexp_replace({0}, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')"
+
+
+@llm_query("op10_line_dedup", rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS site, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (SELECT doc_id, site, i, parts[i] AS line, {_LINE.format("parts[i]")} AS plain
+      FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM d)),
+b AS (SELECT plain, min(doc_id) AS first_doc FROM l WHERE plain <> '' GROUP BY plain HAVING count(DISTINCT site) >= 5),
+k AS (SELECT l.*, b.first_doc IS NOT NULL AND l.doc_id <> b.first_doc AS gone FROM l LEFT JOIN b USING (plain)),
+g AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept FROM k GROUP BY doc_id)
+SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(parts) END AS n_lines, n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d JOIN g USING (doc_id) JOIN documents USING (doc_id)""")
+def op10_line_dedup(t: Tables) -> DataFrame:
+    cleaned = line_dedup.remove_boilerplate(t.documents)
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
