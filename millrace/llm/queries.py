@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, exact_dedup, line_dedup, simhash, url_filter
+from millrace.llm import byte_bpe, decontaminate, exact_dedup, line_dedup, simhash, url_filter
 from millrace.llm.registry import llm_query
 from millrace.sources.tables import Tables
 
@@ -21,6 +21,25 @@ def op1_exact_dedup(t: Tables) -> DataFrame:
     return exact_dedup.exact_dedup(t.documents)
 
 
+def tokenizer() -> byte_bpe.Vocabulary:
+    """The multilingual byte-level vocabulary of the public tokenizers package."""
+    import public_tokenizers
+    return byte_bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def token_digests(docs: DataFrame, vocabulary: byte_bpe.Vocabulary) -> DataFrame:
+    """Encodes and decodes every text: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    coded = byte_bpe.decode(byte_bpe.encode(docs, vocabulary), vocabulary)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@llm_query("op2_byte_bpe")
+def op2_byte_bpe(t: Tables) -> DataFrame:
+    return token_digests(t.documents, tokenizer())
+
+
 @llm_query("op4_simhash")
 def op4_simhash(t: Tables) -> DataFrame:
     found = simhash.simhash_components(t.documents)
