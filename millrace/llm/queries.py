@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, decontaminate, exact_dedup, line_dedup, simhash, url_filter
+from millrace.llm import byte_bpe, decontaminate, exact_dedup, line_dedup, pu_quality, simhash, url_filter
 from millrace.llm.registry import llm_query
 from millrace.sources.tables import Tables
 
@@ -70,6 +70,14 @@ def op7_url_filter(t: Tables) -> DataFrame:
     return url_filter.match_urls(t.pages, rules)
 
 
+@llm_query("op8_pu_quality")
+def op8_pu_quality(t: Tables) -> DataFrame:
+    rows = pu_quality.featured(t.documents)
+    found = pu_quality.scored(rows, pu_quality.fit(rows, t.labels))
+    return found.select("doc_id", F.coalesce(pu_quality.fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
+                        (F.col("score") >= pu_quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 _WORDS9 = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
