@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, decontaminate, exact_dedup, line_dedup, pu_quality, simhash, url_filter
+from millrace.llm import byte_bpe, decontaminate, exact_dedup, licenses, line_dedup, pu_quality, simhash, url_filter
 from millrace.llm.registry import llm_query
 from millrace.sources.tables import Tables
 
@@ -46,6 +46,48 @@ def op4_simhash(t: Tables) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _license_sql() -> str:
+    values = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES)
+    words = "string_split(lower(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g')), ' ')"
+    return rf"""
+WITH t(license, text) AS (VALUES {values}),
+tt AS (SELECT license, term, count(*) AS tf FROM (SELECT license, unnest({words.format("text")}) AS term FROM t) WHERE term <> '' GROUP BY ALL),
+i AS (SELECT term, ln((1.0 + (SELECT count(*) FROM t)) / (1 + count(*))) + 1 AS idf FROM tt GROUP BY term),
+tv AS (SELECT license, tt.term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY license)) AS share FROM tt JOIN i USING (term)),
+f AS (SELECT doc_id, coalesce(text, '') AS text,
+             concat_ws('/', source, CASE WHEN doc_id % 10 > 0 THEN lang END,
+                       CASE WHEN doc_id % 10 > 2 THEN CAST(doc_id // 100 AS VARCHAR) END) AS dir FROM documents),
+p AS (SELECT doc_id, 0 AS pos, text AS passage FROM f
+      UNION ALL SELECT doc_id, unnest(range(1, len(parts) + 1)), unnest(parts) FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM f)),
+c AS (SELECT doc_id, pos, term, count(*) AS tf FROM (SELECT doc_id, pos, unnest({words.format("passage")}) AS term FROM p) WHERE term <> '' GROUP BY ALL),
+v AS (SELECT doc_id, pos, c.term, tf * coalesce(idf, ln(1.0 + (SELECT count(*) FROM t)) + 1) AS value FROM c LEFT JOIN i USING (term)),
+n AS (SELECT doc_id, pos, sqrt(sum(value * value)) AS size FROM v GROUP BY ALL),
+s AS (SELECT doc_id, license, round(sum(value * share) / any_value(size), 6) AS score
+      FROM v JOIN tv USING (term) JOIN n USING (doc_id, pos) GROUP BY doc_id, pos, license),
+o AS (SELECT doc_id, license AS own_license, score AS own_score FROM s WHERE score >= 0.8
+      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
+d AS (SELECT dir, own_license AS dir_license FROM f JOIN o USING (doc_id)
+      QUALIFY row_number() OVER (PARTITION BY dir ORDER BY dir || '/' || doc_id) = 1),
+h AS (SELECT f.doc_id, d.dir, d.dir_license FROM f JOIN d ON f.dir = d.dir OR starts_with(f.dir, d.dir || '/')
+      QUALIFY row_number() OVER (PARTITION BY f.doc_id ORDER BY length(d.dir) DESC) = 1)
+SELECT f.doc_id, own_license, own_score, coalesce(own_license, dir_license) AS license,
+       CASE WHEN own_license IS NOT NULL THEN 'own' WHEN dir_license IS NOT NULL THEN 'inherited' ELSE 'none' END AS evidence,
+       CASE WHEN own_license IS NULL THEN h.dir END AS from_directory
+FROM f LEFT JOIN o USING (doc_id) LEFT JOIN h USING (doc_id)"""
+
+
+@llm_query("op6_licenses", _license_sql())
+def op6_licenses(t: Tables) -> DataFrame:
+    """Documents have no paths: they are put into a tree by source, language and hundred, at three depths."""
+    ident = F.col("doc_id")
+    folder = F.concat_ws("/", "source", F.when(ident % 10 > 0, F.col("lang")),
+                         F.when(ident % 10 > 2, F.floor(ident / 100).cast("string")))
+    files = t.documents.select(F.concat_ws("/", folder, ident).alias("path"), "text", F.lit(True).alias("licence_file"))
+    found = licenses.scan_licenses(files)
+    return found.select(F.regexp_extract("path", "([^/]*)$", 1).cast("long").alias("doc_id"), "own_license", "own_score",
+                        "license", "evidence", "from_directory")
+
+
 #: Rules of the contract, in its order: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
