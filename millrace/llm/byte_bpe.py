@@ -10,7 +10,6 @@ token-byte table.
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,10 +23,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import utf8
+from millrace.llm.blocks import blocks, pack, unpack
 
-#: Text of one block. A block holds whole documents, so a longer document is a block by itself.
-BLOCK_BYTES = 8 << 20
 #: Most slices of the distinct words.
 MOST_SLICES = 4096
 
@@ -74,19 +71,6 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _pack(parts: list[bytes]) -> bytes:
-    sizes = np.fromiter(map(len, parts), np.uint32, len(parts))
-    return zstandard.compress(np.uint32(len(parts)).tobytes() + sizes.tobytes() + b"".join(parts), 3)
-
-
-def _unpack(packed: bytes) -> list[bytes]:
-    raw = zstandard.decompress(packed)
-    n = int(np.frombuffer(raw, np.uint32, 1)[0])
-    ends = 4 + 4 * n + np.cumsum(np.frombuffer(raw, np.uint32, n, 4), dtype=np.int64)
-    cuts = [4 + 4 * n, *ends.tolist()]
-    return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-
-
 def _pack_ids(ids: list[list[int]]) -> bytes:
     sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
     flat = np.fromiter((i for word in ids for i in word), np.uint32, int(sizes.sum()))
@@ -108,34 +92,6 @@ def by_slice(words: set[bytes], slices: int) -> list[tuple[int, list[bytes]]]:
     return [(s, [ordered[i] for i in order[a:b].tolist()]) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
 
 
-def blocks(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
-    """Packs documents in the order they are read: block (hash of what it holds), ids, texts."""
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, held = [], [], 0
-
-        def block() -> pa.RecordBatch:
-            packed = _pack(texts)
-            name = hashlib.blake2b(repr(ids).encode() + packed, digest_size=16).digest()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([name], pa.binary()), pa.array([ids], pa.list_(kind)), pa.array([packed], pa.binary())],
-                ["block", "ids", "texts"])
-
-        for batch in batches:
-            kind = batch.column("doc_id").type
-            for ident, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text"))):
-                if texts and held + len(text) > size:
-                    yield block()
-                    ids, texts, held = [], [], 0
-                ids.append(ident)
-                texts.append(text)
-                held += len(text)
-        if texts:
-            yield block()
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(apply, f"block binary, ids array<{kind}>, texts binary")
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None) -> DataFrame:
     """doc_id, ids (array<int>) of every row, as if each text had been encoded by itself.
 
@@ -153,12 +109,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None) -
         for batch in batches:
             for block, texts in zip(batch.column("block").to_pylist(), batch.column("texts").to_pylist()):
                 found: set[str] = set()
-                for text in _unpack(texts):
+                for text in unpack(texts):
                     found.update(cut(text.decode()))
                 rows = by_slice({w.encode() for w in found}, slices)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([s for s, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.binary()),
-                     pa.array([_pack(w) for _, w in rows], pa.binary())], ["slice", "block", "words"])
+                     pa.array([pack(w) for _, w in rows], pa.binary())], ["slice", "block", "words"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, here, known = shared.value.ranks, None, {}
@@ -168,7 +124,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None) -
                 if at != here:
                     here, known = at, {}
                 ids = []
-                for word in _unpack(words):
+                for word in unpack(words):
                     own = known.get(word)
                     if own is None:
                         own = known[word] = encode_word(word, ranks)
@@ -182,12 +138,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None) -
                .mapInArrow(answer, "slice int, block binary, coded binary"))
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        kind = left.schema.field("ids").type.value_type
+        kind = left.schema.field("doc_id").type.value_type
         cut = regex.compile(pattern).findall
         coded = dict(zip(right.column("slice").to_pylist(), right.column("coded").to_pylist()))
         ids, rows = [], []
-        for names, texts in zip(left.column("ids").to_pylist(), left.column("texts").to_pylist()):
-            pieces = [cut(t.decode()) for t in _unpack(texts)]
+        for names, texts in zip(left.column("doc_id").to_pylist(), left.column("texts").to_pylist()):
+            pieces = [cut(t.decode()) for t in unpack(texts)]
             place: dict[bytes, int] = {}
             sizes, flat = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
             for at, words in by_slice({w.encode() for p in pieces for w in p}, slices):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, decontaminate, exact_dedup, licenses, line_dedup, pu_quality, simhash, url_filter
+from millrace.llm import byte_bpe, decontaminate, exact_dedup, katz, licenses, line_dedup, pu_quality, simhash, url_filter
 from millrace.llm.registry import llm_query
 from millrace.sources.tables import Tables
 
@@ -46,6 +46,13 @@ def op4_simhash(t: Tables) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@llm_query("op5_katz")
+def op5_katz(t: Tables) -> DataFrame:
+    held_out = F.coalesce(pu_quality.fold(F.col("doc_id"), 7) == 2, F.lit(False))
+    found = katz.katz_scores(t.documents.select("doc_id", "text", (~held_out).alias("learn")))
+    return found.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def _license_sql() -> str:
     values = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES)
     words = "string_split(lower(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g')), ' ')"

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from millrace.session import fresh_dir
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Writes ``df`` once below ``spark.checkpoint.dir`` and reads it back."""
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
