@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, decontaminate, exact_dedup, katz, licenses, line_dedup, pu_quality, simhash, url_filter
+from millrace.llm import byte_bpe, decontaminate, exact_dedup, katz, licenses, line_dedup, pu_quality, simhash, substring_dedup, url_filter
 from millrace.llm.registry import llm_query
 from millrace.sources.tables import Tables
 
@@ -40,6 +40,22 @@ def op2_byte_bpe(t: Tables) -> DataFrame:
     return token_digests(t.documents, tokenizer())
 
 
+@llm_query("op3_substring_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS key
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+g AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY key) AS first_doc FROM s),
+x AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM g WHERE first_doc < doc_id),
+k AS (SELECT d.doc_id, count(x.p) AS n_removed, string_agg(word, ' ' ORDER BY q.p) FILTER (x.p IS NULL) AS kept
+      FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d) q
+      JOIN d USING (doc_id) LEFT JOIN x ON x.doc_id = q.doc_id AND x.p = q.p GROUP BY d.doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""")
+def op3_substring_dedup(t: Tables) -> DataFrame:
+    found = substring_dedup.remove_repeats(t.documents)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @llm_query("op4_simhash")
 def op4_simhash(t: Tables) -> DataFrame:
     found = simhash.simhash_components(t.documents)
