@@ -155,5 +155,5 @@ def contaminated() -> Column:
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their own columns."""
-    columns = docs.columns
-    return find_passages(docs, items).filter(~contaminated()).select(*columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    return find_passages(rows, items).filter(~contaminated()).select(*[F.col("row")[c].alias(c) for c in docs.columns])

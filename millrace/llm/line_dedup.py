@@ -56,18 +56,18 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     empty text. Rows that share a doc_id are treated alike. Columns n_lines and n_removed of
     ``docs`` are replaced.
     """
-    docs = docs.drop("n_lines", "n_removed")
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     lines = site_lines(docs)
     marked = (lines.join(boilerplate(lines, min_sites), ["h1", "h2"])
               .filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-              .groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set(F.struct("h1", "h2")).alias("_gone")))
-    parts = F.split(text_or_empty(), "\n")
-    kept = F.filter("_parts", lambda line: ~F.coalesce(F.array_contains("_gone", line_key(line)), F.lit(False)))
-    joined = (docs.join(marked, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-              .withColumn("_parts", parts)
-              .withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("_parts")).otherwise(kept)))
+              .groupBy(F.col("doc_id").alias("marked_doc")).agg(F.collect_set(F.struct("h1", "h2")).alias("gone")))
+    # The row travels in a struct, so no column of it can clash with those added here.
+    rows = docs.select(F.struct(*names).alias("row"), "doc_id", F.split(text_or_empty(), "\n").alias("parts"), (text_or_empty() == "").alias("empty"))
+    kept = F.filter("parts", lambda line: ~F.coalesce(F.array_contains("gone", line_key(line)), F.lit(False)))
+    joined = (rows.join(marked, F.col("doc_id").eqNullSafe(F.col("marked_doc")), "left")
+              .withColumn("kept", F.when(F.col("gone").isNull(), F.col("parts")).otherwise(kept)))
     return joined.select(
-        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")).alias("text")
-          if c == "text" else F.col(c) for c in docs.columns],
-        F.when(text_or_empty() == "", 0).otherwise(F.size("_parts")).cast("long").alias("n_lines"),
-        (F.size("_parts") - F.size("_kept")).cast("long").alias("n_removed"))
+        *[F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join("kept", "\n")).alias("text")
+          if c == "text" else F.col("row")[c].alias(c) for c in names],
+        F.when(F.col("empty"), 0).otherwise(F.size("parts")).cast("long").alias("n_lines"),
+        (F.size("parts") - F.size("kept")).cast("long").alias("n_removed"))

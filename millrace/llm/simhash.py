@@ -244,5 +244,7 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS, shingle: int = SHI
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """The row with the smallest doc_id of each component, with all its columns."""
     found = simhash_components(docs, radius, shingle)
-    stay = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct())
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("staying")).distinct()
+    # The row travels in a struct, so that none of its columns can clash.
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
+    return rows.join(stay, F.col("doc_id").eqNullSafe(F.col("staying")), "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
