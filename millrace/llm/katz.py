@@ -140,11 +140,13 @@ def add_up(lists: DataFrame) -> DataFrame:
         seen = totals > 0
         stats = [*np.bincount(np.minimum(totals[seen], CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2].tolist(), int(totals.sum()), int(seen.sum())]
         out = [("table", where, level, None, pack_numbers(keys[seen], True), pack_numbers(totals[seen]), None, stats)]
-        at = 0
+        at, last = 0, None
         for (block, _, _), own in zip(rows, lists):
             here = slice(at, at + len(own))
-            out.append(("answer", where, level, block, None, pack_numbers(totals[place[here]]), np.packbits(owned[here]).tobytes(), None))
             at += len(own)
+            if block != last:  # equal blocks count each, and share one answer
+                out.append(("answer", where, level, block, None, pack_numbers(totals[place[here]]), np.packbits(owned[here]).tobytes(), None))
+            last = block
         kinds = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                         ["kind", "slice", "level", "block", "keys", "counts", "owned", "stats"])
@@ -204,16 +206,16 @@ def katz_scores(docs: DataFrame, slices: int | None = None) -> DataFrame:
                 pa.array(["doc"] * n), pa.array([f"{block.hex()}-{copy}-{i}" for i in range(n)]), pa.array(ids, left.schema.field("doc_id").type.value_type),
                 pa.array(learn), pa.array(grams.ends - starts), pa.array(known), pa.array(based), pa.array(direct),
                 pa.array(opened, pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())], _LOOKED))
-            if copy:
-                continue  # an equal block has been added to the contexts
             mine = head[owned & (totals[2] > 0)]
-            names, spot = np.unique(contexts[mine], return_inverse=True)
+            if copy or not len(mine):
+                continue  # an equal block has been added to the contexts
+            names, one_of, spot = np.unique(contexts[mine], return_index=True, return_inverse=True)
             held = np.bincount(spot, c2[mine] - two.discounted(c2[mine]), len(names))
             low = np.bincount(spot, p1[mine], len(names))
             m = len(names)
-            out.append(pa.table([pa.array(["context"] * m), pa.nulls(m, pa.string()), pa.nulls(m, left.schema.field("doc_id").type.value_type),
+            out.append(pa.table([pa.array(["context"] * m, pa.string()), pa.nulls(m, pa.string()), pa.nulls(m, left.schema.field("doc_id").type.value_type),
                                  pa.nulls(m, pa.bool_()), *(pa.nulls(m, pa.int64()) for _ in range(2)), *(pa.nulls(m, pa.float64()) for _ in range(2)),
-                                 pa.nulls(m, pa.list_(pa.int64())), pa.array(names), pa.array(held / before[mine][np.unique(spot, return_index=True)[1]]), pa.array(low)], _LOOKED))
+                                 pa.nulls(m, pa.list_(pa.int64())), pa.array(names), pa.array(held / before[mine][one_of]), pa.array(low)], _LOOKED))
         return pa.concat_tables(out)
 
     looked = staged(packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(look_up, (
