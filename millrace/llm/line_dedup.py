@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.staging import staged
 from millrace.llm.words import single_spaced, text_or_empty
 
 #: Distinct sites from which a line is boilerplate.
@@ -38,7 +39,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MA
     gap = max(1.0, min_sites * margin)
     spread = (lines.groupBy("h1", "h2")
               .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_BITS))).alias("sites"), F.min("doc_id").alias("first_doc")))
-    wide = spread.filter(F.col("sites") >= min_sites - gap)
+    wide = staged(spread.filter(F.col("sites") >= min_sites - gap), "wide-lines")
     near = wide.filter(F.col("sites") <= min_sites + gap).select("h1", "h2")
     exact = (lines.select("h1", "h2", "site").join(near, ["h1", "h2"], "left_semi").distinct()
              .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("exact_sites")))
@@ -57,8 +58,10 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     ``docs`` are replaced.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    lines = site_lines(docs)
-    marked = (lines.join(boilerplate(lines, min_sites), ["h1", "h2"])
+    lines = staged(site_lines(docs), "lines")
+    # Written first, so that the join below stands alone and a busy line can be split over tasks.
+    shared = staged(boilerplate(lines, min_sites), "boilerplate")
+    marked = (lines.join(shared, ["h1", "h2"])
               .filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
               .groupBy(F.col("doc_id").alias("marked_doc")).agg(F.collect_set(F.struct("h1", "h2")).alias("gone")))
     # The row travels in a struct, so no column of it can clash with those added here.
