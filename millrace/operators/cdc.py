@@ -13,10 +13,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.skew import BROADCAST_LIMIT, UNBOUNDED, key_set, lookup_join, planned_bytes
+from millrace.functions.skew import BROADCAST_LIMIT, key_set, lookup_join, planned_bytes
 from millrace.operators.keyed import latest_per_key, positions
 
 CHANGE_TYPE = "_change_type"
@@ -36,15 +36,39 @@ def _side_by_side(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(right, list(keys), "full")
 
 
+def _key_missing(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+
+
+def _refuse(bad: Column, message: str, keys: Sequence[str]) -> Column:
+    """True for good rows; raises, when the row is computed, for bad ones."""
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"{message}: "), shown)).cast("boolean")).otherwise(F.lit(True))
+
+
+def _per_key(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Rows that share the row's key. Rows without a key are nobody's equals and are spread."""
+    apart = F.when(_key_missing(keys), F.xxhash64(*df.columns)).otherwise(F.lit(0))
+    return F.count(F.lit(1)).over(Window.partitionBy(*keys, apart))
+
+
+def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, raising while it is computed if two rows share a key. Rows without a key pass."""
+    counted = df.withColumn("_same", _per_key(df, keys))
+    twice = (F.col("_same") > 1) & ~_key_missing(keys)
+    return counted.filter(_refuse(twice, "more than one row for key", keys)).drop("_same")
+
+
 # --- merges ---------------------------------------------------------------------------------
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched rows take all source values, the rest of the source is inserted.
 
-    ``source`` must have one row per key (reduce a change log with :func:`latest_changes`).
+    Two source rows for one key are an error, raised when they are computed (reduce a change log
+    with :func:`latest_changes` first). Source rows without a key match nothing and are inserted.
     """
     kept = target.join(key_set(source, keys), list(keys), "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return kept.unionByName(unique_keys(source, keys).select(*target.columns))
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,43 +96,48 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                   limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Fold a change log into a table: deletes remove, other changes replace or insert.
 
-    A small log is matched by its keys, so the target stays where it is. A large one is stacked
-    on the target and both are reduced to one row per key in a single shuffle.
+    A changed key ends with one row or none. All other target rows, those that repeat a key or
+    have none included, stay as they are. A change without a key is an error, raised when it is
+    computed. Up to ``limit`` planned bytes the change keys are broadcast, so the target stays where it is;
+    the rows are the same either way.
     """
-    if planned_bytes(changes) > limit:
-        return _fold(target, F.lit(None), changes, keys, seq, tie, [F.col("_base").asc()], [])
-    last = latest_changes(changes, keys, seq, tie)
-    kept = target.join(F.broadcast(key_set(last, keys)), list(keys), "left_anti")
-    live = last.filter(F.col(CHANGE_TYPE) != "delete")
-    return kept.unionByName(live.select(*target.columns))
+    last = latest_changes(changes.filter(_refuse(_key_missing(keys), "change without a key", keys)), keys, seq, tie)
+    return _replace(target, last, keys, planned_bytes(changes) <= limit)
+
+
+def _replace(target: DataFrame, last: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    touched = key_set(last, keys)
+    kept = target.join(F.broadcast(touched) if small else touched, list(keys), "left_anti")
+    return kept.unionByName(last.filter(F.col(CHANGE_TYPE) != "delete").select(*target.columns))
 
 
 def apply_changes_ordered(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                           target_seq: str, seq: str = COMMIT_TS, tie: Sequence[str | Column] = (),
-                          limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Like :func:`apply_changes`, but a change older than the stored row is ignored. A missing
-    sequence value is older than any other."""
-    if planned_bytes(changes) > limit:
-        return _fold(target, F.col(target_seq), changes, keys, seq, tie, [], [F.col("_base").asc()])
-    last = latest_changes(changes, keys, seq, tie)
-    incoming = F.broadcast(last.select(*keys, F.col(seq).alias("_incoming")))
+                          tombstones: DataFrame | None = None, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Like :func:`apply_changes`, but a change older than the stored row is ignored.
+
+    A missing sequence value is older than any other; of several stored rows of a key the newest
+    counts. ``tombstones`` (see :func:`next_tombstones`) holds when deleted keys were deleted, so
+    that an older change arriving later does not bring them back.
+    """
+    small = planned_bytes(changes) <= limit
+    last = latest_changes(changes.filter(_refuse(_key_missing(keys), "change without a key", keys)), keys, seq, tie)
     stored = target.select(*keys, F.col(target_seq).alias("_stored"))
+    if tombstones is not None:
+        stored = stored.unionByName(tombstones.select(*keys, F.col(seq).alias("_stored")))
+    incoming = last.select(*keys, F.col(seq).alias("_incoming"))
     older = (F.col("_incoming") < F.col("_stored")) | (F.col("_incoming").isNull() & F.col("_stored").isNotNull())
-    stale = stored.join(incoming, list(keys)).filter(older).select(*keys)
-    fresh = last.join(F.broadcast(stale), list(keys), "left_anti")
-    return apply_changes(target, fresh, keys, seq, limit=UNBOUNDED)
+    stale = key_set(stored.join(F.broadcast(incoming) if small else incoming, list(keys)).filter(older), keys)
+    return _replace(target, last.join(F.broadcast(stale) if small else stale, list(keys), "left_anti"), keys, small)
 
 
-def _fold(target: DataFrame, target_seq: Column, changes: DataFrame, keys: Sequence[str], seq: str,
-          tie: Sequence[str | Column], before: Sequence[Column], after: Sequence[Column]) -> DataFrame:
-    kind = changes.schema[seq].dataType
-    extra = [F.col(c) for c in tie if isinstance(c, str) and c not in target.columns]
-    base = target.withColumns({CHANGE_TYPE: F.lit("insert"), "_seq": target_seq.cast(kind), "_base": F.lit(True)})
-    log = changes.select(*target.columns, CHANGE_TYPE, F.col(seq).alias("_seq"), F.lit(False).alias("_base"), *extra)
-    rows = base.unionByName(log, allowMissingColumns=True)
-    order = [*before, F.col("_seq").desc_nulls_last(), *after, *tie]
-    return (latest_per_key(rows, keys, order).filter(F.col(CHANGE_TYPE) != "delete")
-            .select(*target.columns))
+def next_tombstones(tombstones: DataFrame | None, changes: DataFrame, keys: Sequence[str],
+                    seq: str = COMMIT_TS, tie: Sequence[str | Column] = ()) -> DataFrame:
+    """Keys whose newest known change is a deletion, and when it was made: the keys and ``seq``."""
+    known = changes
+    if tombstones is not None:
+        known = tombstones.withColumn(CHANGE_TYPE, F.lit("delete")).unionByName(changes, allowMissingColumns=True)
+    return latest_changes(known, keys, seq, tie).filter(F.col(CHANGE_TYPE) == "delete").select(*keys, seq)
 
 
 def current_from_history(history: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -149,14 +178,40 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], at: Column)
 
 def append_history(history: DataFrame, feed: DataFrame, keys: Sequence[str],
                    seq: str = COMMIT_TS) -> DataFrame:
-    """Append changes once per (key, commit); replayed changes are recognised and skipped."""
-    return merge_insert_only(history, feed.dropDuplicates([*keys, seq]), [*keys, seq])
+    """Append changes once; replayed changes are recognised and skipped.
 
+    A change is its key, commit, kind and values. Different changes of a key at one commit, such
+    as an insert and an update in one transaction, are all kept.
+    """
+    identity = change_identity(feed, keys, seq)
+    known = history.select(F.struct(*identity).alias("_known")).distinct()
+    fresh = feed.withColumn("_same", F.struct(*identity)).dropDuplicates(["_same"])
+    return history.unionByName(fresh.join(known, fresh._same == known._known, "left_anti").select(*history.columns))
 
-def sync_snapshot(source: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                  order: Sequence[str | Column]) -> DataFrame:
-    """Full refresh of a mirror: the source's columns, one row per key."""
-    return latest_per_key(source.select(*columns), keys, order)
+
+def change_identity(changes: DataFrame, keys: Sequence[str], seq: str = COMMIT_TS) -> list[Column]:
+    """Commit, and a hash of the whole change with its key, kind and values; NULLs count."""
+    values = sorted(c for c in changes.columns if c not in keys)
+    shown = F.to_json(F.struct(*[F.col(c) for c in [*keys, *values]]))
+    return [F.coalesce(F.col(seq).cast("string"), F.lit("")).alias("at"), F.sha2(shown, 256).alias("content")]
+
+
+def sync_snapshot(source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Full refresh of a mirror: the source's columns, every row.
+
+    A key that is missing or held by two rows is an error, raised when it is computed;
+    :func:`sync_rejects` lists such rows.
+    """
+    rows = source.select(*columns)
+    return unique_keys(rows.filter(_refuse(_key_missing(keys), "row without a key", keys)), keys)
+
+
+def sync_rejects(source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows a sync refuses, with ``reason``: missing key or repeated key."""
+    rows = source.select(*columns)
+    missing = _key_missing(keys)
+    return (rows.withColumn("_same", _per_key(rows, keys)).filter(missing | (F.col("_same") > 1))
+            .withColumn("reason", F.when(missing, "missing key").otherwise("repeated key")).drop("_same"))
 
 
 def mirror_drift(source: DataFrame, mirror: DataFrame, keys: Sequence[str]) -> DataFrame:

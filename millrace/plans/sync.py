@@ -49,19 +49,35 @@ def apply_changes(t: Tables) -> DataFrame:
     return cdc.apply_changes(roles.orders_before(t), roles.order_history(t), KEY)
 
 
-@query("apply_changes_ordered", f"""WITH {roles.HISTORY_SQL},
+@query("apply_changes_ordered", f"""WITH {roles.HISTORY_SQL}, {_LAST},
 before AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'),
-last AS (SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY _commit_timestamp DESC) AS r
-  FROM history WHERE _change_type <> 'insert') WHERE r = 1),
 fresh AS (SELECT l.* FROM last l LEFT JOIN before b ON b.o_orderkey = l.o_orderkey
           WHERE b.o_orderkey IS NULL OR l._commit_timestamp >= b.o_orderdate)
 SELECT * FROM before WHERE o_orderkey NOT IN (SELECT o_orderkey FROM fresh)
 UNION ALL SELECT {_LISTED} FROM fresh WHERE _change_type <> 'delete'""")
 def apply_changes_ordered(t: Tables) -> DataFrame:
-    # Without the inserts, finished urgent orders are left with an update older than the row.
-    changes = roles.order_history(t).filter(F.col("_change_type") != "insert")
-    return cdc.apply_changes_ordered(roles.orders_before(t), changes, KEY, "o_orderdate")
+    return cdc.apply_changes_ordered(roles.orders_before(t), roles.order_history(t), KEY, "o_orderdate")
+
+
+@query("apply_changes_late", f"""WITH {roles.HISTORY_SQL},
+before AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey, _change_type = 'delete' ORDER BY _commit_timestamp DESC) AS r FROM history),
+gone AS (SELECT o_orderkey, _commit_timestamp AS deleted FROM ranked WHERE r = 1 AND _change_type = 'delete'),
+late AS (SELECT * FROM ranked WHERE r = 1 AND _change_type <> 'delete'),
+fresh AS (SELECT l.* FROM late l LEFT JOIN gone g USING (o_orderkey)
+          LEFT JOIN (SELECT o_orderkey, o_orderdate AS stored FROM before) b USING (o_orderkey)
+          WHERE (g.o_orderkey IS NULL OR l._commit_timestamp >= g.deleted)
+            AND (b.o_orderkey IS NULL OR g.o_orderkey IS NOT NULL OR l._commit_timestamp >= b.stored)),
+after AS (SELECT b.* FROM before b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM gone))
+SELECT * FROM after WHERE o_orderkey NOT IN (SELECT o_orderkey FROM fresh)
+UNION ALL SELECT {_LISTED} FROM fresh""")
+def apply_changes_late(t: Tables) -> DataFrame:
+    """The deletions arrive first, all other changes in a later batch; no older change brings a row back."""
+    history = roles.order_history(t)
+    deletions, rest = history.filter("_change_type = 'delete'"), history.filter("_change_type <> 'delete'")
+    first = cdc.apply_changes(roles.orders_before(t), deletions, KEY)
+    gone = cdc.next_tombstones(None, deletions, KEY)
+    return cdc.apply_changes_ordered(first, rest, KEY, "o_orderdate", tombstones=gone)
 
 
 @query("insert_ignore", """WITH incoming AS (SELECT user_id, event_id, ts, row_number() OVER (
@@ -124,14 +140,18 @@ def delete_cascade(t: Tables) -> DataFrame:
     return kept["messages"]
 
 
-@query("sync_snapshot", """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_shipdate DESC, l_partkey, l_quantity, l_extendedprice) AS r FROM lineitem) WHERE r = 1""")
+@query("sync_snapshot", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
 def sync_snapshot(t: Tables) -> DataFrame:
-    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-    return cdc.sync_snapshot(t.lineitem, ["l_orderkey", "l_linenumber"], columns,
-                             [F.col("l_shipdate").desc(), "l_partkey", "l_quantity", "l_extendedprice"]
-                             ).drop("l_extendedprice")
+    return cdc.sync_snapshot(t.orders, ["o_orderkey"], ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+
+
+@query("sync_rejects", """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate,
+  CASE WHEN l_orderkey IS NULL OR l_linenumber IS NULL THEN 'missing key' ELSE 'repeated key' END AS reason
+FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem)
+WHERE n > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""")
+def sync_rejects(t: Tables) -> DataFrame:
+    """Line items whose key is not one: the generated line numbers repeat."""
+    return cdc.sync_rejects(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"])
 
 
 _FEED = """feed AS (

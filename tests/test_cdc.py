@@ -152,3 +152,78 @@ def test_freshness_counts_pending(spark):
     source = spark.createDataFrame([(1, 1, at(0)), (2, 1, at(0))], "id long, v int, committed timestamp_ntz")
     target = spark.createDataFrame([(1, 1, at(2))], "id long, v int, applied timestamp_ntz")
     assert rows(cdc.freshness_lag(source, target, ["id"], "v", "committed", "applied")) == [(1, 1, 120.0, 120.0)]
+
+
+KEYS = st.integers(1, 4) | st.none()
+TARGET = st.lists(st.tuples(KEYS, st.sampled_from(["a", "b", None]), st.integers(0, 9) | st.none()), max_size=7)
+LOG = st.lists(st.tuples(st.integers(1, 5), st.sampled_from(["x", "y"]), st.integers(0, 9), st.sampled_from(["update", "delete", "insert"])),
+               max_size=6, unique_by=lambda c: (c[0], c[2]))
+
+
+def fold_by_hand(target, log, ordered):
+    last = {}
+    for k, v, m, kind in log:
+        if k not in last or m > last[k][1]:
+            last[k] = (v, m, kind)
+    if ordered:
+        for k, _, m in target:
+            if k in last and m is not None and last[k][1] < m:
+                del last[k]
+    kept = [t for t in target if t[0] not in last or t[0] is None]
+    return kept + [(k, v, m) for k, (v, m, kind) in last.items() if kind != "delete"]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=TARGET, log=LOG)
+def test_one_meaning_whatever_the_size(spark, target, log):
+    """Rows without a key, repeated keys and untouched rows stay, however the keys are matched."""
+    table = spark.createDataFrame([(k, v, None if m is None else at(m)) for k, v, m in target], "id long, name string, seen timestamp_ntz")
+    changes = spark.createDataFrame([(k, v, at(m), kind, at(m)) for k, v, m, kind in log],
+                                    "id long, name string, seen timestamp_ntz, _change_type string, _commit_timestamp timestamp_ntz")
+    for limit in (0, 1 << 63):
+        for ordered, out in ((False, cdc.apply_changes(table, changes, ["id"], limit=limit)),
+                             (True, cdc.apply_changes_ordered(table, changes, ["id"], "seen", limit=limit))):
+            expected = [(k, v, None if m is None else at(m)) for k, v, m in fold_by_hand(target, log, ordered)]
+            assert rows(out) == sorted(expected, key=str)
+
+
+def test_deletion_outlives_older_changes(spark):
+    schema = "id long, name string, seen timestamp_ntz"
+    table = spark.createDataFrame([(1, "a", at(0))], schema)
+    change = lambda *c: spark.createDataFrame(list(c), schema + ", _change_type string, _commit_timestamp timestamp_ntz")
+    first = change((1, "a", at(9), "delete", at(9)))
+    after = cdc.apply_changes_ordered(table, first, ["id"], "seen")
+    gone = cdc.next_tombstones(None, first, ["id"])
+    late = change((1, "old", at(5), "update", at(5)))
+    assert rows(cdc.apply_changes_ordered(after, late, ["id"], "seen", tombstones=gone)) == []
+    gone = cdc.next_tombstones(gone, late, ["id"])
+    assert rows(gone) == [(1, at(9))]
+    new = change((1, "new", at(12), "insert", at(12)))
+    assert rows(cdc.apply_changes_ordered(after, new, ["id"], "seen", tombstones=gone)) == [(1, "new", at(12))]
+    assert rows(cdc.next_tombstones(gone, new, ["id"])) == []
+
+
+def test_bad_keys_are_refused(spark, people):
+    twice = spark.createDataFrame([(2, "x", 0.1), (2, "y", 0.2)], SCHEMA)
+    nobody = spark.createDataFrame([(None, "x", 0.1), (None, "y", 0.2)], SCHEMA)
+    with pytest.raises(Exception, match="more than one row"):
+        cdc.merge_upsert(people, twice, ["id"]).collect()
+    assert cdc.merge_upsert(people, nobody, ["id"]).count() == 5
+    columns = ["id", "name", "score"]
+    assert rows(cdc.sync_snapshot(people, ["id"], columns)) == rows(people)
+    for bad, message in ((twice, "more than one row"), (nobody, "without a key")):
+        with pytest.raises(Exception, match=message):
+            cdc.sync_snapshot(people.unionByName(bad), ["id"], columns).collect()
+    refused = cdc.sync_rejects(people.unionByName(twice).unionByName(nobody), ["id"], ["id", "name"])
+    assert rows(refused) == sorted([(2, "bo", "repeated key"), (2, "x", "repeated key"), (2, "y", "repeated key"),
+                                    (None, "x", "missing key"), (None, "y", "missing key")], key=str)
+    with pytest.raises(Exception, match="without a key"):
+        cdc.apply_changes(people, spark.createDataFrame([(None, "x", 1.0, "insert", at(0))], CHANGES), ["id"]).collect()
+
+
+def test_changes_of_one_commit_are_all_kept(spark):
+    feed = spark.createDataFrame([(1, "a", 1.0, "insert", at(0)), (1, "b", 1.0, "update", at(0)), (1, "c", None, "update", at(0)),
+                                  (2, None, None, "insert", None), (1, "a", 1.0, "insert", at(0))], CHANGES)
+    once = cdc.append_history(feed.limit(0), feed, ["id"])
+    assert once.count() == 4
+    assert rows(cdc.append_history(once, feed, ["id"])) == rows(once)
