@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.staging import staged
-from millrace.llm.words import hash_words, mix, signed, text_or_empty, utf8
+from millrace.llm.words import hash_words, mix, pieces, signed, text_or_empty, utf8
 
 WINDOW, GRAM = 50, 20
 #: Different spans that may share a gram; commoner grams are split by whole windows.
@@ -28,7 +28,7 @@ GROUP_SPANS = 4096
 #: 64-bit words of the two routing bitmaps (4 MB each), whatever the corpus.
 ROUTE_WORDS = 1 << 19
 #: Words of the suffix trees that are refined together.
-TREE_WORDS = 1 << 20
+TREE_WORDS = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
 #: Stands for a NULL id, which loses to any other.
@@ -117,7 +117,7 @@ def _split(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray]:
 def group_sizes(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """key, spans (different contents), low and high doc_id of every group."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             words, sizes = _split(batch)
             found = spans_of(hash_words(words), sizes, window, gram, None)
             ids = batch.column("id").to_numpy()[found.docs]
@@ -132,7 +132,7 @@ def group_sizes(docs: DataFrame, window: int, gram: int) -> DataFrame:
 def cut_spans(docs: DataFrame, wanted, common, window: int, gram: int, with_text: bool) -> DataFrame:
     """Spans of groups that several documents may share: key, span (content id), id, words; or their places: span, id, row, at, count."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             words, sizes = _split(batch)
             found = spans_of(hash_words(words), sizes, window, gram, common.value)
             take = np.flatnonzero(in_bitmap(found.grams, wanted.value))
@@ -250,7 +250,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             counts, removed, spans, kept = [], [], [], []
             for text, own in zip(utf8(batch.column("text")), batch.column("runs").to_pylist()):
                 words = text.split()

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +32,20 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
+def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, so that memory does not follow the batch's rows."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        start, held = 0, 0
+        for i, length in enumerate(lengths.tolist()):
+            if i > start and held + length > size:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += length
+        if batch.num_rows > start:
+            yield batch.slice(start)
+
+
 def hash_words(words: list[bytes]) -> np.ndarray:
     """64-bit hash of each word; every distinct word of the batch is hashed once."""
     if not words:
