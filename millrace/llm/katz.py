@@ -25,8 +25,8 @@ from millrace.llm.words import LOWER, hash_words, mix, signed
 #: Counts up to this are discounted by Good-Turing; higher ones lose REST occurrences, so that every
 #: context keeps some mass for words it has not been seen with.
 CUTOFF, REST = 5, 0.05
-#: Text of one block; larger blocks repeat fewer n-grams.
-BLOCK_BYTES = 16 << 20
+#: Text of one block: larger ones repeat fewer n-grams, smaller ones take less memory.
+BLOCK_BYTES = 6 << 20
 _BEGIN, _END = np.uint64(0x5EED0000BE91), np.uint64(0x5EED00000E4D)
 _ZERO = np.uint64(0)
 
