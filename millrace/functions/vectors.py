@@ -17,9 +17,10 @@ def dot(a: str | Column, b: str | Column) -> Column:
 
 
 def distance(a: str | Column, b: str | Column, metric: str = "cosine") -> Column:
-    """Distance between two array columns of equal length."""
+    """Distance between two array columns of equal length; NULL for a missing vector, and under
+    cosine for a zero vector, which has no direction."""
     if metric == "cosine":
-        return F.lit(1.0) - dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+        return F.lit(1.0) - F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
     if metric == "l2":
         squares = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double"))
                              * (x.cast("double") - y.cast("double")))

@@ -18,7 +18,6 @@ class ForeignKey:
     columns: tuple[str, ...]
     parent: str
     parent_columns: tuple[str, ...]
-    cascade: bool = False
 
 
 @dataclass(frozen=True)

@@ -153,10 +153,11 @@ def nearest_rank(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.95
     While a key has more than ``sort_rows`` candidate values, a mergeable sketch brackets the
     element and everything outside the bracket is only counted. The few values left are counted
     per distinct value and walked in order, so no task ever sorts a whole group. A bracket that
-    misses the element is discarded, which costs time but not exactness.
+    misses the element is discarded, which costs time but not exactness. A NULL key is a group.
     """
-    keys = list(keys)
-    rows = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    # As one struct the keys are never NULL, so that joins on them find the NULL group too.
+    group, keys = F.struct(*keys).alias("_group"), ["_group"]
+    rows = df.select(group, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     size = F.col("_m")
     plan = settle(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
                   .withColumns({"_target": F.least(F.floor(F.lit(p) * size), size - 1), "_skip": F.lit(0).cast("long")}))
@@ -197,4 +198,4 @@ def nearest_rank(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.95
     reached = counted.withColumn("_cum", F.col("_skip") + F.sum("_c").over(running))
     return (reached.filter((F.col("_target") < F.col("_cum"))
                            & (F.col("_target") >= F.col("_cum") - F.col("_c")))
-            .select(*keys, F.col("_v").alias(name)))
+            .select("_group.*", F.col("_v").alias(name)))

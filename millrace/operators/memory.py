@@ -70,13 +70,13 @@ def recall(requests: DataFrame, episodes: DataFrame, user: str, k: int, request_
 
     Requests meet only their user's own episodes, and each task keeps its best ``k`` per request
     before anything is shuffled. With ``weight=0`` (or no ``importance``) the order is plain
-    distance.
+    distance. Requests and episodes without a vector, or with a zero vector, have no rank.
     """
     asked = requests.select(user, F.col(request_id), F.col(request_vec).alias("_asked"))
     pairs = lookup_join(episodes, asked, [user]).withColumn("distance", distance(vec, "_asked"))
     bonus = F.lit(0.0) if importance is None else F.col(importance).cast("double") * F.lit(weight)
     scored = pairs.withColumn("score", F.round(F.col("distance") - bonus, digits)).drop("_asked", vec)
-    scored = scored.filter(~F.isnan("score"))
+    scored = scored.filter(F.col("score").isNotNull() & ~F.isnan("score"))
     return last_n_per_key(scored, [user, request_id], ["score", episode_id], k, rank_as="rank")
 
 
@@ -145,12 +145,12 @@ def remember(episodes: DataFrame, new: DataFrame, keys: Sequence[str], order: Se
 
 
 def keep_episodes(episodes: DataFrame, importance: str, last_seen: str, now: str) -> DataFrame:
-    """Retention by importance: from 0.7 for ever, from 0.3 for 180 days, below for 30 days."""
+    """Retention by importance: from 0.7 for ever, from 0.3 for 180 days, below for 30 days.
+    Episodes of unknown age stay."""
     score = F.coalesce(F.col(importance), F.lit(0.5))
-    return episodes.filter(
-        F.when(score >= 0.7, F.lit(True))
-        .when(score >= 0.3, ~older_than(last_seen, now, days=180))
-        .otherwise(~older_than(last_seen, now, days=30)))
+    expired = F.when(score >= 0.7, F.lit(False)).when(score >= 0.3, older_than(last_seen, now, days=180)).otherwise(
+        older_than(last_seen, now, days=30))
+    return episodes.filter(~F.coalesce(expired, F.lit(False)))
 
 
 def purge_old(rows: DataFrame, ts: str, now: str, days: int = 90) -> DataFrame:

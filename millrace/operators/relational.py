@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,10 +47,12 @@ def success_rate(calls: DataFrame, tool: str, ok: Column) -> DataFrame:
 
 
 def latency_summary(calls: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Mean and nearest-rank p95 per group."""
+    """Mean and nearest-rank p95 per group; rows with a NULL key form a group like any other."""
     means = calls.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
                                      F.round(F.avg(value), 3).alias("mean"))
-    return means.join(nearest_rank(calls, keys, value, 0.95), list(keys), "left")
+    ranks = nearest_rank(calls, keys, value, 0.95).select(*[F.col(k).alias(f"_{k}") for k in keys], "p95")
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    return means.join(ranks, same, "left").select(*means.columns, "p95")
 
 
 def daily_rollup(df: DataFrame, ts: str, newest: int = 30, **measures: Column) -> DataFrame:

@@ -131,13 +131,15 @@ def knowledge_rows(docs: DataFrame, doc_id: str, source: str, text: str, lang: s
     """Rows of a searchable chunk table, row by row from the documents and without a shuffle.
 
     ``chunk_id`` is the document id times 2^20 plus the chunk's place, so a reload gives the
-    same ids. Lexemes and vector are stored: searches read one narrow column each and analyse
+    same ids; ids too large for that are hashed with the place. Lexemes and vector are stored: searches read one narrow column each and analyse
     no text again.
     """
     cut = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"),
                       (lang if isinstance(lang, Column) else F.lit(lang)).alias("lang"),
                       F.posexplode(chunks(text, max_chars, overlap)).alias("chunk_index", "chunk"))
-    rows = cut.select((F.col("doc_id") * (1 << 20) + F.col("chunk_index")).alias("chunk_id"), "source", "chunk",
+    fits = F.col("doc_id").between(-(1 << 42), (1 << 42) - 1)
+    chunk_id = F.when(fits, F.shiftleft("doc_id", 20) + F.col("chunk_index")).otherwise(F.xxhash64("doc_id", "chunk_index"))
+    rows = cut.select(chunk_id.alias("chunk_id"), "source", "chunk",
                       F.to_json(F.struct("chunk_index", F.length("chunk").alias("n_chars"))).alias("metadata"),
                       lexemes("chunk", F.col("lang")).alias("tokens"))
     return embed_hashed(rows, "chunk_id", F.col("tokens"), dims, ["source", "chunk", "metadata", "tokens"])
@@ -232,11 +234,13 @@ def knn_exact(questions: DataFrame, corpus: DataFrame, k: int, question_id: str
               bound: int = QUESTION_BOUND, slab_rows: int = SLAB_ROWS) -> DataFrame:
     """Exact ``k`` nearest corpus rows of every question. ``where`` filters *before* ranking.
 
-    Ids are longs. Returns question id, document id, ``distance`` and the rank.
+    Ids are longs. A question without a vector has no answer, a row without one is no neighbour.
+    Returns question id, document id, ``distance`` and the rank.
     """
     pool = corpus if where is None else corpus.filter(where)
     rows = pool.select(F.col(doc_id).cast("long").alias(doc_id), vec)
-    asked = questions.select(F.col(question_id).cast("long").alias(question_id), question_vec)
+    asked = (questions.filter(F.col(question_vec).isNotNull())
+             .select(F.col(question_id).cast("long").alias(question_id), question_vec))
     names = (question_id, doc_id, "distance")
     found = scan_against(rows, doc_id, asked, question_id,
                          _vector_scan(k, metric, SCORE_DIGITS, names),
@@ -278,10 +282,13 @@ class IvfIndex:
 
 
 def ivf_build(corpus: DataFrame, cells: int, doc_id: str = "doc_id", vec: str = "embedding",
-              metric: str = "cosine", seed: int = 7, rows_per_cell: int = 256) -> IvfIndex:
+              metric: str = "cosine", seed: int = 7, share: float = 1.0,
+              centres: np.ndarray | None = None) -> IvfIndex:
     """Cluster the corpus into cells with MLlib k-means and tag every row with its cell.
 
-    Centres are learnt from about ``rows_per_cell`` rows per cell; every row is assigned.
+    Centres are learnt from all rows, or from the ``share`` of them that is asked for; given
+    ``centres`` are taken as they are. Every row that has a vector is assigned; under cosine a zero
+    vector is nobody's neighbour and is left out, under l2 it is a row like any other.
     Save the index before searching it often: a search then reads only the probed cells.
     """
     from pyspark.ml.clustering import KMeans
@@ -290,14 +297,15 @@ def ivf_build(corpus: DataFrame, cells: int, doc_id: str = "doc_id", vec: str =
     if metric not in ("cosine", "l2"):
         raise ValueError("an index is built for 'cosine' or 'l2'")
     rows = corpus.select(F.col(doc_id).cast("long").alias(doc_id), vec)
-    usable = rows.filter(F.col(vec).isNotNull() & F.exists(vec, lambda x: x != 0))
-    total = usable.count()
-    share = min(1.0, cells * rows_per_cell / max(total, 1))
-    training = (usable if share == 1.0 else usable.sample(share, seed)).select(
-        array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=15, distanceMeasure="cosine" if metric == "cosine"
-                   else "euclidean").fit(training)
-    centres = np.stack([np.asarray(c) for c in model.clusterCenters()])
+    usable = rows.filter(F.col(vec).isNotNull())
+    if metric == "cosine":
+        usable = usable.filter(F.exists(vec, lambda x: x != 0))
+    if centres is None:
+        training = (usable if share == 1.0 else usable.sample(share, seed)).select(
+            array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
+        model = KMeans(k=cells, seed=seed, maxIter=15, distanceMeasure="cosine" if metric == "cosine"
+                       else "euclidean").fit(training)
+        centres = np.stack([np.asarray(c) for c in model.clusterCenters()])
     shared = corpus.sparkSession.sparkContext.broadcast(centres)
 
     ship_package(corpus.sparkSession)
@@ -335,7 +343,8 @@ def knn_ivf(questions: DataFrame, index: IvfIndex, k: int, nprobe: int,
                 [batch.column(0), batch.column(1), pa.array(list(cells), pa.list_(pa.int32()))],
                 names=[question_id, question_vec, "cells"])
 
-    asked = (questions.select(F.col(question_id).cast("long").alias(question_id), question_vec)
+    asked = (questions.filter(F.col(question_vec).isNotNull())
+             .select(F.col(question_id).cast("long").alias(question_id), question_vec)
              .mapInArrow(probe, f"{question_id} long, {question_vec} array<float>, cells array<int>"))
     # As many values as there are cells at most.
     wanted = [r[0] for r in asked.select(F.explode("cells")).distinct().collect()]
@@ -506,7 +515,7 @@ def corpus_statistics(docs: DataFrame, terms: DataFrame, tokens: str = "tokens",
                       "df": pa.array(list(found.values()), pa.int64())}), "term string, df long")
         return total, length / total if total else 0.0, frequency
 
-    size = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tokens)).alias("mean")).first()
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.coalesce(F.size(tokens), F.lit(0))).alias("mean")).first()
     seen = docs.select(F.explode(F.array_distinct(tokens)).alias("term"))
     frequency = (lookup_join(seen, settle(terms), ["term"], "left_semi")
                  .groupBy("term").agg(F.count(F.lit(1)).alias("df")))

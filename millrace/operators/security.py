@@ -32,10 +32,10 @@ def assigned_rows(df: DataFrame, assignments: DataFrame, principal: str, on: Seq
 
 def visible_counts(df: DataFrame, owner: str) -> DataFrame:
     """Rows each principal sees under the owner policy, beside the table's total."""
-    total = df.count()
-    return (df.filter(F.col(owner).isNotNull()).groupBy(owner)
-            .agg(F.count(F.lit(1)).alias("n_visible"))
-            .withColumn("n_total", F.lit(total).cast("long")))
+    # One scan: the total is the sum over the owners, those without one included.
+    counts = df.groupBy(owner).agg(F.count(F.lit(1)).alias("n_visible"))
+    total = counts.agg(F.coalesce(F.sum("n_visible"), F.lit(0)).alias("n_total"))
+    return counts.filter(F.col(owner).isNotNull()).join(F.broadcast(total))
 
 
 def shared_rows(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,11 +45,17 @@ def shared_rows(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> Dat
 
 def effective_access(catalog_grants: DataFrame, table_grants: DataFrame, principal: str = "principal",
                      object_name: str = "object_name") -> DataFrame:
-    """Access needs a grant at both levels; the weaker privilege wins."""
-    order = F.create_map(F.lit("SELECT"), F.lit(1), F.lit("MODIFY"), F.lit(2), F.lit("ALL"), F.lit(3))
-    outer = catalog_grants.select(principal, object_name, F.col("privilege").alias("_outer"))
-    inner = table_grants.select(principal, object_name, F.col("privilege").alias("_inner"))
-    both = outer.join(inner, [principal, object_name])
-    return both.select(principal, object_name,
-                       F.when(order[F.col("_outer")] <= order[F.col("_inner")], F.col("_outer"))
-                       .otherwise(F.col("_inner")).alias("privilege"))
+    """Access needs a grant at both levels; the best grant of each level counts, the weaker of the two wins.
+
+    A privilege that is missing or not SELECT, MODIFY or ALL grants nothing.
+    """
+    names = ["SELECT", "MODIFY", "ALL"]
+    level = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("privilege"))
+
+    def best(grants: DataFrame) -> DataFrame:
+        return (grants.filter(level > 0).groupBy(principal, object_name).agg(F.max(level).alias("_level")))
+
+    both = best(catalog_grants).unionByName(best(table_grants)).groupBy(principal, object_name).agg(
+        F.count(F.lit(1)).alias("_levels"), F.min("_level").alias("_level"))
+    return both.filter("_levels = 2").select(
+        principal, object_name, F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_level").cast("int")).alias("privilege"))

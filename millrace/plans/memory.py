@@ -196,7 +196,7 @@ def forget_sessions(t: Tables) -> DataFrame:
 
 
 @query("open_sessions", f"""WITH {roles.DAY_SESSIONS_SQL}, m AS (
-  SELECT *, md5(user_id || '|' || strftime(day, '%Y-%m-%d')) AS h FROM day_sessions)
+  SELECT *, md5(length(CAST(user_id AS VARCHAR)) || ':' || user_id || '|10:' || strftime(day, '%Y-%m-%d') || '|') AS h FROM day_sessions)
 SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-'
   || substr(h, 21, 12) AS session_id, user_id, 'assistant' AS agent_name, started_at, CAST(NULL AS TIMESTAMP) AS ended_at
 FROM m""")

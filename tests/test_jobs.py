@@ -161,3 +161,31 @@ def test_jdbc_options():
         jdbc_options("jdbc:x", query="select 1", split_on="id", bounds=(0, 1), splits=2)
     sql = staged_upsert_sql("t", "s", ["id"], ["id", "v", "ts"], seq="ts")
     assert sql.endswith("ON CONFLICT (id) DO UPDATE SET v = EXCLUDED.v, ts = EXCLUDED.ts WHERE t.ts <= EXCLUDED.ts")
+
+
+def test_vectors_that_are_missing_or_zero_have_no_rank(spark):
+    requests = spark.createDataFrame([(1, 10, [1.0, 0.0]), (1, 11, None), (1, 12, [0.0, 0.0])], "u long, r long, v array<float>")
+    episodes = spark.createDataFrame([(1, 1, [1.0, 0.1], 0.5), (1, 2, None, 0.9), (1, 3, [0.0, 0.0], 0.9), (1, 4, [0.0, 1.0], None)],
+                                     "u long, e long, w array<float>, imp double")
+    got = M.recall(requests, episodes, "u", 3, "r", "v", "e", "w", importance="imp")
+    assert [(r.r, r.e, r["rank"]) for r in got.collect()] == [(10, 1, 1)]
+    plain = M.recall(requests, episodes, "u", 3, "r", "v", "e", "w")
+    assert sorted((r.r, r.e) for r in plain.collect()) == [(10, 1), (10, 4)]
+
+
+def test_unknown_age_is_kept(spark):
+    df = spark.createDataFrame([(1, 0.1, None), (2, None, None), (3, 0.9, None)], "id long, imp double, seen timestamp_ntz")
+    assert M.keep_episodes(df, "imp", "seen", "2024-01-01 00:00:00").count() == 3
+
+
+def test_access_fails_closed(spark):
+    schema = "principal string, object_name string, privilege string"
+    outer = spark.createDataFrame([("a", "t", "USE"), ("b", "t", None), ("c", "t", "ALL"), ("c", "t", "SELECT"), ("d", "t", "SELECT"), ("e", "t", "MODIFY")], schema)
+    inner = spark.createDataFrame([("a", "t", "ALL"), ("b", "t", "ALL"), ("c", "t", "MODIFY"), ("c", "t", "SELECT"), ("d", "t", "junk"), ("f", "t", "ALL")], schema)
+    assert rows(S.effective_access(outer, inner)) == [("c", "t", "MODIFY")]
+
+
+def test_ids_keep_parts_apart(spark):
+    from millrace.functions.ids import stable_uuid
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("", None), (None, ""), (None, None), ("", "")], "x string, y string")
+    assert df.select(stable_uuid("x", "y").alias("i")).distinct().count() == 6

@@ -93,3 +93,10 @@ def test_last_n_breaks_ties(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, 1, "d")], "k int, t int, x string")
     out = K.last_n_per_key(df, ["k"], [F.col("t").desc(), F.col("x").desc()], 2, rank_as="r")
     assert rows(out.select("k", "x", "r")) == [(1, "a", 2), (1, "b", 1), (2, "d", 1)]
+
+
+def test_quantile_of_the_group_without_a_key(spark):
+    from millrace.operators import relational as rel
+    df = spark.createDataFrame([(None, "x", 1.0), (None, "x", 10.0), ("g", None, 3.0), ("g", None, None)], "g string, h string, v double")
+    assert rows(rel.latency_summary(df, ["g"], "v")) == sorted([(None, 2, 5.5, 10.0), ("g", 2, 3.0, 3.0)], key=str)
+    assert rows(rel.latency_summary(df, ["g", "h"], "v")) == sorted([(None, "x", 2, 5.5, 10.0), ("g", None, 2, 3.0, 3.0)], key=str)

@@ -206,3 +206,14 @@ def test_consistency(spark):
     vecs = spark.createDataFrame([(2, [1.0]), (3, None)], "doc_id long, embedding array<float>")
     assert rows(R.index_consistency(docs, vecs, "doc_id")) == [
         (1, "document_without_vector"), (3, "null_vector"), (3, "vector_without_document")]
+
+
+def test_missing_questions_and_zero_vectors(spark):
+    corpus = spark.createDataFrame([(1, [0.0, 0.0]), (2, [3.0, 4.0]), (3, None), (4, [6.0, 8.0])], "doc_id long, embedding array<float>")
+    asked = spark.createDataFrame([(7, [0.0, 1.0]), (8, None)], "query_id long, embedding array<float>")
+    exact = rows(R.knn_exact(asked, corpus, 3, metric="l2").select("query_id", "doc_id", "rank"))
+    assert exact == [(7, 1, 1), (7, 2, 2), (7, 4, 3)]
+    index = R.ivf_build(corpus, cells=2, metric="l2", centres=np.array([[0.0, 0.0], [6.0, 8.0]]))
+    assert rows(R.knn_ivf(asked, index, 3, nprobe=2, metric="l2").select("query_id", "doc_id", "rank")) == exact
+    assert rows(R.knn_ivf(asked, index, 3, nprobe=1, metric="l2").select("query_id", "doc_id", "rank"))[0] == (7, 1, 1)
+    assert {r.doc_id for r in R.knn_exact(asked, corpus, 3).collect()} == {2, 4}
