@@ -14,6 +14,8 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.staging import staged
+
 #: Licence identifiers and the statements they are known by.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -25,6 +27,8 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("proprietary", "All rights reserved."),
 ]
+#: Words so common in any text that others are looked for first.
+FUNCTION_WORDS = {"a", "all", "and", "are", "by", "following", "for", "in", "is", "of", "or", "that", "the", "this", "to", "under", "with", "without"}
 #: Least cosine of a match.
 COSINE = 0.8
 
@@ -46,7 +50,7 @@ def telling_terms(templates: list[tuple[str, str]], cosine: float = COSINE) -> l
     for _, text in templates:
         square = {t: (n * weight[t]) ** 2 for t, n in Counter(terms(text)).items()}
         total, left = sum(square.values()), sum(v for t, v in square.items() if t not in picked)
-        for term in sorted(square.keys() - picked, key=lambda t: (-len(t), t)):  # any choice is right; long words are rare in text
+        for term in sorted(square.keys() - picked, key=lambda t: (t in FUNCTION_WORDS, -len(t), t)):  # any choice is right, rare words are quick
             if left < cosine ** 2 * total * (1 - 1e-9):
                 break
             picked.add(term)
@@ -74,9 +78,9 @@ def own_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     passages = (files.select("path", F.posexplode(F.concat(F.array(text), F.split(text, "\n"))).alias("at", "passage"))
                 .select("path", "at", words.alias("words"))
                 .filter(F.arrays_overlap("words", F.array(*[F.lit(t) for t in telling_terms(templates, cosine)]))))
-    counts = (passages.select("path", "at", F.explode("words").alias("term")).filter("term <> ''")
-              .groupBy("path", "at", "term").agg(F.count(F.lit(1)).alias("tf"))
-              .join(F.broadcast(idfs), "term", "left").withColumn("value", F.col("tf") * F.coalesce("idf", F.lit(unknown))))
+    counted = staged(passages.select("path", "at", F.explode("words").alias("term")).filter("term <> ''")
+                     .groupBy("path", "at", "term").agg(F.count(F.lit(1)).alias("tf")), "licence-terms")
+    counts = (counted.join(F.broadcast(idfs), "term", "left").withColumn("value", F.col("tf") * F.coalesce("idf", F.lit(unknown))))
     sizes = counts.groupBy("path", "at").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("size"))
     dots = (counts.join(F.broadcast(table.select("license", "term", "share")), "term")
             .groupBy("path", "at", "license").agg(F.sum(F.col("value") * F.col("share")).alias("dot")))
@@ -104,7 +108,7 @@ def scan_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     Empty tables give empty results.
     """
     keyed = files.withColumn("_path", F.coalesce("path", F.lit("\x00")))
-    own = own_licenses(keyed.select(F.col("_path").alias("path"), "text"), templates, cosine)
+    own = staged(own_licenses(keyed.select(F.col("_path").alias("path"), "text"), templates, cosine), "own-licences")
     rows = keyed.select("path", "_path", F.coalesce("licence_file", F.lit(False)).alias("licence_file"),
                         F.when(F.col("path").isNotNull(), directory_of("path")).alias("dir"))
     rows = rows.join(own.withColumnRenamed("path", "_own"), F.col("_path") == F.col("_own"), "left")
