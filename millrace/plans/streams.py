@@ -37,6 +37,22 @@ def stream_sync(t: Tables) -> DataFrame:
     return S.mirror(t.spark, spec)
 
 
+@query("stream_sync_compacted", REGISTRY["current_from_history"].sql)
+def stream_sync_compacted(t: Tables) -> DataFrame:
+    """The same log in three batches in no order of time, with a compaction before the last one."""
+    spec = _spec(t, "sync-batches")
+    history = roles.order_history(t)
+    inbox = fresh_dir(t.spark, "inbox")
+    for part in (2, 0, 1):
+        piece = history.filter(F.pmod(F.dayofyear("_commit_timestamp"), F.lit(3)) == part)
+        piece.write.mode("append").parquet(inbox)
+        S.start_sync(t.spark.readStream.schema(history.schema).parquet(inbox), spec).awaitTermination()
+        if part == 0:
+            S.compact(t.spark, spec)
+            S.vacuum(t.spark, spec.root)
+    return S.mirror(t.spark, spec)
+
+
 @query("stream_history", f"WITH {roles.HISTORY_SQL} SELECT * FROM history")
 def stream_history(t: Tables) -> DataFrame:
     spec = _spec(t, "history")
@@ -63,10 +79,12 @@ def stream_rollup(t: Tables) -> DataFrame:
 n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session_no FROM s),
 g AS (SELECT user_id, min(ts) AS started_at, max(ts) AS ended_at, count(*) AS n_events
   FROM n GROUP BY user_id, session_no)
-SELECT * FROM g WHERE ended_at + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+SELECT * FROM g""")
 def stream_sessions(t: Tables) -> DataFrame:
+    """Sessions the stream has closed, and those still open when it stopped."""
     root = fresh_dir(t.spark, "sessions")
     events = StreamedTables(t.spark, t.folder).events.withColumn("ts", F.col("ts").cast("timestamp"))
     S.start_sessions(events, "user_id", "ts", "6 hours", root).awaitTermination()
-    closed = t.spark.read.parquet(f"{root}/sessions")
-    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at", "ended_at")})
+    closed = t.spark.read.parquet(f"{root}/sessions").select("user_id", "started_at", "ended_at", "n_events")
+    still = S.open_sessions(t.events.withColumn("ts", F.col("ts").cast("timestamp")), closed, "user_id", "ts", 6 * 3600)
+    return closed.unionByName(still).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at", "ended_at")})

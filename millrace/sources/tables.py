@@ -49,29 +49,42 @@ class VersionedTable:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
     def _exists(self, path: str) -> bool:
-        return self._fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(path))
+        return self._fs.exists(self._path(path))
 
-    def version(self) -> str | None:
-        """Folder name of the current version."""
+    def _pointer(self) -> tuple[int, str | None, int | None]:
+        """Number, folder and note of the current version."""
         pointer = f"{self.root}/_current"
         if not self._exists(pointer):
-            return None
-        newest = (self.spark.read.schema("seq long, folder string").json(pointer)
-                  .agg(F.max_by("folder", "seq")).first())
-        return newest[0]
+            return 0, None, None
+        newest = (self.spark.read.schema("seq long, folder string, upto long").json(pointer)
+                  .agg(F.max(F.struct("seq", "folder", "upto"))).first()[0])
+        return tuple(newest) if newest else (0, None, None)
+
+    def version(self) -> str | None:
+        """Folder name of the current version."""
+        return self._pointer()[1]
+
+    def current(self) -> tuple[DataFrame | None, int | None]:
+        """The current version, if there is one, and the ``upto`` it was written with."""
+        _, folder, upto = self._pointer()
+        return (None if folder is None else self.spark.read.parquet(f"{self.root}/{folder}")), upto
 
     def read(self) -> DataFrame:
-        folder = self.version()
-        if folder is None:
+        found, _ = self.current()
+        if found is None:
             raise FileNotFoundError(f"no version of {self.root} has been written")
-        return self.spark.read.parquet(f"{self.root}/{folder}")
+        return found
 
-    def replace(self, df: DataFrame, cluster_by: Sequence[str] = (), rows_per_file: int = 0) -> str:
+    def replace(self, df: DataFrame, cluster_by: Sequence[str] = (), rows_per_file: int = 0, upto: int | None = None) -> str:
         """Write ``df`` as the new version (an idempotent truncate-and-reload).
 
         ``cluster_by`` range-partitions and sorts by columns that readers filter on, so that
-        file statistics let them skip files; ``rows_per_file`` bounds the size of a file.
+        file statistics let them skip files; ``rows_per_file`` bounds the size of a file. ``upto`` is a
+        number kept with the version: readers get both or neither.
         """
         folder = f"v-{uuid.uuid4().hex}"
         out = df
@@ -81,11 +94,18 @@ class VersionedTable:
         if rows_per_file:
             writer = writer.option("maxRecordsPerFile", rows_per_file)
         writer.parquet(f"{self.root}/{folder}")
-        pointer = f"{self.root}/_current"
-        seq = 1
-        if self._exists(pointer):
-            seq += (self.spark.read.schema("seq long, folder string").json(pointer)
-                    .agg(F.max("seq")).first()[0])
-        (self.spark.createDataFrame([(seq, folder)], "seq long, folder string").coalesce(1)
-         .write.mode("append").json(pointer))
+        (self.spark.createDataFrame([(self._pointer()[0] + 1, folder, upto)], "seq long, folder string, upto long").coalesce(1)
+         .write.mode("append").json(f"{self.root}/_current"))
         return folder
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` versions; running readers may still use the last but one."""
+        pointer = f"{self.root}/_current"
+        if not self._exists(pointer):
+            return []
+        kept = {r.folder for r in self.spark.read.schema("seq long, folder string").json(pointer).orderBy(F.desc("seq")).limit(keep).collect()}
+        found = [f.getPath().getName() for f in self._fs.listStatus(self._path(self.root))]
+        old = sorted(n for n in found if n.startswith("v-") and n not in kept)
+        for name in old:
+            self._fs.delete(self._path(f"{self.root}/{name}"), True)
+        return old

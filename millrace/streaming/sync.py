@@ -1,9 +1,10 @@
 """Continuous keyed sync, history append and rollups with Structured Streaming.
 
 The sinks append one folder per micro-batch and overwrite it on a replay, so a restarted batch
-changes nothing. Readers see the latest change per key; what arrives late or out of order can
-therefore never replace something newer. Checkpoint and data share one root, so batch numbers
-always belong to the data beside them.
+changes nothing. Readers and compaction use the batches that the checkpoint has committed: those
+are complete and are never written again. Readers see the latest change per key; what arrives late
+or out of order can therefore never replace something newer. Checkpoint and data share one root,
+so batch numbers always belong to the data beside them.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import (DataType, IntegerType, StringType, StructType,
                                TimestampNTZType)
 
-from millrace.operators.cdc import CHANGE_TYPE, COMMIT_TS
+from millrace.functions.skew import BROADCAST_LIMIT, key_set, planned_bytes
+from millrace.operators.cdc import CHANGE_TYPE, COMMIT_TS, change_identity
 from millrace.operators.checks import schema_drift
-from millrace.operators.keyed import latest_per_key
+from millrace.operators.keyed import latest_per_key, sessions
 from millrace.sources.tables import VersionedTable
 
 CONTINUOUS, SNAPSHOT = "continuous", "snapshot"
@@ -87,51 +89,98 @@ def start_sync(changes: DataFrame, spec: SyncSpec) -> StreamingQuery:
             .option("checkpointLocation", spec.checkpoint).start())
 
 
-def _latest(spark: SparkSession, spec: SyncSpec) -> DataFrame:
-    """Last change per key over the compacted base and the batches after it."""
-    log = spark.read.option("basePath", spec.changes).parquet(spec.changes)
-    base = VersionedTable(spark, f"{spec.root}/base")
-    if base.version() is not None:
-        done = base.read()
-        upto = done.agg(F.max("_upto")).first()[0]
-        if upto is not None:
-            log = done.drop("_upto").unionByName(log.filter(F.col("batch") > upto))
-    return latest_per_key(log, spec.keys, [F.col(spec.seq).desc(), F.col("batch").desc(), *spec.order])
+def committed_batch(spark: SparkSession, root: str) -> int | None:
+    """Newest batch that the stream's checkpoint has committed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_checkpoint/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return max((int(n) for n in names if n.isdigit()), default=None)
+
+
+def _log(spark: SparkSession, root: str, schema: StructType | None, after: int | None, upto: int | None) -> DataFrame | None:
+    """Committed batches after ``after``; only their folders are listed and read."""
+    paths = [p for b in range(-1 if after is None else after, -1 if upto is None else upto) if _has_rows(spark, p := f"{root}/changes/batch={b + 1}")]
+    if not paths:
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", f"{root}/changes").parquet(*paths)
+
+
+def _merged(base: DataFrame | None, log: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+    """Latest row per key. Of the base only the keys of the log are folded; its other rows stay where they are."""
+    if base is None:
+        return latest_per_key(log, keys, order)
+    keys = list(keys)
+    touched = key_set(log, keys)
+    touched = F.broadcast(touched) if planned_bytes(touched) <= BROADCAST_LIMIT else touched
+    stay = base.join(touched, keys, "left_anti")
+    meet = base.join(touched, keys, "left_semi")
+    return stay.unionByName(latest_per_key(meet.unionByName(log.select(*base.columns)), keys, order))
+
+
+def _latest(spark: SparkSession, spec: SyncSpec, upto: int | None) -> DataFrame | None:
+    """Last change per key over the compacted base and the committed batches after it, up to ``upto``."""
+    base, done = VersionedTable(spark, f"{spec.root}/base").current()
+    log = _log(spark, spec.root, _change_schema(spec), done, upto)
+    if log is None:
+        return base
+    return _merged(base, log, spec.keys, [F.col(spec.seq).desc(), F.col("batch").desc(), *spec.order])
 
 
 def mirror(spark: SparkSession, spec: SyncSpec) -> DataFrame:
-    """The synced table as readers see it."""
-    return _latest(spark, spec).filter(F.col(CHANGE_TYPE) != "delete").select(*spec.columns.names)
+    """The synced table as readers see it: everything that committed batches have brought."""
+    found = _latest(spark, spec, committed_batch(spark, spec.root))
+    if found is None:
+        return spark.createDataFrame([], spec.columns)
+    return found.filter(F.col(CHANGE_TYPE) != "delete").select(*spec.columns.names)
 
 
-def compact(spark: SparkSession, spec: SyncSpec) -> str:
-    """Fold the batches so far into a new base. Deletions stay recorded, so that an older change
+def compact(spark: SparkSession, spec: SyncSpec) -> str | None:
+    """Fold the committed batches so far into a new base. Deletions stay recorded, so that an older change
     arriving afterwards still finds something newer than itself."""
-    upto = (spark.read.option("basePath", spec.changes).parquet(spec.changes)
-            .agg(F.max("batch")).first()[0])
-    state = _latest(spark, spec).withColumn("_upto", F.lit(upto).cast("int"))
-    return VersionedTable(spark, f"{spec.root}/base").replace(state, cluster_by=spec.keys)
+    upto = committed_batch(spark, spec.root)
+    state = _latest(spark, spec, upto)
+    if state is None:
+        return None
+    return VersionedTable(spark, f"{spec.root}/base").replace(state, cluster_by=spec.keys, upto=upto)
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete the batches that the current base has folded, and old bases; returns how many folders went.
+
+    Call it some time after :func:`compact`, when no reader uses the state before it any more.
+    """
+    table = VersionedTable(spark, f"{root}/base")
+    _, done = table.current()
+    gone = len(table.vacuum(keep))
+    for batch in range(0, -1 if done is None else done + 1):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/changes/batch={batch}")
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
 
 
 def start_history(changes: DataFrame, spec: SyncSpec) -> StreamingQuery:
-    """Append every change to a history once per (key, commit), however late it comes.
+    """Append every change to a history once, however late it comes.
 
+    A change is its key, commit, kind and values, so different changes of one commit are all kept.
     Files are sorted by commit time and a batch is compared with the commit range it covers, so
     file statistics skip the rest of the history; no watermark can discard a late change.
     """
     _check_columns(spec, changes)
-    identity = [*spec.keys, spec.seq]
-
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates(identity)
+        named = F.struct(*change_identity(batch, spec.keys, spec.seq))
+        fresh = batch.withColumn("_same", named).dropDuplicates(["_same"])
         if _has_rows(spark, spec.changes):
             low, high = batch.agg(F.min(spec.seq), F.max(spec.seq)).first()
             if low is not None:
                 known = _read_history(spark, spec).filter(
                     (F.col("batch") != batch_id) & F.col(spec.seq).between(F.lit(low), F.lit(high)))
-                fresh = fresh.join(known.select(*identity), identity, "left_anti")
-        (fresh.sortWithinPartitions(spec.seq).write.mode("overwrite")
+                known = known.select(*batch.columns).select(named.alias("_known"))
+                fresh = fresh.join(known, F.col("_same") == F.col("_known"), "left_anti")
+        (fresh.drop("_same").sortWithinPartitions(spec.seq).write.mode("overwrite")
          .parquet(f"{spec.changes}/batch={batch_id}"))
 
     return (changes.writeStream.foreachBatch(write).trigger(**spec.trigger())
@@ -143,13 +192,17 @@ def _has_rows(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def _read_history(spark: SparkSession, spec: SyncSpec) -> DataFrame:
-    # Declared, not inferred: a history of empty batches has no file to infer from.
+def _change_schema(spec: SyncSpec) -> StructType:
+    # Declared, not inferred: empty batches have no file to infer from.
     extra = StructType(list(spec.columns.fields))
     for name, kind in ((CHANGE_TYPE, StringType()), (spec.seq, spec.seq_type), ("batch", IntegerType())):
         if name not in extra.names:
             extra = extra.add(name, kind)
-    return spark.read.schema(extra).option("basePath", spec.changes).parquet(spec.changes)
+    return extra
+
+
+def _read_history(spark: SparkSession, spec: SyncSpec) -> DataFrame:
+    return spark.read.schema(_change_schema(spec)).option("basePath", spec.changes).parquet(spec.changes)
 
 
 def history(spark: SparkSession, spec: SyncSpec) -> DataFrame:
@@ -178,14 +231,32 @@ def start_rollup(events: DataFrame, ts: str, width: str, keys: Sequence[str], va
 
 
 def rollup_table(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
-    """Latest totals per window and key."""
-    log = spark.read.option("basePath", f"{root}/changes").parquet(f"{root}/changes")
-    return latest_per_key(log, ["window_start", *keys], [F.col("batch").desc()]).drop("batch")
+    """Latest totals per window and key, from the base and the committed batches after it."""
+    found = _rollup(spark, root, keys, committed_batch(spark, root))
+    if found is None:
+        raise FileNotFoundError(f"no batch of {root} has been committed")
+    return found.drop("batch")
+
+
+def _rollup(spark: SparkSession, root: str, keys: Sequence[str], upto: int | None) -> DataFrame | None:
+    base, done = VersionedTable(spark, f"{root}/base").current()
+    log = _log(spark, root, None, done, upto)
+    return base if log is None else _merged(base, log, ["window_start", *keys], [F.col("batch").desc()])
+
+
+def compact_rollup(spark: SparkSession, root: str, keys: Sequence[str]) -> str | None:
+    """Fold the committed batches of a rollup into a new base; :func:`vacuum` then removes them."""
+    upto = committed_batch(spark, root)
+    state = _rollup(spark, root, keys, upto)
+    return None if state is None else VersionedTable(spark, f"{root}/base").replace(state, cluster_by=["window_start"], upto=upto)
 
 
 def start_sessions(events: DataFrame, key: str, ts: str, idle: str, root: str,
                    lateness: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
-    """Append a row per session that has been idle for ``idle``, once no earlier event can come."""
+    """Append a row per session that has been idle for ``idle``, once no earlier event can come.
+
+    Sessions still open are not in the table; :func:`open_sessions` adds them for a reader.
+    """
     # Merge a key's events inside each task first, so that a busy key is not shuffled row by row.
     events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     closed = (events.withWatermark(ts, lateness)
@@ -197,6 +268,16 @@ def start_sessions(events: DataFrame, key: str, ts: str, idle: str, root: str,
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def open_sessions(events: DataFrame, closed: DataFrame, key: str, ts: str, idle_seconds: int) -> DataFrame:
+    """Sessions of ``events`` that the stream has not closed yet: the same columns as the closed ones.
+
+    Only events after a key's last closed session are looked at.
+    """
+    last = closed.groupBy(F.col(key).alias("_key")).agg(F.max("ended_at").alias("_closed"))
+    rest = events.join(last, F.col(key).eqNullSafe(F.col("_key")), "left").filter(F.col("_closed").isNull() | (F.col(ts) > F.col("_closed")))
+    return sessions(rest, key, ts, idle_seconds).select(key, "started_at", "ended_at", "n_events")
+
+
 _STATUS = ("query string, batch_id long, at string, n_rows long, duration_ms long, newest_event string, "
            "watermark string")
 
@@ -219,14 +300,15 @@ def sync_status(query: StreamingQuery) -> DataFrame:
 
 
 class StatusRecorder(StreamingQueryListener):
-    """Keeps the last ``size`` micro-batches of all queries, and why queries ended.
+    """Records the micro-batches of all queries, and why queries ended.
 
-    Register it with ``spark.streams.addListener``; read it with :meth:`table`.
+    Register it with ``spark.streams.addListener``. :meth:`flush` moves what has been recorded into a
+    table, so that nothing is forgotten and the driver holds only what came since.
     """
 
-    def __init__(self, size: int = 10_000) -> None:
-        self.rows: deque[tuple] = deque(maxlen=size)
-        self.failures: deque[tuple[str, str]] = deque(maxlen=size)
+    def __init__(self) -> None:
+        self.rows: deque[tuple] = deque()
+        self.failures: deque[tuple[str, str]] = deque()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -241,9 +323,17 @@ class StatusRecorder(StreamingQueryListener):
         if event.exception:
             self.failures.append((str(event.id), event.exception))
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        """The recorded micro-batches as rows."""
-        return _status_table(spark, self.rows)
+    def table(self, spark: SparkSession, path: str | None = None) -> DataFrame:
+        """The recorded micro-batches as rows, those flushed to ``path`` included."""
+        fresh = _status_table(spark, list(self.rows))
+        return fresh if path is None or not _has_rows(spark, path) else spark.read.schema(fresh.schema).parquet(path).unionByName(fresh)
+
+    def flush(self, spark: SparkSession, path: str) -> int:
+        """Append the recorded rows to the table at ``path``."""
+        taken = [self.rows.popleft() for _ in range(len(self.rows))]
+        if taken:
+            _status_table(spark, taken).coalesce(1).write.mode("append").parquet(path)
+        return len(taken)
 
 
 def drift_of(spec: SyncSpec, source: DataFrame) -> DataFrame:

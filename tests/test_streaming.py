@@ -112,6 +112,10 @@ def test_continuous_policy_and_status(spark, tmp_path):
         time.sleep(0.1)
     spark.streams.removeListener(recorder)
     assert recorder.table(spark).agg(F.sum("n_rows")).first()[0] == 5 and not recorder.failures
+    path = str(tmp_path / "status")
+    assert recorder.flush(spark, path) > 0 and not recorder.rows
+    recorder.rows.append(("q", 9, "2024-01-01T00:00:00.000Z", 4, 1, None, None))
+    assert recorder.table(spark, path).agg(F.sum("n_rows")).first()[0] == 9
     assert rows(S.mirror(spark, s)) == [(1, "a9"), (3, "c")]
 
 
@@ -135,3 +139,70 @@ def test_rollup_and_sessions_equal_batch(spark, tmp_path):
     batch = K.sessions(everything, "u", "ts", 1800).filter("u <> 9")
     columns = ["u", "started_at", "ended_at", "n_events"]
     assert rows(closed.select(columns)) == rows(batch.select(columns))
+
+
+def test_half_a_batch_is_neither_read_nor_folded(spark, tmp_path):
+    inbox, s = str(tmp_path / "in"), spec(tmp_path)
+    assert S.mirror(spark, s).count() == 0 and S.compact(spark, s) is None
+    drop(spark, inbox, FIRST)
+    S.start_sync(source(spark, inbox), s).awaitTermination()
+    # The next batch is being written: one of its files is there, the checkpoint knows nothing of it.
+    drop(spark, f"{s.changes}/batch=1", SECOND[:1])
+    assert rows(S.mirror(spark, s)) == [(1, "a"), (2, "b"), (3, "c")]
+    S.compact(spark, s)
+    drop(spark, inbox, SECOND)
+    S.start_sync(source(spark, inbox), s).awaitTermination()
+    assert rows(S.mirror(spark, s)) == [(1, "a9"), (3, "c")]
+    S.compact(spark, s)
+    assert S.vacuum(spark, s.root) == 2 and S.vacuum(spark, s.root, keep=1) == 1
+    assert rows(S.mirror(spark, s)) == [(1, "a9"), (3, "c")]
+    drop(spark, inbox, LATE)
+    S.start_sync(source(spark, inbox), s).awaitTermination()
+    assert rows(S.mirror(spark, s)) == [(1, "a9"), (3, "c"), (4, "d")]
+
+
+def test_reading_does_not_move_the_base(spark, tmp_path):
+    inbox, s = str(tmp_path / "in"), spec(tmp_path)
+    drop(spark, inbox, FIRST)
+    S.start_sync(source(spark, inbox), s).awaitTermination()
+    S.compact(spark, s)
+    drop(spark, inbox, SECOND)
+    S.start_sync(source(spark, inbox), s).awaitTermination()
+    plan = S.mirror(spark, s)._jdf.queryExecution().executedPlan().toString()
+    stay = plan[:plan.index("LeftSemi")] if "LeftSemi" in plan else plan
+    first = stay[stay.index("LeftAnti"):]
+    assert "BroadcastHashJoin" in plan[:plan.index("LeftAnti") + 200] and "Exchange hashpartitioning" not in first[:first.index("FileScan")]
+
+
+def test_different_changes_of_one_commit_stay(spark, tmp_path):
+    inbox, s = str(tmp_path / "in"), spec(tmp_path)
+    data = [(1, "a", "insert", at(0)), (1, "b", "update", at(0)), (1, None, "update", at(0))]
+    for _ in range(2):
+        drop(spark, inbox, data + data[:1])
+        S.start_history(source(spark, inbox), s).awaitTermination()
+    assert rows(S.history(spark, s)) == sorted(data, key=str)
+
+
+def test_rollup_is_compacted(spark, tmp_path):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "roll")
+    batches = [[(1, at(m), "x", float(m)) for m in (0, 5)], [(1, at(10), "x", 7.0), (2, at(170), "y", 2.0)], [(1, at(200), "x", 1.0)]]
+    for i, data in enumerate(batches):
+        spark.createDataFrame(data, EVENTS).coalesce(1).write.mode("append").parquet(inbox)
+        S.start_rollup(spark.readStream.schema(EVENTS).parquet(inbox), "ts", "1 hour", ["kind"], "value", root).awaitTermination()
+        if i == 1:
+            S.compact_rollup(spark, root, ["kind"])
+            assert S.vacuum(spark, root) > 0
+    everything = spark.createDataFrame([r for b in batches for r in b], EVENTS)
+    assert rows(S.rollup_table(spark, root, ["kind"])) == rows(rel.time_rollup(everything, "ts", "1 hour", ["kind"], "value"))
+
+
+def test_open_sessions_complete_the_closed_ones(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+    data = [(1, at(m), "x", 0.0) for m in (0, 10, 300, 305)] + [(2, at(290), "x", 0.0), (3, at(310), "x", 0.0)]
+    events = spark.createDataFrame(data, EVENTS)
+    events.coalesce(1).write.mode("append").parquet(inbox)
+    S.start_sessions(spark.readStream.schema(EVENTS).parquet(inbox), "u", "ts", "30 minutes", str(tmp_path / "sess"), "1 hour").awaitTermination()
+    columns = ["u", "started_at", "ended_at", "n_events"]
+    closed = spark.read.parquet(str(tmp_path / "sess" / "sessions")).select(columns)
+    still = S.open_sessions(events, closed, "u", "ts", 1800)
+    assert rows(closed.unionByName(still)) == rows(K.sessions(events, "u", "ts", 1800).select(columns))
