@@ -16,8 +16,8 @@ from millrace.session import shared_dir
 BROADCAST_LIMIT = 32 * 1024 * 1024
 UNBOUNDED = 1 << 62
 _MULTIPLIES = re.compile(r"\b(Generate|MapInArrow|MapInPandas|FlatMapCoGroupsInArrow|LogicalRDD)\b")
-HOT_SHARE = 0.01
-SALTS = 32
+#: Fact rows of one key that a join task should have at most; busier keys are split.
+TASK_ROWS = 500_000
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -38,11 +38,13 @@ def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).filter(present).distinct()
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows: at most ``1/share`` of them."""
-    floor = df.count() * share
+def busy_keys(df: DataFrame, keys: Sequence[str], task_rows: int = TASK_ROWS) -> DataFrame:
+    """Keys with more than ``task_rows`` rows, and into how many parts (``_parts``) each is to be cut.
+
+    Counted before the shuffle; at most ``rows / task_rows`` keys come out.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > F.lit(floor)).select(*keys)
+    return counts.filter(F.col("_n") > task_rows).select(*keys, F.ceil(F.col("_n") / F.lit(task_rows)).cast("int").alias("_parts"))
 
 
 def settle(df: DataFrame, rows: int = 50_000) -> DataFrame:
@@ -56,34 +58,30 @@ def settle(df: DataFrame, rows: int = 50_000) -> DataFrame:
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner",
-                limit: int = BROADCAST_LIMIT, share: float = HOT_SHARE,
-                salts: int = SALTS) -> DataFrame:
+                limit: int = BROADCAST_LIMIT, task_rows: int = TASK_ROWS) -> DataFrame:
     """Join many rows to a lookup that has at most one row per key.
 
     A lookup whose planned size is within ``limit`` is broadcast, so nothing moves. Otherwise
-    both sides are shuffled on the key, and hot keys get a salt: their fact rows spread
-    over ``salts`` tasks and their lookup rows are repeated once per salt. Rows with a NULL key,
-    which match nothing, are spread too. The salt is a hash of the row, so a retried task
-    produces the same partitioning.
+    both sides are shuffled on the key. Keys with more than ``task_rows`` fact rows are cut into as
+    many parts as that takes, and their lookup rows are repeated once per part; how many is
+    measured, in one count before the join. Rows with a NULL key, which match nothing, are spread
+    too. The part is a hash of the row, so a retried task produces the same partitioning.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
     if planned_bytes(lookup) <= limit:
         return facts.join(F.broadcast(lookup), keys, how)
-    # At most 1/share rows, so the broadcasts below are bounded.
-    hot = settle(hot_keys(facts, keys, share)).withColumn("_hot", F.lit(True))
-    row_hash = F.xxhash64(*facts.columns)
-    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    salted = (facts.join(F.broadcast(hot), keys, "left")
-              .withColumn("_salt", F.when(F.col("_hot") | no_key, F.pmod(row_hash, F.lit(salts)))
-                          .otherwise(F.lit(0)).cast("int"))
-              .drop("_hot"))
-    repeated = (lookup.join(F.broadcast(hot), keys, "left")
-                .withColumn("_salt", F.explode(F.sequence(
-                    F.lit(0), F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0)))))
-                .drop("_hot"))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    present = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    busy = settle(busy_keys(facts.filter(present), keys, task_rows))
+    if planned_bytes(busy) <= limit:
+        busy = F.broadcast(busy)
+    parts = F.when(~present, F.lit(1024)).otherwise(F.coalesce("_parts", F.lit(1)))
+    cut = (facts.join(busy, keys, "left")
+           .withColumn("_part", F.pmod(F.xxhash64(*facts.columns), parts.cast("long")).cast("int")).drop("_parts"))
+    repeated = (lookup.join(busy, keys, "left")
+                .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts"))
+    return cut.join(repeated, [*keys, "_part"], how).drop("_part")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

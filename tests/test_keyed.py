@@ -80,7 +80,7 @@ def test_salted_join_equals_plain_join(spark, how):
     lookup = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     salted = skew.lookup_join(facts, lookup, ["k"], how, limit=0)
     assert rows(salted) == rows(facts.join(lookup, ["k"], how))
-    assert rows(skew.hot_keys(facts, ["k"], share=0.1)) == [(7,)]
+    assert [r.k for r in skew.busy_keys(facts.filter("k IS NOT NULL"), ["k"], 60).collect()] == [7]
 
 
 def test_settle_keeps_rows(spark):
@@ -100,3 +100,17 @@ def test_quantile_of_the_group_without_a_key(spark):
     df = spark.createDataFrame([(None, "x", 1.0), (None, "x", 10.0), ("g", None, 3.0), ("g", None, None)], "g string, h string, v double")
     assert rows(rel.latency_summary(df, ["g"], "v")) == sorted([(None, 2, 5.5, 10.0), ("g", 2, 3.0, 3.0)], key=str)
     assert rows(rel.latency_summary(df, ["g", "h"], "v")) == sorted([(None, "x", 2, 5.5, 10.0), ("g", None, 2, 3.0, 3.0)], key=str)
+
+
+def test_busy_keys_are_cut_to_the_task_size(spark):
+    """A third of the rows on one key: no part holds much more than the rows a task should have."""
+    from pyspark.sql import functions as F
+    from millrace.functions import skew
+    facts = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500 + 100).cast("long").alias("k"), "id")
+    busy = skew.busy_keys(facts, ["k"], 100).collect()
+    assert [(r.k, r._parts) for r in busy] == [(7, 30)]
+    lookup = spark.range(0, 700).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    joined = skew.lookup_join(facts, lookup, ["k"], "left", limit=0, task_rows=100)
+    assert joined.filter("w = 2 * k").count() == 9000
+    parts = facts.filter("k = 7").groupBy(F.pmod(F.xxhash64("k", "id"), F.lit(30))).count().agg(F.max("count")).first()[0]
+    assert parts <= 160
