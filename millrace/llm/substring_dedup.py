@@ -24,7 +24,7 @@ from millrace.llm.words import hash_words, mix, pieces, signed, text_or_empty, u
 
 WINDOW, GRAM = 50, 20
 #: Different spans that may share a gram; commoner grams are split by whole windows.
-GROUP_SPANS = 4096
+GROUP_SPANS = 1024
 #: 64-bit words of the two routing bitmaps (4 MB each), whatever the corpus.
 ROUTE_WORDS = 1 << 19
 #: Words of the suffix trees that are refined together.
