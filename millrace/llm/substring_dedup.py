@@ -186,7 +186,7 @@ def first_documents(texts: list[bytes], ids: np.ndarray, depth: int) -> list[tup
     return [(windows[a:b], firsts[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def span_firsts(spans: DataFrame, depth: int) -> DataFrame:
+def span_firsts(spans: DataFrame, depth: int, some_whole: bool) -> DataFrame:
     """span, windows, firsts: smallest document of every window of every different span."""
     distinct = spans.groupBy("key", "span", "words").agg(F.min("id").alias("id"))
 
@@ -211,6 +211,8 @@ def span_firsts(spans: DataFrame, depth: int) -> DataFrame:
 
     trees = (distinct.filter("words IS NOT NULL").repartition("key").sortWithinPartitions("key")
              .mapInArrow(grow, "span binary, windows array<long>, firsts array<long>"))
+    if not some_whole:
+        return trees
     return trees.unionByName(distinct.filter("words IS NULL").select(
         "span", F.array(F.lit(0).cast("long")).alias("windows"), F.array("id").alias("firsts")))
 
@@ -224,8 +226,9 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group
     context = docs.sparkSession.sparkContext
     wanted = context.broadcast(bitmap(sizes.select("key")))
     hot = sizes.filter(F.col("spans") > group_spans).select("key")
-    common = context.broadcast(None if hot.isEmpty() else bitmap(hot))
-    firsts = span_firsts(cut_spans(docs, wanted, common, window, gram, True), window)
+    some_whole = not hot.isEmpty()
+    common = context.broadcast(bitmap(hot) if some_whole else None)
+    firsts = span_firsts(cut_spans(docs, wanted, common, window, gram, True), window, some_whole)
     places = cut_spans(docs, wanted, common, window, gram, False)
     found = places.join(firsts, "span").filter(F.exists("firsts", lambda first: first < F.col("id")))
     # A stretch of windows with one first document ends where the next begins.
