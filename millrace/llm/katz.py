@@ -26,7 +26,7 @@ from millrace.llm.words import LOWER, hash_words, mix, signed
 #: context keeps some mass for words it has not been seen with.
 CUTOFF, REST = 5, 0.05
 #: Text of one block: larger ones repeat fewer n-grams, smaller ones take less memory.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 _BEGIN, _END = np.uint64(0x5EED0000BE91), np.uint64(0x5EED00000E4D)
 _ZERO = np.uint64(0)
 
