@@ -356,6 +356,17 @@ def knn_ivf(questions: DataFrame, index: IvfIndex, k: int, nprobe: int,
     return _ranked(found, question_id, doc_id, "distance", k, rank_as, descending=False)
 
 
+def probes_for(questions: DataFrame, index: IvfIndex, exact: DataFrame, k: int, recall: float = 0.9,
+               question_id: str = "query_id", doc_id: str = "doc_id", **names: str) -> int:
+    """Fewest probes, among powers of two and all cells, that find this share of the ``exact`` neighbours."""
+    cells = len(index.centres)
+    for nprobe in [1 << i for i in range(cells.bit_length()) if 1 << i < cells]:
+        found = knn_ivf(questions, index, k, nprobe, question_id=question_id, doc_id=doc_id, metric=index.metric, **names)
+        if (recall_against(found, exact, question_id, doc_id).agg(F.avg("recall")).first()[0] or 0.0) >= recall:
+            return nprobe
+    return cells
+
+
 # --- keywords -------------------------------------------------------------------------------
 
 def postings(docs: DataFrame, doc_id: str, tokens: str = "tokens") -> DataFrame:

@@ -40,21 +40,32 @@ def inline_values(t: Tables) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance")))
 
 
+#: Columns of every table in order, with their types.
 _LISTED = {
-    "customer": ["c_custkey bigint", "c_name string", "c_nationkey int", "c_acctbal double",
-                 "c_mktsegment string"],
-    "orders": ["o_orderkey bigint", "o_custkey bigint", "o_orderstatus string",
-               "o_totalprice double", "o_orderdate timestamp_ntz", "o_orderpriority string"],
-    "documents": ["doc_id bigint", "text string", "lang string", "source string", "n_chars bigint"],
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 
 @query("schema_introspect", "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, '{c.split()[0]}' AS column_name, CAST({i} AS BIGINT) AS position, "
     f"CASE any_value(typeof({c.split()[0]})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
-    f"WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END "
+    f"WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' END "
     f"AS data_type, count(*) AS n_rows, count(*) - count({c.split()[0]}) AS n_null FROM {name}"
-    for name, columns in _LISTED.items() for i, c in enumerate(columns, 1)))
+    for name, columns in _LISTED.items() for i, c in enumerate(columns.split(", "), 1)))
 def schema_introspect(t: Tables) -> DataFrame:
     return checks.describe_tables({name: getattr(t, name) for name in _LISTED})
 
