@@ -139,6 +139,32 @@ def distill(talks: DataFrame, session: str, text: str, model: Callable[[list[str
     return answered.select(session, *extra, summary.alias("summary"), importance.alias("importance"))
 
 
+def distill_sessions(messages: DataFrame, session: str, turn: str, role: str, content: str,
+                     model: Callable[[list[str]], list[str]], part_turns: int = 1000, batch: int = 16) -> DataFrame:
+    """One episode per session, whatever its length: session, summary, importance.
+
+    A session of up to ``part_turns`` turns is summarised at once. Of a longer one the parts are
+    summarised, and then their summaries, in order, are.
+    """
+    talks = transcripts(messages, session, turn, role, content, part_turns)
+    parts = (distill(talks, session, "transcript", model, batch).groupBy(session)
+             .agg(F.sort_array(F.collect_list(F.struct("part", "summary", "importance"))).alias("_parts")))
+    first = F.col("_parts")[0]
+    whole = parts.filter(F.size("_parts") == 1).select(session, first["summary"].alias("summary"), first["importance"].alias("importance"))
+    longer = parts.filter(F.size("_parts") > 1).select(session, F.array_join("_parts.summary", "\n").alias("_text"))
+    return whole.unionByName(distill(longer, session, "_text", model, batch))
+
+
+def episode_rows(distilled: DataFrame, owners: DataFrame, session: str, user: str, seen: Column,
+                 embed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Distilled sessions as rows of the episode table: session, user, summary, importance, last_seen, embedding.
+
+    ``embed`` takes (session, summary) and returns (session, embedding); ``owners`` names the user of a session.
+    """
+    rows = lookup_join(distilled, owners.select(session, user), [session], "left").withColumn("last_seen", seen)
+    return rows.join(embed(distilled.select(session, "summary")), session)
+
+
 def remember(episodes: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add episodes once per key, so repeating the nightly run changes nothing."""
     return insert_ignore(episodes, new, keys, order)

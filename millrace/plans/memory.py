@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import lexemes, parse_importance
+from millrace.functions.timing import stamp
 from millrace.operators import keyed as K
 from millrace.operators import memory as M
 from millrace.operators import relational as rel
+from millrace.operators import retrieval as R
 from millrace.plans import roles
 from millrace.plans.registry import query
-from millrace.functions.text import parse_importance
 from millrace.sources.tables import Tables
 
 
@@ -92,13 +94,34 @@ def extractive_model(texts: list[str]) -> list[str]:
     return answers
 
 
-@query("distill", rf"""WITH {_TALKS}
-SELECT conv_id, part, regexp_replace(list_extract(string_split(regexp_replace(transcript, '\s+$', ''), chr(10)), -1),
+_EPISODES = rf"""{_TALKS}, episodes AS (
+SELECT conv_id, regexp_replace(list_extract(string_split(regexp_replace(transcript, '\s+$', ''), chr(10)), -1),
     '^\s+|\s+$', '', 'g') AS summary,
-  round(least(1.0::DOUBLE, length(transcript) / 5000.0::DOUBLE), 6) AS importance FROM talks""")
+  round(least(1.0::DOUBLE, length(transcript) / 5000.0::DOUBLE), 6) AS importance FROM talks)"""
+
+
+def _episodes(t: Tables) -> DataFrame:
+    found = M.distill_sessions(t.conversations, "conv_id", "turn", "role", "text", extractive_model)
+    return found.withColumn("importance", F.round("importance", 6))
+
+
+@query("distill", f"WITH {_EPISODES} SELECT * FROM episodes")
 def distill(t: Tables) -> DataFrame:
-    episodes = M.distill(_talks(t).drop("n_messages"), "conv_id", "transcript", extractive_model)
-    return episodes.withColumn("importance", F.round("importance", 6))
+    return _episodes(t)
+
+
+@query("distill_store", f"""WITH {_EPISODES}
+SELECT conv_id, c_custkey AS user_id, summary, importance, TIMESTAMP '2024-02-01' AS last_seen, CAST(64 AS BIGINT) AS n_dims
+FROM episodes LEFT JOIN customer ON c_custkey = conv_id + 1""")
+def distill_store(t: Tables) -> DataFrame:
+    """The nightly run twice over: transcript, summary, vector, one stored episode per user and session."""
+    owners = t.customer.select((F.col("c_custkey") - 1).alias("conv_id"), F.col("c_custkey").alias("user_id"))
+    new = M.episode_rows(_episodes(t), owners, "conv_id", "user_id", stamp("2024-02-01 00:00:00"),
+                         lambda df: R.embed_hashed(df.withColumn("tokens", lexemes("summary", "en")), "conv_id", F.col("tokens")))
+    stored = new.limit(0)
+    for _ in range(2):
+        stored = M.remember(stored, new, ["user_id", "conv_id"], ["last_seen"])
+    return stored.select("conv_id", "user_id", "summary", "importance", "last_seen", F.size("embedding").cast("long").alias("n_dims"))
 
 
 @query("parse_importance", r"""SELECT conv_id, turn,

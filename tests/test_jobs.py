@@ -189,3 +189,14 @@ def test_ids_keep_parts_apart(spark):
     from millrace.functions.ids import stable_uuid
     df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("", None), (None, ""), (None, None), ("", "")], "x string, y string")
     assert df.select(stable_uuid("x", "y").alias("i")).distinct().count() == 6
+
+
+def test_one_episode_whatever_the_length(spark):
+    talk = spark.createDataFrame([(1, i, "user", f"line {i}") for i in range(7)] + [(2, 0, "user", "only")], "s long, turn long, role string, text string")
+    def model(texts):
+        return [f"{t.splitlines()[0]} .. {t.splitlines()[-1]}\nIMPORTANCE: {len(t.splitlines()) / 10}" for t in texts]
+    got = {r.s: (r.summary, r.importance) for r in M.distill_sessions(talk, "s", "turn", "role", "text", model, part_turns=3).collect()}
+    assert got[2] == ("user: only .. user: only", 0.1)
+    assert got[1] == ("user: line 0 .. user: line 2 .. user: line 6 .. user: line 6", 0.3)
+    whole = {r.s: r.summary for r in M.distill_sessions(talk, "s", "turn", "role", "text", model).collect()}
+    assert whole[1] == "user: line 0 .. user: line 6"
