@@ -25,8 +25,8 @@ from millrace.session import ship_package
 
 #: Most questions sent to every task in one piece.
 QUESTION_BOUND = 4096
-#: Rows of corpus per task when the question table exceeds the bound.
-SLAB_ROWS = 50_000
+#: Pairs of a question and a document's lexeme that are looked at in one step.
+PAIR_BOUND = 4_000_000
 #: Most distinct question lexemes sent to every task.
 TERM_BOUND = 200_000
 #: Decimals at which two scores count as equal (equal scores are ordered by id).
@@ -35,46 +35,31 @@ SCORE_DIGITS = 9
 Scan = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def scan_against(corpus: DataFrame, corpus_id: str, questions: DataFrame, question_id: str,
-                 prepare: Callable[[pa.Table], Scan], schema: str,
-                 bound: int = QUESTION_BOUND, slab_rows: int = SLAB_ROWS) -> DataFrame:
+def scan_against(corpus: DataFrame, questions: DataFrame, question_id: str,
+                 prepare: Callable[[pa.Table], Scan], schema: str, bound: int = QUESTION_BOUND) -> DataFrame:
     """Run ``prepare(questions)`` over every part of the corpus.
 
-    Up to ``bound`` questions are broadcast and the corpus is read once, in place. A larger
-    table is cut into blocks, the corpus into slabs, and each (block, slab) pair is one task of
-    bounded size; both ways give the same candidates.
+    Up to ``bound`` questions are broadcast and the corpus is read once, in place. A larger table is
+    cut into blocks of about that many, and the corpus, never shuffled or repeated, is read once per block; the
+    candidates are the same.
     """
     spark = corpus.sparkSession
     ship_package(spark)
-    head = questions.limit(bound + 1).toArrow()
-    if head.num_rows <= bound:
-        shared = spark.sparkContext.broadcast(head)
+
+    def against(block: pa.Table) -> DataFrame:
+        shared = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from prepare(shared.value)(batches)
 
         return corpus.mapInArrow(scan, schema)
 
+    head = questions.limit(bound + 1).toArrow()
+    if head.num_rows <= bound:
+        return against(head)
     blocks = -(-questions.count() // bound)
-    slabs = max(1, -(-corpus.count() // slab_rows))
-    zero = F.lit(0).cast("long")
-    q = (questions.withColumn("_block", F.pmod(F.xxhash64(question_id), F.lit(blocks)))
-         .withColumn("_slab", F.explode(F.sequence(zero, zero + (slabs - 1)))))
-    c = (corpus.withColumn("_slab", F.pmod(F.xxhash64(corpus_id), F.lit(slabs)))
-         .withColumn("_block", F.explode(F.sequence(zero, zero + (blocks - 1)))))
-    q_columns, c_columns = questions.columns, corpus.columns
-
-    empty = pa.schema([(name, {"long": pa.int64(), "double": pa.float64()}[kind])
-                       for name, kind in (field.split() for field in schema.split(", "))]).empty_table()
-
-    def pair(q_part: pa.Table, c_part: pa.Table) -> pa.Table:
-        if not q_part.num_rows or not c_part.num_rows:
-            return empty
-        out = list(prepare(q_part.select(q_columns))(c_part.select(c_columns).to_batches()))
-        return pa.Table.from_batches(out).cast(empty.schema) if out else empty
-
-    keys = ("_slab", "_block")
-    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(pair, schema)
+    place = F.pmod(F.xxhash64(question_id), F.lit(blocks))
+    return reduce(DataFrame.unionByName, [against(questions.filter(place == i).toArrow()) for i in range(blocks)])
 
 
 # --- vectors --------------------------------------------------------------------------------
@@ -231,7 +216,7 @@ def _vector_scan(k: int, metric: str, digits: int, names: tuple[str, str, str]):
 def knn_exact(questions: DataFrame, corpus: DataFrame, k: int, question_id: str = "query_id",
               question_vec: str = "embedding", doc_id: str = "doc_id", vec: str = "embedding",
               metric: str = "cosine", where: Column | None = None, rank_as: str = "rank",
-              bound: int = QUESTION_BOUND, slab_rows: int = SLAB_ROWS) -> DataFrame:
+              bound: int = QUESTION_BOUND) -> DataFrame:
     """Exact ``k`` nearest corpus rows of every question. ``where`` filters *before* ranking.
 
     Ids are longs. A question without a vector has no answer, a row without one is no neighbour.
@@ -242,9 +227,9 @@ def knn_exact(questions: DataFrame, corpus: DataFrame, k: int, question_id: str
     asked = (questions.filter(F.col(question_vec).isNotNull())
              .select(F.col(question_id).cast("long").alias(question_id), question_vec))
     names = (question_id, doc_id, "distance")
-    found = scan_against(rows, doc_id, asked, question_id,
+    found = scan_against(rows, asked, question_id,
                          _vector_scan(k, metric, SCORE_DIGITS, names),
-                         f"{question_id} long, {doc_id} long, distance double", bound, slab_rows)
+                         f"{question_id} long, {doc_id} long, distance double", bound)
     return _ranked(found, question_id, doc_id, "distance", k, rank_as, descending=False)
 
 
@@ -350,7 +335,7 @@ def knn_ivf(questions: DataFrame, index: IvfIndex, k: int, nprobe: int,
     wanted = [r[0] for r in asked.select(F.explode("cells")).distinct().collect()]
     rows = index.table.filter(F.col("cell").isin(wanted)).select(doc_id, vec, "cell")
     names = (question_id, doc_id, "distance")
-    found = scan_against(rows, doc_id, asked, question_id,
+    found = scan_against(rows, asked, question_id,
                          _vector_scan(k, metric, SCORE_DIGITS, names),
                          f"{question_id} long, {doc_id} long, distance double", bound)
     return _ranked(found, question_id, doc_id, "distance", k, rank_as, descending=False)
@@ -406,9 +391,13 @@ def _term_scan(k: int | None, mode: str, scoring: str, k1: float, b: float, mean
         def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best = BestRows(len(ids), k) if k is not None else None
             for whole in batches:
-                # Bounded working set whatever the number of questions.
-                for start in range(0, whole.num_rows, 1000):
-                    batch = whole.slice(start, 1000)
+                pending = [whole.slice(start, 1000) for start in range(0, whole.num_rows, 1000)]
+                while pending:
+                    batch = pending.pop()
+                    if batch.num_rows > 1 and pairs(batch) > PAIR_BOUND:
+                        half = batch.num_rows // 2
+                        pending += [batch.slice(0, half), batch.slice(half)]
+                        continue
                     q, row, score = match(batch)
                     doc_ids = batch.column(0).to_numpy()[row]
                     if best is None:
@@ -426,6 +415,11 @@ def _term_scan(k: int | None, mode: str, scoring: str, k1: float, b: float, mean
                 yield pa.RecordBatch.from_arrays(
                     [out.column(0), out.column(1), pc.negate(out.column(2))], names=list(names))
 
+        def pairs(batch: pa.RecordBatch) -> int:
+            """Most (question, lexeme) pairs that the batch can give."""
+            _, code = _occurrences(batch.column(1), _sizes(batch.column(1)), vocabulary)
+            return int(per_term[code].sum()) if len(code) else 0
+
         def match(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             lengths = _sizes(batch.column(1))
             owner, code = _occurrences(batch.column(1), lengths, vocabulary)
@@ -468,7 +462,7 @@ def question_terms(questions: DataFrame, question_id: str, tokens: Column) -> Da
 def keyword_match(questions: DataFrame, docs: DataFrame, question_id: str = "query_id",
                   doc_id: str = "doc_id", tokens: str = "tokens", mode: str = "all",
                   k: int | None = None, rank_as: str = "rank", where: Column | None = None,
-                  bound: int = QUESTION_BOUND, slab_rows: int = SLAB_ROWS) -> DataFrame:
+                  bound: int = QUESTION_BOUND) -> DataFrame:
     """Documents holding all (or any) of a question's lexemes, with a frequency score.
 
     The score sums ``1 + ln(tf)`` over matched lexemes: frequency only, no rarity weight. With
@@ -481,10 +475,10 @@ def keyword_match(questions: DataFrame, docs: DataFrame, question_id: str = "que
     asked = questions.select(question_id, "terms",
                              F.transform("terms", lambda t: F.lit(1.0)).alias("weights"))
     names = (question_id, doc_id, "score")
-    found = scan_against(pool.select(F.col(doc_id).cast("long").alias(doc_id), tokens), doc_id,
+    found = scan_against(pool.select(F.col(doc_id).cast("long").alias(doc_id), tokens),
                          asked, question_id,
                          _term_scan(k, mode, "frequency", 0.0, 0.0, 1.0, SCORE_DIGITS, names),
-                         f"{question_id} long, {doc_id} long, score double", bound, slab_rows)
+                         f"{question_id} long, {doc_id} long, score double", bound)
     if k is None:
         return found
     return _ranked(found, question_id, doc_id, "score", k, rank_as, descending=True)
@@ -535,8 +529,7 @@ def corpus_statistics(docs: DataFrame, terms: DataFrame, tokens: str = "tokens",
 
 def bm25(questions: DataFrame, docs: DataFrame, k: int, question_id: str = "query_id",
          doc_id: str = "doc_id", tokens: str = "tokens", k1: float = 1.2, b: float = 0.75,
-         mode: str = "any", rank_as: str = "rank", bound: int = QUESTION_BOUND,
-         slab_rows: int = SLAB_ROWS, term_bound: int = TERM_BOUND) -> DataFrame:
+         mode: str = "any", rank_as: str = "rank", bound: int = QUESTION_BOUND, term_bound: int = TERM_BOUND) -> DataFrame:
     """Exact BM25 top ``k`` per question: one scan for the corpus statistics, one to score."""
     vocabulary = questions.select(F.explode("terms").alias("term")).distinct()
     total, mean, frequency = corpus_statistics(docs, vocabulary, tokens, term_bound)
@@ -549,10 +542,10 @@ def bm25(questions: DataFrame, docs: DataFrame, k: int, question_id: str = "quer
                 .select(question_id, F.col("pairs.term").alias("terms"),
                         F.col("pairs.w").alias("weights")))
     names = (question_id, doc_id, "score")
-    found = scan_against(docs.select(F.col(doc_id).cast("long").alias(doc_id), tokens), doc_id,
+    found = scan_against(docs.select(F.col(doc_id).cast("long").alias(doc_id), tokens),
                          weighted, question_id,
                          _term_scan(k, mode, "bm25", k1, b, mean or 1.0, SCORE_DIGITS, names),
-                         f"{question_id} long, {doc_id} long, score double", bound, slab_rows)
+                         f"{question_id} long, {doc_id} long, score double", bound)
     return _ranked(found, question_id, doc_id, "score", k, rank_as, descending=True)
 
 

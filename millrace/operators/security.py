@@ -32,10 +32,10 @@ def assigned_rows(df: DataFrame, assignments: DataFrame, principal: str, on: Seq
 
 def visible_counts(df: DataFrame, owner: str) -> DataFrame:
     """Rows each principal sees under the owner policy, beside the table's total."""
-    # One scan: the total is the sum over the owners, those without one included.
-    counts = df.groupBy(owner).agg(F.count(F.lit(1)).alias("n_visible"))
-    total = counts.agg(F.coalesce(F.sum("n_visible"), F.lit(0)).alias("n_total"))
-    return counts.filter(F.col(owner).isNotNull()).join(F.broadcast(total))
+    total = df.count()
+    return (df.filter(F.col(owner).isNotNull()).groupBy(owner)
+            .agg(F.count(F.lit(1)).alias("n_visible"))
+            .withColumn("n_total", F.lit(total).cast("long")))
 
 
 def shared_rows(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -56,7 +56,7 @@ def test_exact_neighbours(spark, corpus, asked, metric):
 
 def test_many_questions_take_the_blocked_way_with_equal_result(spark, corpus, asked):
     near = R.knn_exact(asked, corpus, 6)
-    blocked = R.knn_exact(asked, corpus, 6, bound=2, slab_rows=50)
+    blocked = R.knn_exact(asked, corpus, 6, bound=2)
     assert rows(blocked) == rows(near)
 
 
@@ -153,7 +153,7 @@ def test_bm25_equals_formula_and_both_ways_agree(spark, library, wanted):
         expected += [(q, d, rank) for rank, (_, d) in enumerate(sorted(scored)[:7], 1)]
     out = R.bm25(wanted, library, 7)
     assert rows(out.select("query_id", "doc_id", "rank")) == sorted(expected, key=str)
-    assert rows(R.bm25(wanted, library, 7, bound=2, slab_rows=40)) == rows(out)
+    assert rows(R.bm25(wanted, library, 7, bound=2)) == rows(out)
     assert rows(R.bm25(wanted, library, 7, term_bound=1)) == rows(out)
 
 
@@ -217,3 +217,20 @@ def test_missing_questions_and_zero_vectors(spark):
     assert rows(R.knn_ivf(asked, index, 3, nprobe=2, metric="l2").select("query_id", "doc_id", "rank")) == exact
     assert rows(R.knn_ivf(asked, index, 3, nprobe=1, metric="l2").select("query_id", "doc_id", "rank"))[0] == (7, 1, 1)
     assert {r.doc_id for r in R.knn_exact(asked, corpus, 3).collect()} == {2, 4}
+
+
+def test_steps_of_any_size_give_the_same_scores(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, [f"t{j % 9}" for j in range(i % 30 + 1)]) for i in range(120)], "doc_id long, tokens array<string>").coalesce(1)
+    asked = R.question_terms(spark.createDataFrame([(i, [f"t{i % 9}", f"t{i % 4}"]) for i in range(20)], "query_id long, w array<string>"), "query_id", F.col("w"))
+    whole = rows(R.bm25(asked, docs, 5))
+    monkeypatch.setattr(R, "PAIR_BOUND", 50)
+    assert rows(R.bm25(asked, docs, 5)) == whole
+
+
+def test_many_questions_do_not_move_the_corpus(spark):
+    corpus = spark.range(50).select(F.col("id").alias("doc_id"), F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("embedding"))
+    asked = spark.range(7).select(F.col("id").alias("query_id"), F.array(F.lit(1.0).cast("float"), F.col("id").cast("float")).alias("embedding"))
+    found = R.knn_exact(asked, corpus, 3, bound=2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "CoGroup" not in plan and "Join" not in plan
+    assert rows(found) == rows(R.knn_exact(asked, corpus, 3))
