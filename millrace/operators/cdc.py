@@ -99,15 +99,16 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     A changed key ends with one row or none. All other target rows, those that repeat a key or
     have none included, stay as they are. A change without a key is an error, raised when it is
     computed. Up to ``limit`` planned bytes the change keys are broadcast, so the target stays where it is;
-    the rows are the same either way.
+    a larger log meets the target in one shuffle. The rows are the same either way.
     """
+    if planned_bytes(changes) > limit:
+        return _fold(target, None, changes, keys, seq, tie, None)
     last = latest_changes(changes.filter(_refuse(_key_missing(keys), "change without a key", keys)), keys, seq, tie)
-    return _replace(target, last, keys, planned_bytes(changes) <= limit)
+    return _replace(target, last, keys)
 
 
-def _replace(target: DataFrame, last: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    touched = key_set(last, keys)
-    kept = target.join(F.broadcast(touched) if small else touched, list(keys), "left_anti")
+def _replace(target: DataFrame, last: DataFrame, keys: Sequence[str]) -> DataFrame:
+    kept = target.join(F.broadcast(key_set(last, keys)), list(keys), "left_anti")
     return kept.unionByName(last.filter(F.col(CHANGE_TYPE) != "delete").select(*target.columns))
 
 
@@ -120,15 +121,42 @@ def apply_changes_ordered(target: DataFrame, changes: DataFrame, keys: Sequence[
     counts. ``tombstones`` (see :func:`next_tombstones`) holds when deleted keys were deleted, so
     that an older change arriving later does not bring them back.
     """
-    small = planned_bytes(changes) <= limit
+    if planned_bytes(changes) > limit:
+        return _fold(target, target_seq, changes, keys, seq, tie, tombstones)
     last = latest_changes(changes.filter(_refuse(_key_missing(keys), "change without a key", keys)), keys, seq, tie)
     stored = target.select(*keys, F.col(target_seq).alias("_stored"))
     if tombstones is not None:
         stored = stored.unionByName(tombstones.select(*keys, F.col(seq).alias("_stored")))
-    incoming = last.select(*keys, F.col(seq).alias("_incoming"))
+    incoming = F.broadcast(last.select(*keys, F.col(seq).alias("_incoming")))
     older = (F.col("_incoming") < F.col("_stored")) | (F.col("_incoming").isNull() & F.col("_stored").isNotNull())
-    stale = key_set(stored.join(F.broadcast(incoming) if small else incoming, list(keys)).filter(older), keys)
-    return _replace(target, last.join(F.broadcast(stale) if small else stale, list(keys), "left_anti"), keys, small)
+    stale = key_set(stored.join(incoming, list(keys)).filter(older), keys)
+    return _replace(target, last.join(F.broadcast(stale), list(keys), "left_anti"), keys)
+
+
+def _fold(target: DataFrame, target_seq: str | None, changes: DataFrame, keys: Sequence[str], seq: str,
+          tie: Sequence[str | Column], tombstones: DataFrame | None) -> DataFrame:
+    """Target, log and tombstones stacked: the last change of a key decides over its stored rows."""
+    extra = [F.col(c) for c in tie if isinstance(c, str) and c not in target.columns]
+    stored_seq = F.lit(None) if target_seq is None else F.col(target_seq)
+    rows = (target.withColumns({CHANGE_TYPE: F.lit("stored"), "_seq": stored_seq.cast(changes.schema[seq].dataType), "_log": F.lit(0)})
+            .unionByName(changes.filter(_refuse(_key_missing(keys), "change without a key", keys))
+                         .select(*target.columns, CHANGE_TYPE, F.col(seq).alias("_seq"), F.lit(1).alias("_log"), *extra), allowMissingColumns=True))
+    if tombstones is not None:
+        rows = rows.unionByName(tombstones.select(*keys, F.lit("tombstone").alias(CHANGE_TYPE), F.col(seq).alias("_seq"), F.lit(0).alias("_log")),
+                                allowMissingColumns=True)
+    # Rows without a key are spread: nothing changes them.
+    own = Window.partitionBy(*keys, F.when(_key_missing(keys), F.xxhash64(*target.columns)).otherwise(F.lit(0)))
+    order = [F.col(c) if isinstance(c, str) else c for c in tie]
+    newest = own.orderBy(F.col("_log").desc(), F.col("_seq").desc_nulls_last(), *order)
+    rows = rows.withColumns({
+        "_place": F.row_number().over(newest), "_incoming": F.first("_seq").over(newest), "_changed": F.max("_log").over(own),
+        "_stored": F.max(F.when(F.col("_log") == 0, F.col("_seq"))).over(own)})
+    older = (F.col("_incoming") < F.col("_stored")) | (F.col("_incoming").isNull() & F.col("_stored").isNotNull())
+    applies = (F.col("_changed") == 1) & ~F.coalesce(older, F.lit(False))
+    kind = F.col(CHANGE_TYPE)
+    keep = (F.when(F.col("_log") == 1, applies & (F.col("_place") == 1) & (kind != "delete"))
+            .when(kind == "tombstone", F.lit(False)).otherwise(~applies))
+    return rows.filter(keep).select(*target.columns)
 
 
 def next_tombstones(tombstones: DataFrame | None, changes: DataFrame, keys: Sequence[str],

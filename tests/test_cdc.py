@@ -194,6 +194,7 @@ def test_deletion_outlives_older_changes(spark):
     first = change((1, "a", at(9), "delete", at(9)))
     after = cdc.apply_changes_ordered(table, first, ["id"], "seen")
     gone = cdc.next_tombstones(None, first, ["id"])
+    assert rows(cdc.apply_changes_ordered(after, change((1, "old", at(5), "update", at(5))), ["id"], "seen", tombstones=gone, limit=0)) == []
     late = change((1, "old", at(5), "update", at(5)))
     assert rows(cdc.apply_changes_ordered(after, late, ["id"], "seen", tombstones=gone)) == []
     gone = cdc.next_tombstones(gone, late, ["id"])
