@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import blocks, pack, unpack
+from millrace.llm.staging import bound_batches
 
 #: Most slices of the distinct words.
 MOST_SLICES = 4096
@@ -92,13 +93,15 @@ def by_slice(words: set[bytes], slices: int) -> list[tuple[int, list[bytes]]]:
     return [(s, [ordered[i] for i in order[a:b].tolist()]) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None, decoded: bool = False) -> DataFrame:
     """doc_id, ids (array<int>) of every row, as if each text had been encoded by itself.
 
     NULL and empty texts have no ids. Rows that are repeated or share a doc_id are encoded one by
-    one. An empty table gives an empty result; other columns of ``docs`` are ignored.
+    one. An empty table gives an empty result; other columns of ``docs`` are ignored. With
+    ``decoded`` the ids are decoded again where they are, as :func:`decode` would.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     slices = slices or min(MOST_SLICES, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = spark.sparkContext.broadcast(vocabulary)  # as large as the tokenizer, whatever the corpus
     packed = blocks(docs)
@@ -141,7 +144,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None) -
         kind = left.schema.field("doc_id").type.value_type
         cut = regex.compile(pattern).findall
         coded = dict(zip(right.column("slice").to_pylist(), right.column("coded").to_pylist()))
-        ids, rows = [], []
+        ids, rows, back = [], [], []
+        tokens = token_table(shared.value) if decoded else None
         for names, texts in zip(left.column("doc_id").to_pylist(), left.column("texts").to_pylist()):
             pieces = [cut(t.decode()) for t in unpack(texts)]
             place: dict[bytes, int] = {}
@@ -161,11 +165,31 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None) -
             values = taken.values
             ids.extend(names)
             rows.append(pa.LargeListArray.from_arrays(pa.array(offsets - offsets[0]), values.slice(offsets[0], offsets[-1] - offsets[0])))
-        return pa.table([pa.array(ids, kind), pa.concat_arrays(rows).cast(pa.list_(pa.int32()))], ["doc_id", "ids"])
+            if decoded:
+                back.append(decode_lists(rows[-1], tokens))
+        columns = [pa.array(ids, kind), pa.concat_arrays(rows).cast(pa.list_(pa.int32()))]
+        return pa.table([*columns, *([pa.concat_arrays(back)] if decoded else [])], ["doc_id", "ids", "decoded"][:2 + decoded])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (packed.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(assemble, f"doc_id {kind}, ids array<int>"))
+            .applyInArrow(assemble, f"doc_id {kind}, ids array<int>" + ", decoded binary" * decoded))
+
+
+def token_table(vocabulary: Vocabulary) -> pa.Array:
+    """Bytes of each token, by its id."""
+    table: list[bytes | None] = [None] * (max(vocabulary.ranks.values()) + 1)
+    for token, rank in vocabulary.ranks.items():
+        table[rank] = token
+    return pa.array(table, pa.large_binary())
+
+
+def decode_lists(lists: pa.Array, tokens: pa.Array) -> pa.Array:
+    """Bytes of each list of ids, joined from the token-byte table; NULL stays NULL."""
+    joined = pc.take(tokens, lists.flatten())
+    at = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]
+    offsets = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, joined.offset * 8)[at]
+    data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(offsets.tobytes()), joined.buffers()[2]])
+    return pc.if_else(lists.is_valid(), data, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary, column: str = "ids") -> DataFrame:
@@ -178,18 +202,8 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, column: str = "ids") -> Dat
     layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: list[bytes | None] = [None] * (max(shared.value.ranks.values()) + 1)
-        for token, rank in shared.value.ranks.items():
-            table[rank] = token
-        tokens = pa.array(table, pa.large_binary())
+        tokens = token_table(shared.value)
         for batch in batches:
-            lists = batch.column(column)
-            joined = pc.take(tokens, lists.flatten())
-            at = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]
-            raw = joined.buffers()[2]
-            offsets = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, joined.offset * 8)[at]
-            data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(offsets.tobytes()), raw])
-            plain = pc.if_else(lists.is_valid(), data, pa.scalar(None, pa.large_binary())).cast(pa.binary())
-            yield batch.append_column("decoded", plain)
+            yield batch.append_column("decoded", decode_lists(batch.column(column), tokens))
 
     return coded.mapInArrow(apply, f"{layout}, decoded binary")

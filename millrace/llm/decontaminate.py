@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.staging import bound_batches
 from millrace.llm.words import LOWER, utf8
 
 WINDOW = 13
@@ -107,6 +108,7 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = WINDOW, limit:
     benchmark over ``limit`` bytes is scanned slice by slice, every slice over all documents, and
     the spans are united. Column names n_words, n_hit, spans and items of ``docs`` are replaced.
     """
+    bound_batches(docs.sparkSession)
     item_type = items.schema["item_id"].dataType.simpleString()
     span_type = "array<struct<word_from:int,word_to:int,char_from:int,char_to:int>>"
     added = f"n_words long, n_hit long, spans {span_type}, items array<{item_type}>"
@@ -155,5 +157,7 @@ def contaminated() -> Column:
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their own columns."""
-    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
-    return find_passages(rows, items).filter(~contaminated()).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select("text", F.struct(*others, F.lit(0).alias("_")).alias("row"))
+    return find_passages(rows, items).filter(~contaminated()).select(
+        *[F.col(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

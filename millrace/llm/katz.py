@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import blocks, pack_numbers, unpack, unpack_numbers
-from millrace.llm.staging import staged
+from millrace.llm.staging import bound_batches, staged
 from millrace.llm.words import LOWER, hash_words, mix, signed
 
 #: Counts up to this are discounted by Good-Turing; higher ones lose REST occurrences, so that every
@@ -172,6 +172,7 @@ def katz_scores(docs: DataFrame, slices: int | None = None) -> DataFrame:
     gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text", F.coalesce("learn", F.lit(False)).alias("learn"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.staging import staged
+from millrace.llm.staging import bound_batches, staged
 from millrace.llm.words import utf8
 
 THRESHOLD = 0.3
@@ -83,6 +83,7 @@ def featured(docs: DataFrame) -> DataFrame:
             offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * WIDTH)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))], ["doc_id", "x"])
 
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return staged(docs.select("doc_id", "text").mapInArrow(apply, f"doc_id {kind}, x array<double>"), "features")
 
@@ -173,4 +174,5 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
             if batch.num_rows:
                 yield batch.filter(pa.array(model.score(features(utf8(batch.column("text")))) >= threshold))
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(apply, docs.schema)

@@ -29,7 +29,7 @@ def tokenizer() -> byte_bpe.Vocabulary:
 
 def token_digests(docs: DataFrame, vocabulary: byte_bpe.Vocabulary) -> DataFrame:
     """Encodes and decodes every text: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    coded = byte_bpe.decode(byte_bpe.encode(docs, vocabulary), vocabulary)
+    coded = byte_bpe.encode(docs, vocabulary, decoded=True)
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))

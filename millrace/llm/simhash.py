@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.staging import staged
+from millrace.llm.staging import bound_batches, staged
 from millrace.llm.words import LOWER, mix, signed, utf8
 from millrace.session import shared_dir
 
@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = np.fromiter((fingerprint(t, shingle) for t in utf8(batch.column("text"))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(signed(fps))], ["doc_id", "fp"])
 
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(apply, f"doc_id {kind}, fp long")
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.staging import staged
+from millrace.llm.staging import bound_batches, staged
 from millrace.llm.words import hash_words, mix, pieces, signed, text_or_empty, utf8
 
 WINDOW, GRAM = 50, 20
@@ -247,6 +247,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     their doc_id, do not remove from each other. An empty table gives an empty result; other
     columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     ready = docs.select("doc_id", text_or_empty().alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"))
     ready = ready.withColumn("row", F.xxhash64("id", "text"))
     runs = repeated_runs(ready, window, gram, group_spans).withColumnRenamed("row", "_row")
