@@ -42,9 +42,10 @@ def library(vocabulary):
 
 def test_bpe_as_the_library(spark, vocabulary, library):
     rows = [*awkward_texts(), (90, "  \n\n  x\t\t y   "), (91, "a" * 3000), (92, "don't DON'T 's12ab 3½ ²"), (93, "\u00a0\u2003nb sp\u3000")]
-    got = byte_bpe.decode(byte_bpe.encode(docs_frame(spark, rows), vocabulary), vocabulary).collect()
     expected = [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows]
-    assert ordered((r.doc_id, list(r.ids), bytes(r.decoded)) for r in got) == ordered(expected)
+    docs = docs_frame(spark, rows)
+    for coded in (byte_bpe.decode(byte_bpe.encode(docs, vocabulary), vocabulary), byte_bpe.encode(docs, vocabulary, decoded=True)):
+        assert ordered((r.doc_id, list(r.ids), bytes(r.decoded)) for r in coded.collect()) == ordered(expected)
 
 
 def test_bpe_small_blocks_and_slices(spark, vocabulary, library, monkeypatch):
