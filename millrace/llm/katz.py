@@ -224,8 +224,9 @@ def katz_scores(docs: DataFrame, slices: int | None = None) -> DataFrame:
         "direct double, opened array<long>, context long, held double, low double")), "katz-scores", "kind")
     rows = looked.filter("kind = 'doc'")
     # What a context holds back, over what the lower order gives to the words not seen after it.
-    weights = (looked.filter("kind = 'context'").groupBy("context").agg(F.sum("held").alias("held"), F.sum("low").alias("low"))
-               .select("context", F.log10(F.col("held") / (1 - F.col("low"))).alias("weight")))
+    # Written, so that the join below stands alone and a busy context can be split over tasks.
+    weights = staged(looked.filter("kind = 'context'").groupBy("context").agg(F.sum("held").alias("held"), F.sum("low").alias("low"))
+                     .select("context", F.log10(F.col("held") / (1 - F.col("low"))).alias("weight")), "katz-weights")
     backed = (rows.select("row", F.explode("opened").alias("context")).groupBy("context", "row").agg(F.count(F.lit(1)).alias("times"))
               .join(weights, "context").groupBy(F.col("row").alias("_row")).agg(F.sum(F.col("times") * F.col("weight")).alias("backed")))
     return (rows.join(backed, F.col("row") == F.col("_row"), "left")
