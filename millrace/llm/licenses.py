@@ -1,8 +1,9 @@
 """Licence scan in DataFrame expressions only: TF-IDF cosine to templates, then inheritance by path.
 
 Every line of a file, and the file as a whole, is a sparse vector over its terms; it carries a
-licence when its cosine to a template reaches the threshold. A file without one takes that of the
-nearest directory above it that has a licence file.
+licence when its cosine to a template reaches the threshold. Where none does, or only rights are
+reserved, windows of a template's length count, across line breaks and inside lines. A file without a licence takes
+that of the nearest directory above it that has a licence file.
 """
 
 from __future__ import annotations
@@ -27,6 +28,22 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("proprietary", "All rights reserved."),
 ]
+#: Gives way to a licence named beside it, as in the head of many licence files.
+RESERVED = "proprietary"
+#: Titles, identifiers and passages of headers and licence files. Near wordings belong to other
+#: licences (lesser, share-alike, another version), so windows must have exactly their words.
+PASSAGES = [
+    ("Apache-2.0", "Apache License Version 2.0"), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("BSD-3-Clause", "BSD 3-Clause License"), ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"), ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"), ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    ("GPL-3.0", "GNU General Public License version 3"), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("GPL-3.0", "the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("MIT", "MIT License"), ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+            "(the \"Software\"), to deal in the Software without restriction"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+]
 #: Words so common in any text that others are looked for first.
 FUNCTION_WORDS = {"a", "all", "and", "are", "by", "following", "for", "in", "is", "of", "or", "that", "the", "this", "to", "under", "with", "without"}
 #: Least cosine of a match.
@@ -91,6 +108,47 @@ def own_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         "path", F.col("best.license").alias("own_license"), F.col("best.score").alias("own_score"))
 
 
+def window_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, passages: list[tuple[str, str]] = PASSAGES,
+                    cosine: float = COSINE) -> DataFrame:
+    """path, own_license, own_score of the files with a window of words that states a licence.
+
+    A window has the length of a template and stands where one of its telling words falls in place;
+    it must hold the template's numbers and reach ``cosine``, or, for ``passages``, have the very words. Of
+    equal scores the longer template counts, then the licence that sorts first.
+    """
+    weight, unknown = idf(templates + passages)
+    telling, entries = set(telling_terms(templates, cosine)), []
+    for at, (name, text) in enumerate(templates + passages):
+        held = terms(text)
+        exact = at >= len(templates)
+        anchors = {max(held, key=lambda t: (t not in FUNCTION_WORDS, len(t)))} if exact else telling & set(held)
+        values = {t: n * weight[t] for t, n in Counter(held).items()}
+        size = math.sqrt(sum(v * v for v in values.values()))
+        entries += [(anchor, name, offset, held, [t for t in values if t.isdigit()], {t: v / size for t, v in values.items()}, exact)
+                    for anchor in sorted(anchors) for offset, term in enumerate(held) if term == anchor]
+    spark = files.sparkSession
+    table = spark.createDataFrame(entries, "anchor string, license string, offset int, held array<string>, numbers array<string>, "
+                                  "shares map<string,double>, exact boolean")  # as large as the templates
+    anchors = sorted({e[0] for e in entries})
+    words = F.filter(F.split(F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
+    texts = files.filter(F.lower("text").rlike("|".join(anchors))).select("path", words.alias("words"))
+    found = (texts.select("path", "words", F.explode(F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("anchor"))),
+                                                              lambda x: x["anchor"].isin(anchors))).alias("x"))
+             .select("path", "words", "x.at", "x.anchor").join(F.broadcast(table), "anchor").filter("at >= offset")
+             .withColumn("window", F.slice("words", F.greatest(F.lit(1), F.col("at") - F.col("offset") + 1), F.size("held"))).drop("words")
+             .filter(F.size("window") == F.size("held"))
+             .filter(F.when(F.col("exact"), F.col("window") == F.col("held")).otherwise(F.size(F.array_except("numbers", "window")) == 0)))
+    idfs = F.create_map(*[F.lit(x) for pair in sorted(weight.items()) for x in pair])
+    counts = F.transform(F.array_distinct("window"), lambda t: F.struct(
+        t.alias("term"), (F.size(F.filter("window", lambda w: w == t)) * F.coalesce(idfs[t], F.lit(unknown))).alias("value")))
+    dot = F.aggregate("counts", F.lit(0.0), lambda total, c: total + c["value"] * F.coalesce(F.col("shares")[c["term"]], F.lit(0.0)))
+    size = F.sqrt(F.aggregate("counts", F.lit(0.0), lambda total, c: total + c["value"] * c["value"]))
+    scored = found.withColumn("counts", counts).withColumn("score", F.round(dot / size, 6)).filter(F.col("score") >= cosine)
+    best = F.min_by(F.struct("license", "score"), F.struct(-F.col("score"), -F.size("held"), F.col("license")))
+    return scored.groupBy("path").agg(best.alias("best")).select(
+        "path", F.col("best.license").alias("own_license"), F.col("best.score").alias("own_score"))
+
+
 def directory_of(path: str):
     """What stands before the last ``/``; empty for the top."""
     return F.regexp_extract(path, r"(?s)^(.*)/[^/]*$", 1)
@@ -108,7 +166,13 @@ def scan_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     Empty tables give empty results.
     """
     keyed = files.withColumn("_path", F.coalesce("path", F.lit("\x00")))
-    own = staged(own_licenses(keyed.select(F.col("_path").alias("path"), "text"), templates, cosine), "own-licences")
+    texts = keyed.select(F.col("_path").alias("path"), "text")
+    stated = staged(own_licenses(texts, templates, cosine), "own-licences")
+    windows = staged(window_licenses(texts, templates, PASSAGES, cosine), "window-licences")
+    wide = windows.select("path", F.col("own_license").alias("_license"), F.col("own_score").alias("_score"))
+    other = F.col("own_license").isNull() | ((F.col("own_license") == RESERVED) & (F.col("_license") != RESERVED) & (F.col("_score") >= F.col("own_score")))
+    own = stated.join(wide, "path", "full").select("path", F.when(other, F.col("_license")).otherwise(F.col("own_license")).alias("own_license"),
+                                                   F.when(other, F.col("_score")).otherwise(F.col("own_score")).alias("own_score"))
     rows = keyed.select("path", "_path", F.coalesce("licence_file", F.lit(False)).alias("licence_file"),
                         F.when(F.col("path").isNotNull(), directory_of("path")).alias("dir"))
     rows = rows.join(own.withColumnRenamed("path", "_own"), F.col("_path") == F.col("_own"), "left")
