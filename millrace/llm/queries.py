@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, decontaminate, exact_dedup, katz, licenses, line_dedup, pu_quality, simhash, substring_dedup, url_filter
+from millrace.llm import byte_bpe, collocations, decontaminate, exact_dedup, katz, licenses, line_dedup, pu_quality, simhash, substring_dedup, url_filter
 from millrace.llm.registry import llm_query
 from millrace.sources.tables import Tables
 
@@ -189,3 +189,25 @@ FROM d JOIN g USING (doc_id) JOIN documents USING (doc_id)""")
 def op10_line_dedup(t: Tables) -> DataFrame:
     cleaned = line_dedup.remove_boilerplate(t.documents)
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@llm_query("op11_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+  SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cuts AS (SELECT lang, k, phrase, a, array_to_string(ws[1:j], ' ') AS head, array_to_string(ws[j + 1:k], ' ') AS tail, j
+         FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+s AS (SELECT cuts.*, h.a AS l, t.a AS r, n, CAST((1000::HUGEINT * cuts.a * n) // (h.a::HUGEINT * t.a) AS BIGINT) AS score
+      FROM cuts JOIN f h ON h.lang = cuts.lang AND h.phrase = head JOIN f t ON t.lang = cuts.lang AND t.phrase = tail JOIN n ON n.lang = cuts.lang
+      QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, j) = 1),
+kept AS (SELECT * FROM s WHERE NOT EXISTS (
+  SELECT 1 FROM c WHERE c.lang = s.lang AND c.k > s.k AND 100 * c.a >= 100 * s.a AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' ')))
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept) WHERE rank <= 2000""")
+def op11_collocations(t: Tables) -> DataFrame:
+    return collocations.phrases(t.documents)
