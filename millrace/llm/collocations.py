@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.skew import lookup_join
+from millrace.llm.blocks import pack_numbers, unpack_numbers
 from millrace.llm.staging import bound_batches, staged
-from millrace.llm.words import LOWER, utf8
+from millrace.llm.words import LOWER, mix, utf8
 
 #: Occurrences that make a phrase a candidate; words of the longest; rows of each language in the result.
 SUPPORT, LONGEST, BEST = 100, 5, 2000
@@ -30,6 +31,8 @@ SUPPORT, LONGEST, BEST = 100, 5, 2000
 BLOCK_BYTES = 2 << 20
 #: Frequent groups, and bytes of their words, up to which they are sent to every task; more are joined by a shuffle.
 GROUP_BOUND, WORD_BYTES = 500_000, 16 << 20
+#: Pairs that a task adds up before it sends them, and pairs of one slice.
+TASK_PAIRS, SLICE_PAIRS = 1_000_000, 1_500_000
 _MARKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _PLAIN = LOWER.translate(bytes(0x20 if b in _MARKS else b for b in range(256)))
 _KIND = np.array([2 if b in _MARKS else 1 if b in b" \t" else 0 for b in range(256)], np.uint8)
@@ -98,15 +101,70 @@ def occurrences(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
 
 
 def _groups(relation: DataFrame, key: list[str]) -> DataFrame:
-    """One row per block and group: the key columns and n."""
-    if key == ["names"]:
-        return relation.select("block", F.inline(F.arrays_zip(F.col("names"), F.col("counts").alias("n"))))
-    return relation.select("block", F.inline(F.arrays_zip(F.col("lefts").alias("left"), F.col("rights").alias("right"), F.col("counts").alias("n"))))
+    """The key columns, one row per block and group; n, where the relation has counts."""
+    names = {"names": "names", "left": "lefts", "right": "rights", "n": "counts"}
+    columns = [F.col(names[k]).alias(k) for k in (*key, "n") if names[k] in relation.columns]
+    return relation.select("block", F.inline(F.arrays_zip(*columns)))
+
+
+def _unique_pairs(left: np.ndarray, right: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs in order, and their counts added up."""
+    (lefts, a), (rights, b) = (np.unique(v, return_inverse=True) for v in (left, right))
+    size = max(1, len(rights))
+    keys, place = np.unique(a * size + b, return_inverse=True)
+    return lefts[keys // size], rights[keys % size], np.bincount(place, counts, len(keys)).astype(np.int64)
+
+
+def _pair_lists(relation: DataFrame, slices: int) -> DataFrame:
+    """slice, lefts, rights, counts: packed lists of pairs, added up over the blocks that a task has seen."""
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def lists() -> pa.RecordBatch:
+            left, right, counts = _unique_pairs(*(np.concatenate(c) for c in zip(*held)))
+            at = (mix(left.astype(np.uint64) ^ mix(right.astype(np.uint64) + np.uint64(1))) % np.uint64(slices)).astype(np.int64)
+            order = np.argsort(at, kind="stable")
+            cuts = np.searchsorted(at[order], np.arange(slices + 1)).tolist()
+            parts = [(i, order[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([i for i, _ in parts], pa.int32()), pa.array([pack_numbers(left[p], True) for _, p in parts], pa.binary()),
+                 pa.array([pack_numbers(right[p]) for _, p in parts], pa.binary()), pa.array([pack_numbers(counts[p]) for _, p in parts], pa.binary())],
+                ["slice", "lefts", "rights", "counts"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                held.append(tuple(batch.column(c)[i].values.to_numpy() for c in ("lefts", "rights", "counts")))
+                if sum(len(h[0]) for h in held) >= TASK_PAIRS:
+                    yield lists()
+                    held = []
+        if held:
+            yield lists()
+
+    return relation.select("lefts", "rights", "counts").mapInArrow(apply, "slice int, lefts binary, rights binary, counts binary")
+
+
+def _frequent_pairs(relation: DataFrame, support: int) -> DataFrame:
+    """Adds up the lists of each slice; slices are as many as keep one within SLICE_PAIRS."""
+    spark = relation.sparkSession
+    pairs = relation.agg(F.coalesce(F.sum(F.size("counts")), F.lit(0))).first()[0]
+    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pairs // SLICE_PAIRS))
+
+    def merge(table: pa.Table) -> pa.Table:
+        left, right, counts = _unique_pairs(
+            np.concatenate([unpack_numbers(v, True) for v in table.column("lefts").to_pylist()]),
+            *(np.concatenate([unpack_numbers(v) for v in table.column(c).to_pylist()]) for c in ("rights", "counts")))
+        keep = counts >= support
+        return pa.table({"left": pa.array(left[keep].astype(np.int64)), "right": pa.array(right[keep].astype(np.int64)), "n": pa.array(counts[keep])})
+
+    return _pair_lists(relation, slices).groupBy("slice").applyInArrow(merge, "left long, right long, n long")
 
 
 def frequent(relation: DataFrame, key: list[str], support: int) -> DataFrame:
     """The groups with ``support`` occurrences or more over all blocks: id, key columns, n."""
-    counted = _groups(relation, key).groupBy(*key).agg(F.sum("n").alias("n")).filter(F.col("n") >= support)
+    if key == ["names"]:
+        counted = _groups(relation, key).groupBy(*key).agg(F.sum("n").alias("n")).filter(F.col("n") >= support)
+    else:
+        counted = _frequent_pairs(relation, support)
     return staged(counted.withColumn("id", F.monotonically_increasing_id()), "frequent")
 
 
@@ -202,8 +260,7 @@ def extend(relation: DataFrame, known: DataFrame, key: list[str], last: bool, bo
 
         return staged(relation.mapInArrow(apply, _RELATION), "occurrences")
 
-    counted = relation.withColumn("counts", F.transform(groups[0], lambda _: F.lit(1).cast("long")))
-    matched = _groups(counted, key).drop("n").join(known.select("id", *key), key).select("block", "id", *key)
+    matched = _groups(relation, key).join(known.select("id", *key), key).select(F.col("block").alias("at"), "id", *key)
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = WordIds(right) if key == ["names"] else PairIds(right)
@@ -214,7 +271,7 @@ def extend(relation: DataFrame, known: DataFrame, key: list[str], last: bool, bo
         found = [m for m in made if m is not None]
         return pa.Table.from_batches(found) if found else _EMPTY
 
-    return staged(relation.groupBy("block").cogroup(matched.groupBy("block")).applyInArrow(meet, _RELATION), "occurrences")
+    return staged(relation.groupBy("block").cogroup(matched.groupBy("at")).applyInArrow(meet, _RELATION), "occurrences")
 
 
 _EMPTY = pa.table({"block": pa.array([], pa.int64()), **{c: pa.array([], pa.list_(pa.int32())) for c in ("gaps", "codes")},
