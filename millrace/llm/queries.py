@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, collocations, decontaminate, exact_dedup, katz, licenses, line_dedup, pu_quality, simhash, substring_dedup, url_filter
+from millrace.llm import byte_bpe, collocations, decontaminate, exact_dedup, katz, licenses, line_dedup, pu_quality, simhash, substring_dedup, url_filter, vector_codes
 from millrace.llm.registry import llm_query
 from millrace.sources.tables import Tables
 
@@ -211,3 +211,32 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept) WHERE rank <= 2000""")
 def op11_collocations(t: Tables) -> DataFrame:
     return collocations.phrases(t.documents)
+
+
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT rid, part, entry, d FROM (
+  SELECT x.rid, part, b.entry, sum((x.val - b.val) * (x.val - b.val)) AS d FROM x JOIN b{i} b USING (part, pos) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY rid, part ORDER BY d, entry) = 1)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT part, entry, pos, sum(val) AS s, count(*) AS c FROM a{i} JOIN x USING (rid, part) GROUP BY ALL),
+b{i + 1} AS MATERIALIZED (SELECT part, entry, pos, CAST(coalesce((s - ((s % c) + c) % c) // c, b.val) AS BIGINT) AS val
+  FROM b{i} b LEFT JOIN m{i} USING (part, entry, pos))""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS rid, len(embedding) // 4 AS wide,
+    list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0),
+x AS MATERIALIZED (SELECT rid, p // wide AS part, p % wide AS pos, q[p + 1] AS val FROM (SELECT *, unnest(range(len(q))) AS p FROM v)),
+b0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, pos, val FROM x WHERE rid <= 256),
+{", ".join(steps)},
+e AS (SELECT rid, CAST(sum(d) AS BIGINT) AS error, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code FROM a{rounds} GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(val AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN e USING (rid)"""
+
+
+@llm_query("op12_vector_codes", _codes_sql())
+def op12_vector_codes(t: Tables) -> DataFrame:
+    coded, books = vector_codes.vector_codes(t.embeddings)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebook_digest(books)).alias("codebooks_sha256"))
