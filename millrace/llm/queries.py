@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, collocations, decontaminate, exact_dedup, katz, licenses, line_dedup, pu_quality, simhash, substring_dedup, url_filter, vector_codes
+from millrace.llm import byte_bpe, collocations, decontaminate, exact_dedup, katz, licenses, line_dedup, pu_quality, simhash, substring_dedup, toxicity, url_filter, vector_codes
 from millrace.llm.registry import llm_query
 from millrace.sources.tables import Tables
 
@@ -240,3 +240,10 @@ FROM v JOIN e USING (rid)"""
 def op12_vector_codes(t: Tables) -> DataFrame:
     coded, books = vector_codes.vector_codes(t.embeddings)
     return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebook_digest(books)).alias("codebooks_sha256"))
+
+
+@llm_query("op13_toxicity")
+def op13_toxicity(t: Tables) -> DataFrame:
+    found = toxicity.scored(t.documents, toxicity.fit(t.documents, t.labels))
+    return found.select("doc_id", F.coalesce(pu_quality.fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
+                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
