@@ -97,8 +97,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None, d
     """doc_id, ids (array<int>) of every row, as if each text had been encoded by itself.
 
     NULL and empty texts have no ids. Rows that are repeated or share a doc_id are encoded one by
-    one. An empty table gives an empty result; other columns of ``docs`` are ignored. With
-    ``decoded`` the ids are decoded again where they are, as :func:`decode` would.
+    one. Bytes that are not UTF-8 are read as U+FFFD. An empty table gives an empty result; other
+    columns of ``docs`` are ignored. With ``decoded`` the ids are decoded again where they are, as :func:`decode` would.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -113,7 +113,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None, d
             for block, texts in zip(batch.column("block").to_pylist(), batch.column("texts").to_pylist()):
                 found: set[str] = set()
                 for text in unpack(texts):
-                    found.update(cut(text.decode()))
+                    found.update(cut(text.decode("utf-8", "replace")))
                 rows = by_slice({w.encode() for w in found}, slices)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([s for s, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.binary()),
@@ -147,7 +147,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None, d
         ids, rows, back = [], [], []
         tokens = token_table(shared.value) if decoded else None
         for names, texts in zip(left.column("doc_id").to_pylist(), left.column("texts").to_pylist()):
-            pieces = [cut(t.decode()) for t in unpack(texts)]
+            pieces = [cut(t.decode("utf-8", "replace")) for t in unpack(texts)]
             place: dict[bytes, int] = {}
             sizes, flat = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
             for at, words in by_slice({w.encode() for p in pieces for w in p}, slices):

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.llm.staging import bound_batches
 from millrace.llm.words import LOWER, utf8
@@ -45,7 +46,7 @@ def automaton(items: list[tuple[object, bytes]], size: int = WINDOW) -> ahocoras
             owners.setdefault(window, set()).add(item)
     built = ahocorasick.Automaton()
     for window, ids in owners.items():
-        built.add_word(f" {window.decode()} ", (window.count(b" ") + 1, tuple(ids)))
+        built.add_word(f" {window.decode("utf-8", "surrogateescape")} ", (window.count(b" ") + 1, tuple(ids)))
     built.make_automaton()
     return built
 
@@ -55,11 +56,11 @@ def scan(text: bytes, built: ahocorasick.Automaton) -> tuple[int, list[tuple[int
     words = normal_words(text)
     if not words or not len(built):
         return len(words), [], set()
-    line = f" {b' '.join(words).decode()} "
+    line = f" {b' '.join(words).decode('utf-8', 'surrogateescape')} "
     spans, items, ends = [], set(), None
     for end, (size, ids) in built.iter(line):
         if ends is None:  # position of the space after each word
-            ends = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 32)[1:]
+            ends = np.flatnonzero(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)[1:]
         last = int(np.searchsorted(ends, end)) + 1
         if spans and last - size <= spans[-1][1] and spans[-1][0] <= last - size:
             spans[-1] = (spans[-1][0], max(last, spans[-1][1]))
@@ -106,10 +107,10 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = WINDOW, limit:
 
     ``items`` has item_id and text. NULL and empty texts have no words, no spans and no items. A
     benchmark over ``limit`` bytes is scanned slice by slice, every slice over all documents, and
-    the spans are united. Column names n_words, n_hit, spans and items of ``docs`` are replaced.
+    the spans are united. Bytes that are not UTF-8 count as letters and match only themselves. Column names n_words, n_hit, spans and items of ``docs`` are replaced.
     """
     bound_batches(docs.sparkSession)
-    item_type = items.schema["item_id"].dataType.simpleString()
+    item_type, item_arrow = items.schema["item_id"].dataType.simpleString(), to_arrow_type(items.schema["item_id"].dataType)
     span_type = "array<struct<word_from:int,word_to:int,char_from:int,char_to:int>>"
     added = f"n_words long, n_hit long, spans {span_type}, items array<{item_type}>"
     out = docs.drop("n_words", "n_hit", "spans", "items")
@@ -138,7 +139,7 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = WINDOW, limit:
                 kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("word_from", "word_to", "char_from", "char_to")]))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in columns), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()),
-                     pa.array(spans, kind), pa.array(found, pa.list_(_arrow(item_type)))],
+                     pa.array(spans, kind), pa.array(found, pa.list_(item_arrow))],
                     [*columns, "n_words", "n_hit", "spans", "items"])
 
         layout = ", ".join(f"`{c}` {out.schema[c].dataType.simpleString()}" for c in columns)
@@ -146,10 +147,6 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = WINDOW, limit:
     return out
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def contaminated() -> Column:
     """At least a twentieth of the words, and at least one, lie in test passages."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))

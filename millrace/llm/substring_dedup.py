@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from millrace.llm.staging import bound_batches, staged
 from millrace.llm.words import hash_words, mix, pieces, signed, text_or_empty, utf8
@@ -59,13 +60,17 @@ class Spans:
     offsets: np.ndarray
 
 
+def _no_spans(offsets: np.ndarray) -> Spans:
+    places, keys = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return Spans(keys, keys, places, places, places, keys, np.zeros(0, bool), offsets)
+
+
 def spans_of(hashes: np.ndarray, sizes: np.ndarray, window: int, gram: int, common: np.ndarray | None) -> Spans:
     """Cuts documents (their words' hashes, one after the other) into spans of windows with one key."""
     offsets = np.r_[0, np.cumsum(sizes)]
     n = len(hashes)
     if n < window:
-        none = np.zeros(0, np.int64)
-        return Spans(none.astype(np.uint64), none, none, none, none.astype(np.uint64), none.astype(bool), offsets)
+        return _no_spans(offsets)
     powers, backs = np.full(n, _BASE, np.uint64), np.full(n, _BACK, np.uint64)
     powers[0] = backs[0] = 1
     powers, backs = np.cumprod(powers), np.cumprod(backs)
@@ -85,8 +90,7 @@ def spans_of(hashes: np.ndarray, sizes: np.ndarray, window: int, gram: int, comm
     if whole.any():
         keys[whole] = content(first[whole], first[whole] + window)
     if not len(keys):
-        none = np.zeros(0, np.int64)
-        return Spans(keys, keys, none, none, none, keys, none.astype(bool), offsets)
+        return _no_spans(offsets)
     cut = np.r_[True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1]) | (whole[1:] | whole[:-1])]
     heads = np.flatnonzero(cut)
     tails = np.r_[heads[1:], len(keys)] - 1
@@ -145,10 +149,10 @@ def cut_spans(docs: DataFrame, wanted, common, window: int, gram: int, with_text
                 yield pa.RecordBatch.from_arrays([pa.array(signed(found.keys[take])), names, ids, text], ["key", "span", "id", "words"])
             else:
                 yield pa.RecordBatch.from_arrays(
-                    [names, ids, pa.array(batch.column("row").to_numpy()[doc]), pa.array(starts - found.offsets[doc]),
+                    [names, ids, batch.column("row").take(pa.array(doc)), pa.array(starts - found.offsets[doc]),
                      pa.array(ends - starts - window + 1)], ["span", "id", "row", "at", "count"])
 
-    layout = "key long, span binary, id long, words binary" if with_text else "span binary, id long, row long, at long, count long"
+    layout = "key long, span binary, id long, words binary" if with_text else "span binary, id long, row string, at long, count long"
     return docs.select("id", "row", "text").mapInArrow(apply, layout)
 
 
@@ -245,11 +249,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     with a smaller doc_id, judged on the input. Words are kept as they are and joined by one space.
     NULL and short texts lose nothing; a NULL doc_id counts as larger than any other. Repeated rows, which share
     their doc_id, do not remove from each other. An empty table gives an empty result; other
-    columns are ignored.
+    columns are ignored. Words are compared byte by byte; in what is kept, bytes that are not UTF-8
+    become U+FFFD. A doc_id that is no integer is refused: texts need an order.
     """
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise TypeError(f"doc_id must be an integer, not {docs.schema['doc_id'].dataType.simpleString()}")
     bound_batches(docs.sparkSession)
     ready = docs.select("doc_id", text_or_empty().alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"))
-    ready = ready.withColumn("row", F.xxhash64("id", "text"))
+    ready = ready.withColumn("row", F.concat_ws("-", "id", F.md5("text")))  # repeated rows may share it
     runs = repeated_runs(ready, window, gram, group_spans).withColumnRenamed("row", "_row")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -267,7 +274,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
                 counts.append(len(words))
                 removed.append(int(out.sum()))
                 spans.append([{"from": a, "to": b} for a, b in zip(edges[::2], edges[1::2])])
-                kept.append(b" ".join(w for w, g in zip(words, out.tolist()) if not g).decode())
+                kept.append(b" ".join(w for w, g in zip(words, out.tolist()) if not g).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))), pa.array(kept, pa.string())],
