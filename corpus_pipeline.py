@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, line_dedup, near_copies, pu_quality, queries
+from millrace.llm import decontaminate, line_dedup, pu_quality, queries, simhash
 from millrace.llm.staging import staged
 from millrace.session import ship_package
 from millrace.sources.tables import Tables
@@ -32,9 +32,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of those that links of similarity 0.8 or more on five-word shingles connect."""
+    """One document, that with the smallest doc_id, of each SimHash component: three-word shingles, two differing bits at most."""
     ship_package(spark)
-    return near_copies.drop_near_copies(docs)
+    return simhash.drop_near_duplicates(docs)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("line_dedup", lines), ("near_duplicates", near_duplicates),
           ("decontamination", benchmarks), ("byte_bpe", tokens)]
 
-#: SQL expresses neither the fitted classifier nor the similarity of shingle sets nor BPE; the tests compare with brute force.
+#: SQL expresses neither the fitted classifier nor SimHash nor BPE; the tests compare with brute force.
 ORACLE_SQL = None
 
 
