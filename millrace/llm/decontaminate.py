@@ -93,7 +93,7 @@ def _slices(items: DataFrame, limit: int) -> list[list[tuple[object, bytes]]]:
     """Test items in slices of bounded text. The benchmark is the stated query set."""
     out, size = [[]], 0
     for item, text in items.toLocalIterator():
-        raw = (text or "").encode()
+        raw = bytes(text or b"")
         if out[-1] and size + len(raw) > limit:
             out.append([])
             size = 0
@@ -114,7 +114,7 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = WINDOW, limit:
     span_type = "array<struct<word_from:int,word_to:int,char_from:int,char_to:int>>"
     added = f"n_words long, n_hit long, spans {span_type}, items array<{item_type}>"
     out = docs.drop("n_words", "n_hit", "spans", "items")
-    for k, part in enumerate(_slices(items.select("item_id", "text"), limit)):
+    for k, part in enumerate(_slices(items.select("item_id", F.col("text").cast("binary").alias("text")), limit)):
         columns = [c for c in out.columns if c not in ("n_words", "n_hit", "spans", "items")]
         known = k > 0
         context = docs.sparkSession.sparkContext
