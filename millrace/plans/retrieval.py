@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.skew import key_set, lookup_join, settle, spread
-from millrace.functions.text import chunks, lexemes, word_chunks
+from millrace.functions.text import chunks, word_chunks
 from millrace.functions.vectors import distance
 from millrace.operators import retrieval as R
+from millrace.operators.keywords import KeywordIndex
 from millrace.operators.security import assigned_rows
 from millrace.plans import roles
 from millrace.plans.registry import query
@@ -29,7 +30,17 @@ def tokenize(t: Tables) -> DataFrame:
 
 @query("postings", f"WITH {roles.TOKENS_SQL} SELECT term, doc_id, tf FROM doc_terms")
 def postings(t: Tables) -> DataFrame:
-    return R.postings(roles.doc_tokens(t), "doc_id")
+    return roles.keyword_index(t).postings()
+
+
+@query("index_build", f"""WITH {roles.TOKENS_SQL}
+SELECT (SELECT count(*) FROM documents) AS n_documents, count(DISTINCT term) AS n_terms, count(*) AS n_postings,
+  CAST(sum(tf) AS BIGINT) AS n_occurrences FROM doc_terms""")
+def index_build(t: Tables) -> DataFrame:
+    """Writes an index anew and counts what is in it."""
+    index = KeywordIndex.build(roles.library(t), fresh_dir(t.spark, "keyword-index"))
+    return index.blocks.agg(F.lit(index.documents).alias("n_documents"), F.count_distinct("term").alias("n_terms"),
+                            F.sum(F.size("docs")).alias("n_postings"), F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n_occurrences"))
 
 
 @query("chunk_documents", r"""WITH d AS (
@@ -145,7 +156,7 @@ def knn_ivf_recall(t: Tables) -> DataFrame:
 @query("keyword_match", f"""WITH {roles.TOKENS_SQL}, {roles.MATCHES_SQL}
 SELECT query_id, doc_id FROM matches""")
 def keyword_match(t: Tables) -> DataFrame:
-    return R.keyword_match(roles.question_words(t), roles.doc_tokens(t)).select("query_id", "doc_id")
+    return roles.keyword_index(t).match(roles.question_words(t)).select("query_id", "doc_id")
 
 
 @query("keyword_rank", f"""WITH {roles.TOKENS_SQL}, {roles.MATCHES_SQL}
@@ -153,8 +164,7 @@ SELECT query_id, doc_id, round(score, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM matches)
 WHERE rank <= 10""")
 def keyword_rank(t: Tables) -> DataFrame:
-    return (R.keyword_match(roles.question_words(t), roles.doc_tokens(t), k=10)
-            .withColumn("score", F.round("score", 6)))
+    return roles.keyword_index(t).match(roles.question_words(t), k=10).withColumn("score", F.round("score", 6))
 
 
 @query("bm25_topk", f"""WITH {roles.TOKENS_SQL}, {roles.BM25_SQL}
@@ -162,7 +172,7 @@ SELECT query_id, doc_id, round(score, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM bm)
 WHERE rank <= 10""")
 def bm25_topk(t: Tables) -> DataFrame:
-    return R.bm25(roles.question_words(t), roles.doc_tokens(t), 10).withColumn("score", F.round("score", 6))
+    return roles.keyword_index(t).bm25(roles.question_words(t), 10).withColumn("score", F.round("score", 6))
 
 
 def _legs_sql(condition: str, leg: int) -> str:
@@ -186,23 +196,21 @@ SELECT query_id, doc_id, vec_rank, key_rank, round(rrf, 6) AS rrf, rank FROM (
 WHERE rank <= {k}"""
 
 
-def _hybrid(t: Tables, docs: DataFrame, leg: int, k: int) -> DataFrame:
-    """Both legs over the same, already filtered documents, fused by the join form."""
-    vectors = R.embed_hashed(docs, "doc_id", F.col("tokens"))
-    near = R.knn_exact(roles.question_vectors(t), vectors, leg)
-    worded = R.keyword_match(roles.question_words(t), docs, k=leg)
+def _hybrid(t: Tables, leg: int, k: int, docs: DataFrame | None = None) -> DataFrame:
+    """Both legs over all documents or the filtered ``docs`` of the library, fused by the join form."""
+    near = R.knn_exact(roles.question_vectors(t), roles.library(t) if docs is None else docs, leg)
+    worded = roles.keyword_index(t).match(roles.question_words(t), k=leg, allowed=docs)
     return R.rrf_join(near, worded, k).withColumn("rrf", F.round("rrf", 6))
 
 
 @query("rrf_join", _rrf_join_sql("true", 50, 10))
 def rrf_join(t: Tables) -> DataFrame:
-    return _hybrid(t, roles.doc_tokens(t), 50, 10)
+    return _hybrid(t, 50, 10)
 
 
 @query("rrf_filtered", _rrf_join_sql("lang = 'en' AND n_chars >= 200", 50, 10))
 def rrf_filtered(t: Tables) -> DataFrame:
-    docs = roles.with_tokens(t.documents.filter((F.col("lang") == "en") & (F.col("n_chars") >= 200)))
-    return _hybrid(t, docs, 50, 10)
+    return _hybrid(t, 50, 10, roles.library(t).filter((F.col("lang") == "en") & (F.col("n_chars") >= 200)))
 
 
 _SECURED = """lang = 'en' AND n_chars >= 200
@@ -220,9 +228,9 @@ def hybrid_secured(t: Tables) -> DataFrame:
     assigned = (t.documents.select("doc_id", "source").join(toxic, "doc_id", "left_semi")
                 .select(F.lit("reviewer").alias("principal"), "source").distinct())
     good = t.labels.filter(F.col("quality") == 1)
-    docs = spread(t.documents.filter((F.col("lang") == "en") & (F.col("n_chars") >= 200)), "doc_id")
+    docs = roles.library(t).filter((F.col("lang") == "en") & (F.col("n_chars") >= 200))
     docs = assigned_rows(docs, assigned, "reviewer", ["source"]).join(key_set(good, ["doc_id"]), "doc_id", "left_semi")
-    return _hybrid(t, docs.withColumn("tokens", lexemes("text", F.col("lang"))), 50, 10)
+    return _hybrid(t, 50, 10, docs)
 
 
 _UNION_SQL = f"""{roles.TOKENS_SQL}, {roles.HASHED_PAIRS_SQL}, {roles.BM25_SQL},
@@ -243,9 +251,8 @@ hits AS (SELECT * FROM (
 def hybrid_hits(t: Tables, k: int = 5) -> DataFrame:
     """Hybrid search of all questions over all documents: cosine leg plus BM25 leg, fused."""
     leg = R.leg_size(k)
-    docs = roles.doc_tokens(t)
-    near = R.knn_exact(roles.question_vectors(t), R.embed_hashed(docs, "doc_id", F.col("tokens")), leg)
-    worded = R.bm25(roles.question_words(t), docs, leg)
+    near = R.knn_exact(roles.question_vectors(t), roles.library(t), leg)
+    worded = roles.keyword_index(t).bm25(roles.question_words(t), leg)
     return R.rrf_union([near, worded], k)
 
 

@@ -9,7 +9,9 @@ from millrace.functions.skew import settle, spread
 from millrace.functions.text import lexemes
 from millrace.functions.timing import stamp
 from millrace.operators import retrieval as R
-from millrace.sources.tables import Tables
+from millrace.operators.keywords import KeywordIndex
+from millrace.session import fresh_dir
+from millrace.sources.tables import Tables, content_stamp
 
 CUTOFF = "2001-01-01 00:00:00"
 ORDER_KEY = ["o_orderkey"]
@@ -153,6 +155,36 @@ def with_tokens(docs: DataFrame) -> DataFrame:
     return spread(docs, "doc_id").withColumn("tokens", lexemes("text", F.col("lang")))
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def _stored(t: Tables, label: str, write) -> str:
+    """Folder that ``write`` has filled for the documents as they are now; filled once per application.
+
+    A changed, added or removed file of the table makes it a different one.
+    """
+    name = (t.spark.sparkContext.applicationId, label, t.folder, content_stamp(t.documents))
+    if name not in _STORED:
+        root = fresh_dir(t.spark, label)
+        write(root)
+        _STORED[name] = root
+    return _STORED[name]
+
+
+def library(t: Tables) -> DataFrame:
+    """The analysed documents as stored: their columns but the text, lexemes and vector."""
+    def write(root: str) -> None:
+        docs = doc_tokens(t).drop("text")
+        R.embed_hashed(docs, "doc_id", F.col("tokens"), keep=[c for c in docs.columns if c != "doc_id"]).write.parquet(root)
+
+    return t.spark.read.parquet(_stored(t, "library", write))
+
+
+def keyword_index(t: Tables) -> KeywordIndex:
+    """The stored inverted index of the documents."""
+    return KeywordIndex.open(t.spark, _stored(t, "keyword-index", lambda root: KeywordIndex.build(library(t), root)))
+
+
 def questions(t: Tables) -> DataFrame:
     """Question texts with their lexemes."""
     return t.benchmark.select(F.col("item_id").alias("query_id"), "text",

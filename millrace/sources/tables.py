@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 from functools import cached_property
@@ -32,6 +33,16 @@ class Tables:
         return self._open[name]
 
 
+def content_stamp(df: DataFrame) -> str:
+    """Digest of the names, sizes and times of the files that ``df`` reads; lists files and runs no job."""
+    spark, seen = df.sparkSession, hashlib.sha256()
+    for name in sorted(df.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        seen.update(f"{name} {status.getLen()} {status.getModificationTime()}\n".encode())
+    return seen.hexdigest()
+
+
 class VersionedTable:
     """A parquet table whose content changes by writing a new folder and switching a pointer.
 
