@@ -68,9 +68,44 @@ def stream_rollup(t: Tables) -> DataFrame:
     root = fresh_dir(t.spark, "rollup")
     events = StreamedTables(t.spark, t.folder).events.withColumn("ts", F.col("ts").cast("timestamp"))
     S.start_rollup(events, "ts", "1 hour", ["event_type"], "value", root).awaitTermination()
-    table = S.rollup_table(t.spark, root, ["event_type"])
-    return table.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"),
-                              "total": F.round("total", 2)})
+    return _shown_rollup(S.rollup_table(t.spark, root, ["event_type"]))
+
+
+def _shown_rollup(table: DataFrame) -> DataFrame:
+    return table.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"), "total": F.round("total", 2)})
+
+
+def _in_turns(t: Tables, inbox: str):
+    """The events in three batches: weeks late ones come last, after a compaction could have folded their windows."""
+    events = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    turn = F.when(F.dayofyear("ts") % 5 == 0, 2).when(F.hour("ts") % 2 == 0, 0).otherwise(1)
+    for i in range(3):
+        events.filter(turn == i).write.mode("append").parquet(inbox)
+        yield i, t.spark.readStream.schema(events.schema).parquet(inbox)
+
+
+@query("stream_rollup_late", REGISTRY["stream_rollup"].sql)
+def stream_rollup_late(t: Tables) -> DataFrame:
+    """Three batches, the last one weeks late, with a compaction and a vacuum before it."""
+    root = fresh_dir(t.spark, "rollup-late")
+    for i, events in _in_turns(t, fresh_dir(t.spark, "inbox")):
+        S.start_rollup(events, "ts", "1 hour", ["event_type"], "value", root).awaitTermination()
+        if i == 1:
+            S.compact_rollup(t.spark, root, ["event_type"])
+            S.vacuum(t.spark, root)
+    return _shown_rollup(S.rollup_table(t.spark, root, ["event_type"]))
+
+
+@query("stream_late_counts", """WITH e AS (SELECT *, CASE WHEN dayofyear(ts) % 5 = 0 THEN 2 WHEN hour(ts) % 2 = 0 THEN 0 ELSE 1 END AS turn FROM events),
+marks AS (SELECT a.turn, max(b.ts) AS newest FROM (SELECT DISTINCT turn FROM e) a JOIN e b ON b.turn < a.turn GROUP BY 1)
+SELECT turn AS batch, event_type, count(*) AS n_late FROM e JOIN marks USING (turn)
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= newest - INTERVAL 1 DAY GROUP BY 1, 2""")
+def stream_late_counts(t: Tables) -> DataFrame:
+    """How many events each batch of the same stream brought to windows thought complete."""
+    root = fresh_dir(t.spark, "rollup-late")
+    for _, events in _in_turns(t, fresh_dir(t.spark, "inbox")):
+        S.start_rollup(events, "ts", "1 hour", ["event_type"], "value", root).awaitTermination()
+    return S.late_rows(t.spark, root).groupBy(F.col("batch").cast("long").alias("batch"), "event_type").agg(F.sum("n").alias("n_late"))
 
 
 @query("stream_sessions", """WITH s AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL
@@ -81,10 +116,24 @@ g AS (SELECT user_id, min(ts) AS started_at, max(ts) AS ended_at, count(*) AS n_
   FROM n GROUP BY user_id, session_no)
 SELECT * FROM g""")
 def stream_sessions(t: Tables) -> DataFrame:
-    """Sessions the stream has closed, and those still open when it stopped."""
+    """All sessions of the stream, closed or still open."""
     root = fresh_dir(t.spark, "sessions")
     events = StreamedTables(t.spark, t.folder).events.withColumn("ts", F.col("ts").cast("timestamp"))
     S.start_sessions(events, "user_id", "ts", "6 hours", root).awaitTermination()
-    closed = t.spark.read.parquet(f"{root}/sessions").select("user_id", "started_at", "ended_at", "n_events")
-    still = S.open_sessions(t.events.withColumn("ts", F.col("ts").cast("timestamp")), closed, "user_id", "ts", 6 * 3600)
-    return closed.unionByName(still).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at", "ended_at")})
+    return _shown_sessions(S.sessions_table(t.spark, root, "user_id", "6 hours"))
+
+
+def _shown_sessions(table: DataFrame) -> DataFrame:
+    return table.drop("closed").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at", "ended_at")})
+
+
+@query("stream_sessions_late", REGISTRY["stream_sessions"].sql)
+def stream_sessions_late(t: Tables) -> DataFrame:
+    """Three batches, the last one weeks late: it extends and joins sessions that were closed and folded."""
+    root = fresh_dir(t.spark, "sessions-late")
+    for i, events in _in_turns(t, fresh_dir(t.spark, "inbox")):
+        S.start_sessions(events, "user_id", "ts", "6 hours", root).awaitTermination()
+        if i == 1:
+            S.compact_sessions(t.spark, root, "user_id", "6 hours")
+            S.vacuum(t.spark, root)
+    return _shown_sessions(S.sessions_table(t.spark, root, "user_id", "6 hours"))

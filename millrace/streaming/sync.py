@@ -1,8 +1,8 @@
 """Continuous keyed sync, history append and rollups with Structured Streaming.
 
-The sinks append one folder per micro-batch and overwrite it on a replay, so a restarted batch
-changes nothing. Readers and compaction use the batches that the checkpoint has committed: those
-are complete and are never written again. Readers see the latest change per key; what arrives late
+The sinks write one folder per micro-batch and, after it, a marker row; a batch that is restarted
+before its marker overwrites its folder, and one that has it is left alone. Readers and compaction
+use marked batches: those are complete and are never written again. Readers see the latest change per key; what arrives late
 or out of order can therefore never replace something newer. Checkpoint and data share one root,
 so batch numbers always belong to the data beside them.
 """
@@ -10,12 +10,13 @@ so batch numbers always belong to the data beside them.
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.window import Window
 from pyspark.sql.types import (DataType, IntegerType, StringType, StructType,
                                TimestampNTZType)
 
@@ -85,22 +86,39 @@ def start_sync(changes: DataFrame, spec: SyncSpec) -> StreamingQuery:
         last = latest_per_key(batch, spec.keys, [F.col(spec.seq).desc(), *spec.order])
         last.write.mode("overwrite").parquet(f"{spec.changes}/batch={batch_id}")
 
-    return (changes.writeStream.foreachBatch(write).trigger(**spec.trigger())
+    return (changes.writeStream.foreachBatch(_once(spec.root, write)).trigger(**spec.trigger())
             .option("checkpointLocation", spec.checkpoint).start())
 
 
-def committed_batch(spark: SparkSession, root: str) -> int | None:
-    """Newest batch that the stream's checkpoint has committed."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_checkpoint/commits")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return None
-    names = [f.getPath().getName() for f in fs.listStatus(folder)]
-    return max((int(n) for n in names if n.isdigit()), default=None)
+_MARKER = "batch long, n_rows long, n_late long, newest timestamp"
+
+
+def _markers(spark: SparkSession, root: str) -> DataFrame:
+    """One row per finished batch."""
+    path = f"{root}/finished"
+    return spark.read.schema(_MARKER).parquet(path) if _has_rows(spark, path) else spark.createDataFrame([], _MARKER)
+
+
+def finished_batch(spark: SparkSession, root: str) -> int | None:
+    """Newest batch that has been written whole."""
+    return _markers(spark, root).agg(F.max("batch")).first()[0]
+
+
+def _once(root: str, write: Callable[[DataFrame, int], dict | None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes a marker row after the batch, and leaves a marked batch alone."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if _has_rows(spark, f"{root}/finished") and not _markers(spark, root).filter(F.col("batch") == batch_id).isEmpty():
+            return
+        facts = write(batch, batch_id) or {}
+        row = (batch_id, facts.get("n_rows"), facts.get("n_late"), facts.get("newest"))
+        spark.createDataFrame([row], _MARKER).coalesce(1).write.mode("append").parquet(f"{root}/finished")
+
+    return run
 
 
 def _log(spark: SparkSession, root: str, schema: StructType | None, after: int | None, upto: int | None) -> DataFrame | None:
-    """Committed batches after ``after``; only their folders are listed and read."""
+    """Finished batches after ``after``; only their folders are listed and read."""
     paths = [p for b in range(-1 if after is None else after, -1 if upto is None else upto) if _has_rows(spark, p := f"{root}/changes/batch={b + 1}")]
     if not paths:
         return None
@@ -121,7 +139,7 @@ def _merged(base: DataFrame | None, log: DataFrame, keys: Sequence[str], order:
 
 
 def _latest(spark: SparkSession, spec: SyncSpec, upto: int | None) -> DataFrame | None:
-    """Last change per key over the compacted base and the committed batches after it, up to ``upto``."""
+    """Last change per key over the compacted base and the finished batches after it, up to ``upto``."""
     base, done = VersionedTable(spark, f"{spec.root}/base").current()
     log = _log(spark, spec.root, _change_schema(spec), done, upto)
     if log is None:
@@ -130,17 +148,17 @@ def _latest(spark: SparkSession, spec: SyncSpec, upto: int | None) -> DataFrame
 
 
 def mirror(spark: SparkSession, spec: SyncSpec) -> DataFrame:
-    """The synced table as readers see it: everything that committed batches have brought."""
-    found = _latest(spark, spec, committed_batch(spark, spec.root))
+    """The synced table as readers see it: everything that finished batches have brought."""
+    found = _latest(spark, spec, finished_batch(spark, spec.root))
     if found is None:
         return spark.createDataFrame([], spec.columns)
     return found.filter(F.col(CHANGE_TYPE) != "delete").select(*spec.columns.names)
 
 
 def compact(spark: SparkSession, spec: SyncSpec) -> str | None:
-    """Fold the committed batches so far into a new base. Deletions stay recorded, so that an older change
+    """Fold the finished batches so far into a new base. Deletions stay recorded, so that an older change
     arriving afterwards still finds something newer than itself."""
-    upto = committed_batch(spark, spec.root)
+    upto = finished_batch(spark, spec.root)
     state = _latest(spark, spec, upto)
     if state is None:
         return None
@@ -183,7 +201,7 @@ def start_history(changes: DataFrame, spec: SyncSpec) -> StreamingQuery:
         (fresh.drop("_same").sortWithinPartitions(spec.seq).write.mode("overwrite")
          .parquet(f"{spec.changes}/batch={batch_id}"))
 
-    return (changes.writeStream.foreachBatch(write).trigger(**spec.trigger())
+    return (changes.writeStream.foreachBatch(_once(spec.root, write)).trigger(**spec.trigger())
             .option("checkpointLocation", spec.checkpoint).start())
 
 
@@ -210,72 +228,153 @@ def history(spark: SparkSession, spec: SyncSpec) -> DataFrame:
     return _read_history(spark, spec).drop("batch")
 
 
+def _watermark(spark: SparkSession, root: str, before: int, seconds: int):
+    """Newest event time of the batches before this one, less the lateness; None if there is none."""
+    return (_markers(spark, root).filter(F.col("batch") < before)
+            .agg(F.max("newest") - F.make_dt_interval(secs=F.lit(seconds))).first()[0])
+
+
+def _seconds(spark: SparkSession, interval: str) -> int:
+    return int(spark.range(1).select(F.expr(f"unix_seconds(TIMESTAMP '1970-01-01 00:00:00Z' + INTERVAL '{interval}')")).first()[0])
+
+
+def _write_parts(batch_id: int, root: str, parts: DataFrame, end: str, closed_after: int, lateness: int, keep: Sequence[str]) -> dict:
+    """Write a batch's partial rows, and apart from them those that reach a time which was thought complete.
+
+    ``parts`` has n (events) and newest (event time); ``end`` is where a row's time ends.
+    """
+    spark = parts.sparkSession
+    mark = _watermark(spark, root, batch_id, lateness)
+    late = F.lit(False) if mark is None else F.coalesce(F.col(end) + F.make_dt_interval(secs=F.lit(closed_after)) <= F.lit(mark), F.lit(False))
+    path = f"{root}/changes/batch={batch_id}"
+    parts.withColumn("late", late).write.mode("overwrite").parquet(path)
+    stored = spark.read.schema(parts.schema.add("late", "boolean")).parquet(path)
+    (stored.filter("late").select(*keep, "n").write.mode("overwrite").parquet(f"{root}/late/batch={batch_id}"))
+    found = stored.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("late"), F.col("n"))), F.lit(0)), F.max("newest")).first()
+    return dict(zip(("n_rows", "n_late", "newest"), found))
+
+
+def late_rows(spark: SparkSession, root: str) -> DataFrame:
+    """What came late to a rollup or to sessions, by batch: it is in the totals too, and counted here."""
+    return spark.read.option("basePath", f"{root}/late").parquet(f"{root}/late")
+
+
+def _folded(base: DataFrame | None, log: DataFrame, keys: Sequence[str], fold) -> DataFrame:
+    """``fold`` over the log and the base rows of its keys; other base rows stay where they are. NULL is a key."""
+    if base is None:
+        return fold(log)
+    named = F.struct(*keys)
+    touched = log.select(named.alias("_touched")).distinct()
+    touched = F.broadcast(touched) if planned_bytes(touched) <= BROADCAST_LIMIT else touched
+    here = named == F.col("_touched")
+    stay, meet = base.join(touched, here, "left_anti"), base.join(touched, here, "left_semi")
+    return stay.unionByName(fold(meet.unionByName(log)).select(*base.columns))
+
+
 def start_rollup(events: DataFrame, ts: str, width: str, keys: Sequence[str], value: str, root: str,
                  lateness: str = "1 day", trigger: dict | None = None) -> StreamingQuery:
     """Keep tumbling-window totals of an event stream in a serving table.
 
-    ``ts`` must be a timestamp with zone semantics. Windows stay open for ``lateness`` behind
-    the newest event; every batch upserts the windows it changed.
+    ``ts`` must be a timestamp with zone semantics. Every batch appends its own count, sum and
+    maximum of each window it touches; readers add them up, so an event counts in its window however
+    late it comes, and nothing is held in state. Events of a window that ended ``lateness`` before the
+    newest event are also counted in :func:`late_rows`. Events without a time belong to no window.
     """
-    totals = (events.withWatermark(ts, lateness)
-              .groupBy(F.window(ts, width).alias("_w"), *keys)
-              .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.max(value).alias("peak"))
-              .select(F.col("_w.start").alias("window_start"), *keys, "n", "total", "peak"))
+    allowed = _seconds(events.sparkSession, lateness)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
+    def write(batch: DataFrame, batch_id: int) -> dict:
+        parts = (batch.groupBy(F.window(ts, width).alias("_w"), *keys)
+                 .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.max(value).alias("peak"), F.max(ts).alias("newest"))
+                 .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *keys, "n", "total", "peak", "newest"))
+        return _write_parts(batch_id, root, parts, "window_end", 0, allowed, ["window_start", *keys])
 
-    return (totals.writeStream.outputMode("update").foreachBatch(write)
-            .trigger(**(trigger or {"availableNow": True}))
+    return (events.writeStream.foreachBatch(_once(root, write)).trigger(**(trigger or {"availableNow": True}))
             .option("checkpointLocation", f"{root}/_checkpoint").start())
 
 
 def rollup_table(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
-    """Latest totals per window and key, from the base and the committed batches after it."""
-    found = _rollup(spark, root, keys, committed_batch(spark, root))
+    """Totals per window and key, from the base and the finished batches after it."""
+    found = _rollup(spark, root, keys, finished_batch(spark, root))
     if found is None:
-        raise FileNotFoundError(f"no batch of {root} has been committed")
-    return found.drop("batch")
+        raise FileNotFoundError(f"no batch of {root} is finished")
+    return found
 
 
 def _rollup(spark: SparkSession, root: str, keys: Sequence[str], upto: int | None) -> DataFrame | None:
     base, done = VersionedTable(spark, f"{root}/base").current()
-    log = _log(spark, root, None, done, upto)
-    return base if log is None else _merged(base, log, ["window_start", *keys], [F.col("batch").desc()])
+    log, by = _log(spark, root, None, done, upto), ["window_start", *keys]
+    if log is None:
+        return base
+    return _folded(base, log.select(*by, "n", "total", "peak"), by, lambda rows: rows.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("peak").alias("peak")))
 
 
 def compact_rollup(spark: SparkSession, root: str, keys: Sequence[str]) -> str | None:
-    """Fold the committed batches of a rollup into a new base; :func:`vacuum` then removes them."""
-    upto = committed_batch(spark, root)
+    """Fold the finished batches of a rollup into a new base; :func:`vacuum` then removes them."""
+    upto = finished_batch(spark, root)
     state = _rollup(spark, root, keys, upto)
     return None if state is None else VersionedTable(spark, f"{root}/base").replace(state, cluster_by=["window_start"], upto=upto)
 
 
 def start_sessions(events: DataFrame, key: str, ts: str, idle: str, root: str,
                    lateness: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
-    """Append a row per session that has been idle for ``idle``, once no earlier event can come.
+    """Keep the sessions of an event stream: runs of a key's events less than ``idle`` apart.
 
-    Sessions still open are not in the table; :func:`open_sessions` adds them for a reader.
+    Every batch appends the sessions of its own events; readers join those that touch, so an event
+    that comes late extends, or joins, the sessions it belongs to. Events of sessions that had
+    been idle ``lateness`` before the newest event are also counted in :func:`late_rows`.
     """
-    # Merge a key's events inside each task first, so that a busy key is not shuffled row by row.
-    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
-    closed = (events.withWatermark(ts, lateness)
-              .groupBy(key, F.session_window(ts, idle).alias("_s"))
-              .agg(F.min(ts).alias("started_at"), F.max(ts).alias("ended_at"), F.count(F.lit(1)).alias("n_events"))
-              .select(key, "started_at", "ended_at", "n_events"))
-    return (closed.writeStream.outputMode("append").format("parquet")
-            .option("path", f"{root}/sessions").option("checkpointLocation", f"{root}/_checkpoint")
-            .trigger(**(trigger or {"availableNow": True})).start())
+    spark = events.sparkSession
+    gap, allowed = _seconds(spark, idle), _seconds(spark, lateness)
+
+    def write(batch: DataFrame, batch_id: int) -> dict:
+        parts = sessions(batch.filter(F.col(ts).isNotNull()), key, ts, gap).select(
+            key, "started_at", "ended_at", F.col("n_events").alias("n"), F.col("ended_at").alias("newest"))
+        return _write_parts(batch_id, root, parts, "ended_at", gap, allowed, [key, "started_at", "ended_at"])
 
+    return (events.writeStream.foreachBatch(_once(root, write)).trigger(**(trigger or {"availableNow": True}))
+            .option("checkpointLocation", f"{root}/_checkpoint").start())
 
-def open_sessions(events: DataFrame, closed: DataFrame, key: str, ts: str, idle_seconds: int) -> DataFrame:
-    """Sessions of ``events`` that the stream has not closed yet: the same columns as the closed ones.
 
-    Only events after a key's last closed session are looked at.
+def joined_sessions(parts: DataFrame, key: str, gap_seconds: int) -> DataFrame:
+    """Joins a key's part sessions (started_at, ended_at, n_events) that are less than the gap apart.
+
+    The ordered step sees a row per part, not per event.
     """
-    last = closed.groupBy(F.col(key).alias("_key")).agg(F.max("ended_at").alias("_closed"))
-    rest = events.join(last, F.col(key).eqNullSafe(F.col("_key")), "left").filter(F.col("_closed").isNull() | (F.col(ts) > F.col("_closed")))
-    return sessions(rest, key, ts, idle_seconds).select(key, "started_at", "ended_at", "n_events")
+    order = Window.partitionBy(key).orderBy("started_at", "ended_at")
+    before = F.max("ended_at").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.unix_micros("started_at") - F.unix_micros(before) >= F.lit(gap_seconds * 1_000_000), F.lit(True))
+    numbered = parts.withColumn("_fresh", fresh.cast("int")).withColumn(
+        "_no", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return (numbered.groupBy(key, "_no").agg(F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"), F.sum("n_events").alias("n_events"))
+            .drop("_no"))
+
+
+def _sessions(spark: SparkSession, root: str, key: str, gap: int, upto: int | None) -> DataFrame | None:
+    base, done = VersionedTable(spark, f"{root}/base").current()
+    log = _log(spark, root, None, done, upto)
+    if log is None:
+        return base
+    parts = log.select(key, "started_at", "ended_at", F.col("n").alias("n_events"))
+    return _folded(base, parts, [key], lambda rows: joined_sessions(rows, key, gap))
+
+
+def sessions_table(spark: SparkSession, root: str, key: str, idle: str, lateness: str = "1 hour") -> DataFrame:
+    """key, started_at, ended_at, n_events of all sessions so far, and whether each is ``closed``:
+    idle since ``lateness`` before the newest event."""
+    gap = _seconds(spark, idle)
+    found = _sessions(spark, root, key, gap, finished_batch(spark, root))
+    if found is None:
+        raise FileNotFoundError(f"no batch of {root} is finished")
+    mark = _markers(spark, root).agg(F.max("newest") - F.make_dt_interval(secs=F.lit(_seconds(spark, lateness)))).first()[0]
+    return found.withColumn("closed", F.lit(False) if mark is None else F.col("ended_at") + F.make_dt_interval(secs=F.lit(gap)) <= F.lit(mark))
+
+
+def compact_sessions(spark: SparkSession, root: str, key: str, idle: str) -> str | None:
+    """Fold the finished batches of a session stream into a new base; :func:`vacuum` then removes them."""
+    upto = finished_batch(spark, root)
+    state = _sessions(spark, root, key, _seconds(spark, idle), upto)
+    return None if state is None else VersionedTable(spark, f"{root}/base").replace(state, cluster_by=[key], upto=upto)
 
 
 _STATUS = ("query string, batch_id long, at string, n_rows long, duration_ms long, newest_event string, "

@@ -135,10 +135,60 @@ def test_rollup_and_sessions_equal_batch(spark, tmp_path):
         S.start_sessions(stream(), "u", "ts", "30 minutes", str(tmp_path / "sess"), "3 hours").awaitTermination()
     got = S.rollup_table(spark, str(tmp_path / "roll"), ["kind"])
     assert rows(got) == rows(rel.time_rollup(everything, "ts", "1 hour", ["kind"], "value"))
-    closed = spark.read.parquet(str(tmp_path / "sess" / "sessions"))
-    batch = K.sessions(everything, "u", "ts", 1800).filter("u <> 9")
+    found = S.sessions_table(spark, str(tmp_path / "sess"), "u", "30 minutes", "3 hours")
     columns = ["u", "started_at", "ended_at", "n_events"]
-    assert rows(closed.select(columns)) == rows(batch.select(columns))
+    assert rows(found.select(columns)) == rows(K.sessions(everything, "u", "ts", 1800).select(columns))
+    assert rows(found.filter("not closed").select("u")) == [(9,)]
+
+
+def test_late_rows_count_where_they_belong(spark, tmp_path):
+    """Three batches, the last one ten days late, NULL keys among it; compacted and vacuumed in between."""
+    inbox, roll, sess = (str(tmp_path / n) for n in ("in", "roll", "sess"))
+    batches = [[(1, at(0), "x", 1.0), (1, at(40), "x", 2.0), (None, at(2), None, 4.0), (2, at(3), "y", 1.0)],
+               [(1, at(14_400 + m), "x", 3.0) for m in (0, 10)] + [(3, at(14_400), None, 9.0)],
+               [(1, at(20), "x", 5.0), (None, at(5), None, 6.0), (2, at(500), "y", 7.0), (4, None, "x", 1.0)]]
+    for i, data in enumerate(batches):
+        spark.createDataFrame(data, EVENTS).coalesce(1).write.mode("append").parquet(inbox)
+        stream = lambda: spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(inbox)
+        S.start_rollup(stream(), "ts", "1 hour", ["kind"], "value", roll).awaitTermination()
+        S.start_sessions(stream(), "u", "ts", "30 minutes", sess).awaitTermination()
+        if i == 1:
+            S.compact_rollup(spark, roll, ["kind"])
+            S.compact_sessions(spark, sess, "u", "30 minutes")
+            assert S.vacuum(spark, roll) == 2 and S.vacuum(spark, sess) == 2
+    everything = spark.createDataFrame([r for b in batches for r in b if r[1]], EVENTS)
+    for _ in range(2):
+        assert rows(S.rollup_table(spark, roll, ["kind"])) == rows(rel.time_rollup(everything, "ts", "1 hour", ["kind"], "value"))
+        columns = ["u", "started_at", "ended_at", "n_events"]
+        got = S.sessions_table(spark, sess, "u", "30 minutes")
+        assert rows(got.select(columns)) == rows(K.sessions(everything, "u", "ts", 1800).select(columns))
+        S.compact_rollup(spark, roll, ["kind"])
+        S.compact_sessions(spark, sess, "u", "30 minutes")
+    assert rows(S.late_rows(spark, roll).select("batch", "window_start", "kind", "n")) == sorted(
+        [(2, at(0), "x", 1), (2, at(0), None, 1), (2, at(480), "y", 1)], key=str)
+    assert rows(S.late_rows(spark, sess).select("u", "n")) == sorted([(1, 1), (None, 1), (2, 1)], key=str)
+    assert rows(got.filter("not closed").select("u")) == [(1,), (3,)]
+
+
+def test_a_late_event_joins_two_sessions(spark, tmp_path):
+    inbox, sess = str(tmp_path / "in"), str(tmp_path / "sess")
+    for data in ([(1, at(0), "x", 0.0), (1, at(50), "x", 0.0)], [(1, at(25), "x", 0.0)]):
+        spark.createDataFrame(data, EVENTS).coalesce(1).write.mode("append").parquet(inbox)
+        S.start_sessions(spark.readStream.schema(EVENTS).parquet(inbox), "u", "ts", "30 minutes", sess).awaitTermination()
+    assert rows(S.sessions_table(spark, sess, "u", "30 minutes").drop("closed")) == [(1, at(0), at(50), 3)]
+
+
+def test_a_marked_batch_is_not_written_again(spark, tmp_path):
+    inbox, roll = str(tmp_path / "in"), str(tmp_path / "roll")
+    spark.createDataFrame([(1, at(0), "x", 1.0)], EVENTS).coalesce(1).write.parquet(inbox)
+    start = lambda: S.start_rollup(spark.readStream.schema(EVENTS).parquet(inbox), "ts", "1 hour", ["kind"], "value", roll).awaitTermination()
+    start()
+    for name in ("0", ".0.crc"):
+        (tmp_path / "roll" / "_checkpoint" / "commits" / name).unlink(missing_ok=True)
+    before = sorted(p.name for p in (tmp_path / "roll" / "changes" / "batch=0").iterdir())
+    start()
+    assert sorted(p.name for p in (tmp_path / "roll" / "changes" / "batch=0").iterdir()) == before
+    assert rows(S.rollup_table(spark, roll, ["kind"]).select("n")) == [(1,)]
 
 
 def test_half_a_batch_is_neither_read_nor_folded(spark, tmp_path):
@@ -146,7 +196,7 @@ def test_half_a_batch_is_neither_read_nor_folded(spark, tmp_path):
     assert S.mirror(spark, s).count() == 0 and S.compact(spark, s) is None
     drop(spark, inbox, FIRST)
     S.start_sync(source(spark, inbox), s).awaitTermination()
-    # The next batch is being written: one of its files is there, the checkpoint knows nothing of it.
+    # The next batch is being written: one of its files is there, no marker names it.
     drop(spark, f"{s.changes}/batch=1", SECOND[:1])
     assert rows(S.mirror(spark, s)) == [(1, "a"), (2, "b"), (3, "c")]
     S.compact(spark, s)
@@ -194,15 +244,3 @@ def test_rollup_is_compacted(spark, tmp_path):
             assert S.vacuum(spark, root) > 0
     everything = spark.createDataFrame([r for b in batches for r in b], EVENTS)
     assert rows(S.rollup_table(spark, root, ["kind"])) == rows(rel.time_rollup(everything, "ts", "1 hour", ["kind"], "value"))
-
-
-def test_open_sessions_complete_the_closed_ones(spark, tmp_path):
-    inbox = str(tmp_path / "in")
-    data = [(1, at(m), "x", 0.0) for m in (0, 10, 300, 305)] + [(2, at(290), "x", 0.0), (3, at(310), "x", 0.0)]
-    events = spark.createDataFrame(data, EVENTS)
-    events.coalesce(1).write.mode("append").parquet(inbox)
-    S.start_sessions(spark.readStream.schema(EVENTS).parquet(inbox), "u", "ts", "30 minutes", str(tmp_path / "sess"), "1 hour").awaitTermination()
-    columns = ["u", "started_at", "ended_at", "n_events"]
-    closed = spark.read.parquet(str(tmp_path / "sess" / "sessions")).select(columns)
-    still = S.open_sessions(events, closed, "u", "ts", 1800)
-    assert rows(closed.unionByName(still)) == rows(K.sessions(events, "u", "ts", 1800).select(columns))
