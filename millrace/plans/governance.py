@@ -8,9 +8,11 @@ from pyspark.sql import types as T
 
 from millrace.functions.timing import stamp
 from millrace.operators import checks as C
+from millrace.operators import checksums as X
 from millrace.operators import security as S
 from millrace.plans import roles
 from millrace.plans.registry import query
+from millrace.session import fresh_dir
 from millrace.sources.tables import Tables
 
 
@@ -162,3 +164,30 @@ def checklist(t: Tables) -> DataFrame:
         ("every order has a customer", lost, F.col("n"), F.col("n") == 0),
         ("line keys are unique", surplus, F.col("n"), F.col("n") == 0),
         ("vectors have 64 values", odd, F.col("n"), F.col("n") == 0)])
+
+
+def _trees(t: Tables) -> tuple[X.ChecksumTree, X.ChecksumTree]:
+    old = X.ChecksumTree.write(roles.orders_before(t), roles.ORDER_KEY, fresh_dir(t.spark, "before"), "before")
+    return old, X.ChecksumTree.write(roles.orders_after(t), roles.ORDER_KEY, fresh_dir(t.spark, "after"), "after", like=old)
+
+
+@query("checksum_differences", f"""WITH {roles.SNAPSHOTS_SQL}
+SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+  CASE WHEN b.o_orderkey IS NULL THEN 'only_a' WHEN a.o_orderkey IS NULL THEN 'only_b' ELSE 'changed' END AS status
+FROM before a FULL JOIN after b ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR (a.o_custkey, a.o_orderstatus, a.o_totalprice, a.o_orderdate, a.o_orderpriority)
+  IS DISTINCT FROM (b.o_custkey, b.o_orderstatus, b.o_totalprice, b.o_orderdate, b.o_orderpriority)""")
+def checksum_differences(t: Tables) -> DataFrame:
+    """Both snapshots stored with checksums; only leaves that differ are read again."""
+    return X.differences(*_trees(t))
+
+
+@query("checksum_correction", f"""WITH {roles.SNAPSHOTS_SQL}
+SELECT o_orderkey, 'changed' AS status FROM after WHERE o_orderkey = (SELECT max(o_orderkey) FROM after)""")
+def checksum_correction(t: Tables) -> DataFrame:
+    """The newer snapshot against itself with one order repriced."""
+    now = roles.orders_after(t)
+    last = now.agg(F.max("o_orderkey")).first()[0]
+    fixed = now.withColumn("o_totalprice", F.col("o_totalprice") + F.when(F.col("o_orderkey") == F.lit(last), 1).otherwise(0))
+    a = X.ChecksumTree.write(now, roles.ORDER_KEY, fresh_dir(t.spark, "now"))
+    return X.differences(a, X.ChecksumTree.write(fixed, roles.ORDER_KEY, fresh_dir(t.spark, "fixed"), like=a))
