@@ -11,6 +11,7 @@ from millrace.plans.registry import REGISTRY, query
 from millrace.session import fresh_dir
 from millrace.sources.tables import Tables
 from millrace.streaming import sync as S
+from millrace.streaming import traces as T
 
 
 class StreamedTables(Tables):
@@ -137,3 +138,31 @@ def stream_sessions_late(t: Tables) -> DataFrame:
             S.compact_sessions(t.spark, root, "user_id", "6 hours")
             S.vacuum(t.spark, root)
     return _shown_sessions(S.sessions_table(t.spark, root, "user_id", "6 hours"))
+
+
+@query("stream_trace", f"""WITH {roles.CALLS_SQL},
+m AS (SELECT event_id AS message_id, session_id, ts AS said_at FROM calls WHERE tool_name = 'view'),
+p AS (SELECT event_id AS call_id, session_id, ts AS called_at, duration_ms FROM calls WHERE tool_name = 'purchase'),
+j AS (SELECT message_id, m.session_id, said_at, call_id, called_at, duration_ms
+  FROM m ASOF LEFT JOIN p ON m.session_id = p.session_id AND m.said_at <= p.called_at),
+k AS (SELECT *, called_at <= said_at + INTERVAL 6 HOUR AS near FROM j)
+SELECT message_id, session_id, said_at, CASE WHEN near THEN call_id END AS call_id, CASE WHEN near THEN called_at END AS matched_called_at,
+  CASE WHEN near THEN duration_ms END AS duration_ms, CASE WHEN near THEN (epoch_us(called_at) - epoch_us(said_at)) / 1e6 END AS seconds_to_call
+FROM k""")
+def stream_trace(t: Tables) -> DataFrame:
+    """Views and the purchases within six hours, as two streams in three stretches of time and a closing row."""
+    root, inbox = fresh_dir(t.spark, "trace"), fresh_dir(t.spark, "inbox")
+    log = roles.calls(t).drop("args").withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = log.agg(F.unix_seconds(F.min("ts")), F.unix_seconds(F.max("ts"))).first()
+    stretch = F.least(F.floor((F.unix_seconds("ts") - F.lit(low)) * 3 / F.lit(high - low + 1)), F.lit(2))
+    named = {"session_id": F.lit(0), "ts": F.timestamp_seconds(F.lit(high + 8 * 86_400)), "tool_name": F.explode(F.array(F.lit("view"), F.lit("purchase")))}
+    tail = t.spark.range(1).select(*[named.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) if f.name != "tool_name" else named["tool_name"].alias("tool_name")
+                                     for f in log.schema.fields])
+    for part in (*[log.filter(stretch == i) for i in range(3)], tail):
+        part.write.mode("append").parquet(inbox)
+        calls = t.spark.readStream.schema(log.schema).parquet(inbox)
+        messages = calls.filter("tool_name = 'view'").select(F.col("event_id").alias("message_id"), "session_id", F.col("ts").alias("said_at"))
+        made = calls.filter("tool_name = 'purchase'").select(F.col("event_id").alias("call_id"), "session_id", F.col("ts").alias("called_at"), "duration_ms")
+        T.start_trace(messages, made, "session_id", "said_at", "called_at", root, "6 hours", "1 hour").awaitTermination()
+    found = T.trace_table(t.spark, root, ["message_id", "session_id", "said_at"], "said_at", "called_at", "call_id", ["duration_ms"])
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("said_at", "matched_called_at")})
