@@ -71,13 +71,17 @@ def op5_katz(t: Tables) -> DataFrame:
 
 def _license_sql() -> str:
     values = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES)
+    told = licenses.told_apart(licenses.TEMPLATES)
+    tells = ", ".join(f"('{n}', '{t}', {kind})" for n, sides in told.items() for kind, side in enumerate(sides) for t in side)
+    denied, spdx = licenses.DENIED.replace("'", "''"), licenses.SPDX.replace("'", "''")
     words = "string_split(lower(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g')), ' ')"
     return rf"""
 WITH t(license, text) AS (VALUES {values}),
 tt AS (SELECT license, term, count(*) AS tf FROM (SELECT license, unnest({words.format("text")}) AS term FROM t) WHERE term <> '' GROUP BY ALL),
 i AS (SELECT term, ln((1.0 + (SELECT count(*) FROM t)) / (1 + count(*))) + 1 AS idf FROM tt GROUP BY term),
 tv AS (SELECT license, tt.term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY license)) AS share FROM tt JOIN i USING (term)),
-f AS (SELECT doc_id, coalesce(text, '') AS text,
+k(license, term, kind) AS (VALUES {tells}),
+f AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{denied}', ' ', 'g') AS text,
              concat_ws('/', source, CASE WHEN doc_id % 10 > 0 THEN lang END,
                        CASE WHEN doc_id % 10 > 2 THEN CAST(doc_id // 100 AS VARCHAR) END) AS dir FROM documents),
 p AS (SELECT doc_id, 0 AS pos, text AS passage FROM f
@@ -86,9 +90,15 @@ c AS (SELECT doc_id, pos, term, count(*) AS tf FROM (SELECT doc_id, pos, unnest(
 v AS (SELECT doc_id, pos, c.term, tf * coalesce(idf, ln(1.0 + (SELECT count(*) FROM t)) + 1) AS value FROM c LEFT JOIN i USING (term)),
 n AS (SELECT doc_id, pos, sqrt(sum(value * value)) AS size FROM v GROUP BY ALL),
 s AS (SELECT doc_id, license, round(sum(value * share) / any_value(size), 6) AS score
-      FROM v JOIN tv USING (term) JOIN n USING (doc_id, pos) GROUP BY doc_id, pos, license),
-o AS (SELECT doc_id, license AS own_license, score AS own_score FROM s WHERE score >= 0.8
+      FROM v JOIN tv USING (term) JOIN n USING (doc_id, pos) GROUP BY doc_id, pos, license
+      HAVING count(*) FILTER ((license, term, 0) IN (SELECT (license, term, kind) FROM k)) = (SELECT count(*) FROM k WHERE k.license = tv.license AND kind = 0)
+         AND NOT EXISTS (SELECT 1 FROM c JOIN k USING (term) WHERE c.doc_id = v.doc_id AND c.pos = v.pos AND k.license = tv.license AND kind = 1)),
+x AS (SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(text, '{spdx}', 1),
+             lambda i: i NOT IN ('NONE', 'NOASSERTION')))), ' AND ') AS spdx FROM f),
+b AS (SELECT doc_id, license, score FROM s WHERE score >= 0.8
       QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
+o AS (SELECT doc_id, CASE WHEN spdx <> '' THEN spdx ELSE license END AS own_license, CASE WHEN spdx <> '' THEN 1.0::DOUBLE ELSE score END AS own_score
+      FROM x LEFT JOIN b USING (doc_id) WHERE spdx <> '' OR license IS NOT NULL),
 d AS (SELECT dir, own_license AS dir_license FROM f JOIN o USING (doc_id)
       QUALIFY row_number() OVER (PARTITION BY dir ORDER BY dir || '/' || doc_id) = 1),
 h AS (SELECT f.doc_id, d.dir, d.dir_license FROM f JOIN d ON f.dir = d.dir OR starts_with(f.dir, d.dir || '/')
