@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +63,7 @@ PASSAGES = [
 ]
 LONG = 12
 #: Licences that share their passages with a relative, which is known by what follows them.
+RELATED = ["distribution", "advertising", "furnished"]
 RELATIVES = [
     ("BSD-3-Clause", "BSD-2-Clause", r"(?i)provided\W+with\W+the\W+distribution\W+this\W+software\W+is\W+provided"),
     ("BSD-3-Clause", "BSD-4-Clause", r"(?i)all\W+advertising\W+materials\W+mentioning\W+features"),
@@ -71,7 +74,8 @@ SPDX = (r"SPDX-License-Identifier:[ \t]*(\(*[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0
         r"(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(*[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\+?\)*)*)")
 UNSTATED = ["NONE", "NOASSERTION"]
 #: A sentence's rest from a negation on that denies terms; it states no licence.
-DENIED = r"(?i)\b(?:not|never|neither|nor|cannot|isn't|aren't)[ \t\r\n]+(?:[a-z]+[ \t\r\n]+){0,3}?(?:under|covered by|subject to|governed by)\b[^.!?;]*"
+DENIED = r"(?i)\b(?:not|never|neither|nor|cannot|isn't|aren't)[ \t\r\n]+(?:[a-z]+[ \t\r\n]+){0,3}?(?:under|covered[ \t\r\n]+by|subject[ \t\r\n]+to|governed[ \t\r\n]+by)\b[^.!?;]*"
+DENIES = ["under", "covered", "subject", "governed"]
 #: Words so common in any text that others are looked for first.
 FUNCTION_WORDS = {"a", "all", "and", "are", "by", "following", "for", "in", "is", "of", "or", "that", "the", "this", "to", "under", "with", "without"}
 #: Least cosine of a match.
@@ -103,6 +107,11 @@ def telling_terms(templates: list[tuple[str, str]], cosine: float = COSINE) -> l
     return sorted(picked)
 
 
+def holds(text: str, words: list[str]):
+    """Whether ``words`` (lower case) stand in the text, inside others, too: what is asked before a pattern or the words of a text."""
+    return F.exists(F.array(F.lower(text)), lambda low: reduce(or_, [low.contains(w) for w in words], F.lit(False)))
+
+
 def told_apart(templates: list[tuple[str, str]]) -> dict[str, tuple[list[str], list[str]]]:
     """Licence name to the terms that a passage needs and those that it must not have."""
     found = {}
@@ -175,7 +184,12 @@ def window_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLAT
                                   "foreign array<string>, shares map<string,double>, exact boolean")  # as large as the templates
     anchors = sorted({e[0] for e in entries})
     words = F.filter(F.split(F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
-    texts = files.filter(F.lower("text").rlike("|".join(anchors))).select("path", words.alias("words"))
+    # Short anchors stand inside many words, so they are asked for as words.
+    short = "|".join("".join(f"[{c.upper()}{c}]" for c in a) for a in anchors if len(a) <= 3)
+    anchored = holds("text", [a for a in anchors if len(a) > 3])
+    if short:
+        anchored = anchored | F.col("text").rlike(f"(?<![A-Za-z0-9])(?:{short})(?![A-Za-z0-9])")
+    texts = files.filter(anchored).select("path", words.alias("words"))
     before, span = max(e[2] for e in entries), max(len(e[3]) for e in entries)
     placed = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("anchor"))), lambda x: x["anchor"].isin(anchors))
     # Every anchor takes the words around it along, not the whole text.
@@ -214,7 +228,7 @@ def relative_licenses(files: DataFrame) -> DataFrame:
     """path, relatives (licence to relative) of the files with the words of a relative."""
     held = F.array_compact(F.array(*[F.when(F.col("text").rlike(words), F.lit(k)) for k, (_, _, words) in enumerate(RELATIVES)]))
     names = F.array(*[F.struct(F.lit(a).alias("license"), F.lit(b).alias("relative")) for a, b, _ in RELATIVES])
-    rows = files.select("path", F.explode(held).alias("k")).groupBy("path").agg(F.collect_set("k").alias("k"))  # as many as RELATIVES
+    rows = files.filter(holds("text", RELATED)).select("path", F.explode(held).alias("k")).groupBy("path").agg(F.collect_set("k").alias("k"))  # as many as RELATIVES
     return rows.select("path", F.transform(F.array_sort("k"), lambda k: names[k]).alias("relatives"))
 
 
@@ -236,7 +250,8 @@ def scan_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     Empty tables give empty results.
     """
     keyed = files.withColumn("_path", F.coalesce("path", F.lit("\x00")))
-    texts = keyed.select(F.col("_path").alias("path"), F.regexp_replace("text", DENIED, " ").alias("text"))
+    raw = keyed.select(F.col("_path").alias("path"), "text")
+    texts = raw.select("path", F.when(holds("text", DENIES), F.regexp_replace("text", DENIED, " ")).otherwise(F.col("text")).alias("text"))
     stated = staged(own_licenses(texts, templates, cosine), "own-licences")
     windows = staged(window_licenses(texts, templates, PASSAGES, cosine), "window-licences")
     wide = windows.select("path", F.col("own_license").alias("_license"), F.col("own_score").alias("_score"))
@@ -244,7 +259,7 @@ def scan_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     own = stated.join(wide, "path", "full").select("path", F.when(other, F.col("_license")).otherwise(F.col("own_license")).alias("own_license"),
                                                    F.when(other, F.col("_score")).otherwise(F.col("own_score")).alias("own_score"))
     named = F.filter("relatives", lambda r: r["license"] == F.col("own_license"))
-    own = (own.join(relative_licenses(texts), "path", "left").join(spdx_licenses(texts), "path", "full")
+    own = (own.join(relative_licenses(raw), "path", "left").join(spdx_licenses(raw), "path", "full")
            .select("path", F.coalesce("spdx", F.try_element_at(named, F.lit(1))["relative"], "own_license").alias("own_license"),
                    F.when(F.col("spdx").isNotNull(), 1.0).otherwise(F.col("own_score")).alias("own_score")))
     rows = keyed.select("path", "_path", F.coalesce("licence_file", F.lit(False)).alias("licence_file"),
