@@ -10,6 +10,7 @@ from millrace.functions.skew import key_set, lookup_join, settle, spread
 from millrace.functions.text import chunks, word_chunks
 from millrace.functions.vectors import distance
 from millrace.operators import retrieval as R
+from millrace.operators.compressed import PqIndex, depth_for, knn_pq
 from millrace.operators.keywords import KeywordIndex
 from millrace.operators.security import assigned_rows
 from millrace.plans import roles
@@ -153,6 +154,16 @@ def knn_ivf_recall(t: Tables) -> DataFrame:
     return R.recall_against(found, exact)
 
 
+@query("knn_pq_recall")
+def knn_pq_recall(t: Tables) -> DataFrame:
+    """Recall of the compressed index for every vector whose id is divisible by 100, at the least depth that finds nine in ten."""
+    rows = roles.vectors(t)
+    index = PqIndex.build(rows, fresh_dir(t.spark, "pq"), parts=16)
+    asked = settle(rows.filter(F.col("doc_id") % 100 == 0).select(F.col("doc_id").alias("query_id"), "embedding"))
+    exact = settle(R.knn_exact(asked, rows, 10))
+    return R.recall_against(knn_pq(asked, index, 10, depth_for(asked, index, exact, 10)), exact)
+
+
 @query("keyword_match", f"""WITH {roles.TOKENS_SQL}, {roles.MATCHES_SQL}
 SELECT query_id, doc_id FROM matches""")
 def keyword_match(t: Tables) -> DataFrame:
