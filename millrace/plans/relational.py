@@ -117,9 +117,36 @@ def recent_rows(t: Tables) -> DataFrame:
 @query("json_filter", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
 FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) >= 50 AND event_type = 'purchase'""")
 def json_filter(t: Tables) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("long")
-    return (t.events.filter((F.col("event_type") == "purchase") & (k >= 50))
-            .select("event_id", k.alias("k")))
+    found = roles.call_arguments(t).between(["k"], 50)
+    return (found.filter(F.col("event_type") == "purchase")
+            .select("event_id", F.variant_get("props", "$.k", "long").alias("k")))
+
+
+_CARDS_SQL = """SELECT doc_id, to_json({'source': source, 'meta': {'lang': lang, 'n_chars': n_chars},
+  'tags': [{'name': 'lang', 'value': lang}, {'name': 'source', 'value': source}]}) AS card FROM documents"""
+
+
+@query("json_contains", f"""WITH cards AS ({_CARDS_SQL})
+SELECT doc_id, CAST(json_extract(card, '$.meta.n_chars') AS BIGINT) AS n_chars FROM cards
+WHERE json_extract_string(card, '$.meta.lang') = 'fr' AND json_extract_string(card, '$.tags[1].value') = 'src7'""")
+def json_contains(t: Tables) -> DataFrame:
+    """Containment over several paths; name and value have to stand in the same element."""
+    found = roles.document_cards(t).find({"meta": {"lang": "fr"}, "tags": [{"name": "source", "value": "src7"}]})
+    return found.select("doc_id", F.variant_get("card", "$.meta.n_chars", "long").alias("n_chars"))
+
+
+@query("json_paths", """WITH nodes AS (
+  SELECT doc_id, unnest(['$', '$["meta"]', '$["tags"]', '$["tags"][]', '$["tags"][]']) AS path,
+    unnest(['object', 'object', 'array', 'object', 'object']) AS kind FROM documents
+  UNION ALL SELECT doc_id, '$["source"]', 'string' FROM documents WHERE source IS NOT NULL
+  UNION ALL SELECT doc_id, '$["meta"]["lang"]', 'string' FROM documents WHERE lang IS NOT NULL
+  UNION ALL SELECT doc_id, '$["meta"]["n_chars"]', 'number' FROM documents WHERE n_chars IS NOT NULL
+  UNION ALL SELECT doc_id, '$["tags"][]["name"]', 'string' FROM (SELECT doc_id, unnest([1, 2]) FROM documents)
+  UNION ALL SELECT doc_id, '$["tags"][]["value"]', 'string' FROM (SELECT doc_id, unnest([lang, source]) AS v FROM documents) WHERE v IS NOT NULL)
+SELECT path, kind, count(DISTINCT doc_id) AS n_rows, count(*) AS n_nodes FROM nodes GROUP BY 1, 2""")
+def json_paths(t: Tables) -> DataFrame:
+    """Which paths the cards have; from the index alone."""
+    return roles.document_cards(t).paths()
 
 
 @query("summary_search", """SELECT doc_id, source FROM documents
@@ -155,9 +182,10 @@ def initials_search(t: Tables) -> DataFrame:
 SELECT event_id, session_id, ts FROM calls
 WHERE tool_name = 'click' AND json_extract_string(args, '$.k') = '42'""")
 def tool_arg_filter(t: Tables) -> DataFrame:
-    return (roles.calls(t).filter((F.col("tool_name") == "click")
-                                  & (F.get_json_object("args", "$.k") == "42"))
-            .select("event_id", "session_id", "ts"))
+    store = roles.call_arguments(t)
+    found = store.find({"k": 42}).unionByName(store.find({"k": "42"}))  # a number or its text
+    return (found.filter(F.col("event_type") == "click")
+            .select("event_id", F.col("user_id").alias("session_id"), "ts"))
 
 
 @query("slow_calls", f"""WITH {roles.CALLS_SQL}

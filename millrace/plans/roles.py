@@ -10,6 +10,7 @@ from millrace.functions.text import lexemes
 from millrace.functions.timing import stamp
 from millrace.operators import retrieval as R
 from millrace.operators.keywords import KeywordIndex
+from millrace.operators.variants import VariantStore
 from millrace.session import fresh_dir
 from millrace.sources.tables import Tables, content_stamp
 
@@ -158,12 +159,12 @@ def with_tokens(docs: DataFrame) -> DataFrame:
 _STORED: dict[tuple, str] = {}
 
 
-def _stored(t: Tables, label: str, write) -> str:
-    """Folder that ``write`` has filled for the documents as they are now; filled once per application.
+def _stored(t: Tables, label: str, write, table: str = "documents") -> str:
+    """Folder that ``write`` has filled for ``table`` as it is now; filled once per application.
 
     A changed, added or removed file of the table makes it a different one.
     """
-    name = (t.spark.sparkContext.applicationId, label, t.folder, content_stamp(t.documents))
+    name = (t.spark.sparkContext.applicationId, label, t.folder, content_stamp(getattr(t, table)))
     if name not in _STORED:
         root = fresh_dir(t.spark, label)
         write(root)
@@ -185,6 +186,21 @@ def keyword_index(t: Tables) -> KeywordIndex:
     return KeywordIndex.open(t.spark, _stored(t, "keyword-index", lambda root: KeywordIndex.build(library(t), root)))
 
 
+def call_arguments(t: Tables) -> VariantStore:
+    """The events with their properties stored as variants."""
+    return VariantStore.open(t.spark, _stored(t, "call-arguments", lambda root: VariantStore.write(t.events, "props", root), "events"))
+
+
+def document_cards(t: Tables) -> VariantStore:
+    """A JSON card per document: language and source, once as members and once as a list of tags."""
+    def write(root: str) -> None:
+        tags = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in ("lang", "source")])
+        card = F.struct("source", F.struct("lang", "n_chars").alias("meta"), tags.alias("tags"))
+        VariantStore.write(t.documents.select("doc_id", F.to_json(card).alias("card")), "card", root)
+
+    return VariantStore.open(t.spark, _stored(t, "document-cards", write))
+
+
 def questions(t: Tables) -> DataFrame:
     """Question texts with their lexemes."""
     return t.benchmark.select(F.col("item_id").alias("query_id"), "text",
