@@ -147,8 +147,9 @@ def op7_url_filter(t: Tables) -> DataFrame:
 
 @llm_query("op8_pu_quality")
 def op8_pu_quality(t: Tables) -> DataFrame:
-    rows = pu_quality.featured(t.documents)
-    found = pu_quality.scored(rows, pu_quality.fit(rows, t.labels))
+    letters = pu_quality.letter_table(t.documents)
+    rows = pu_quality.featured(t.documents, letters)
+    found = pu_quality.scored(rows, pu_quality.fit(rows, t.labels, letters))
     return found.select("doc_id", F.coalesce(pu_quality.fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
                         (F.col("score") >= pu_quality.THRESHOLD).cast("int").alias("predicted"))
 

@@ -58,9 +58,10 @@ def brute_clean(rows, items):
 def test_stages_against_brute_force(spark):
     tables = Tables(spark, FOLDER)
     docs = tables.documents
-    model = pu_quality.fit(pu_quality.featured(docs), tables.labels)
+    letters = pu_quality.letter_table(docs)
+    model = pu_quality.fit(pu_quality.featured(docs, letters), tables.labels, letters)
     rows = [tuple(r) for r in docs.select(*COLUMNS).collect()]
-    expected = [r for r in rows if model.score(pu_quality.features([(r[1] or "").encode()]))[0] >= 0.3]
+    expected = [r for r in rows if model.score(pu_quality.features([(r[1] or "").encode()], letters))[0] >= 0.3]
     items = [tuple(r) for r in tables.benchmark.select("item_id", "text").collect()]
     for (name, stage), brute in zip(corpus_pipeline.STAGES, [None, brute_lines, brute_near, lambda r: brute_clean(r, items)]):
         expected = brute(expected) if brute else expected

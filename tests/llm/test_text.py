@@ -306,28 +306,84 @@ def test_classifier_on_held_out_rows(spark):
 def test_classifier_awkward(spark):
     docs = docs_frame(spark, clashing=True)
     labels = labelled(spark, [(1, 1, 0), (2, 1, 0), (6, 1, 0), (8, 1, 0), (9, None, 0), (None, 1, 0), (11, 0, 1), (11, 1, 1), (12, 0, 0), (999, 1, 0)])
-    rows = pu_quality.featured(docs)
-    model = pu_quality.fit(rows, labels)
+    letters = pu_quality.letter_table(docs)
+    rows = pu_quality.featured(docs, letters)
+    model = pu_quality.fit(rows, labels, letters)
     found = pu_quality.scored(rows, model).collect()
     assert len(found) == len(awkward_texts()) and all(0 <= r.score <= 1 for r in found)
     kept = pu_quality.keep_good(docs, model)
     assert kept.columns == docs.columns and kept.count() == sum(r.score >= pu_quality.THRESHOLD for r in found)
-    nothing = pu_quality.fit(rows, labels.limit(0))
+    nothing = pu_quality.fit(rows, labels.limit(0), letters)
     assert {r.score for r in pu_quality.scored(rows, nothing).collect()} == {0.5}
-    empty = pu_quality.featured(docs.limit(0))
-    assert pu_quality.scored(empty, pu_quality.fit(empty, labels)).collect() == []
+    blank = pu_quality.letter_table(docs.limit(0))
+    empty = pu_quality.featured(docs.limit(0), blank)
+    assert np.ptp(blank) == 0 and pu_quality.scored(empty, pu_quality.fit(empty, labels, blank)).collect() == []
 
 
 def test_classifier_looks_at_no_held_out_label(spark):
     rows = [(i, prose(i, 30) if i % 3 else "!!! ### " * 20) for i in range(200)]
-    features = pu_quality.featured(docs_frame(spark, rows))
+    docs = docs_frame(spark, rows)
+    letters = pu_quality.letter_table(docs)
+    features = pu_quality.featured(docs, letters)
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
     labels = [(i, int(i % 3 > 0), 0) for i in range(200)]
     turned = [(i, 1 - q if i in held else q, x) for i, q, x in labels]
-    a, b = (pu_quality.fit(features, labelled(spark, x)).weights for x in (labels, turned))
+    a, b = (pu_quality.fit(features, labelled(spark, x), letters).weights for x in (labels, turned))
     assert np.allclose(a, b, atol=1e-6) and np.abs(a).max() > 0
 
 
+def test_letter_table_against_brute_force(spark):
+    docs = docs_frame(spark)
+    counts = np.zeros(1 << pu_quality.RUN_BITS)
+    for _, text in awkward_texts():
+        b = (text or "").encode("utf-8", "replace")
+        for i in range(len(b) - 2):
+            counts[((b[i] << 16 | b[i + 1] << 8 | b[i + 2]) * 2654435761 & 0xFFFFFFFF) >> (32 - pu_quality.RUN_BITS)] += 1
+    want = np.log((counts + 1) / (counts.sum() + len(counts)))
+    assert np.allclose(pu_quality.letter_table(docs), want)
+    mixed = "häufig gesagt " * 3
+    b = mixed.encode()
+    cells = [((b[i] << 16 | b[i + 1] << 8 | b[i + 2]) * 2654435761 & 0xFFFFFFFF) >> (32 - pu_quality.RUN_BITS) for i in range(len(b) - 2)]
+    assert np.isclose(pu_quality.usual(b, want), want[cells].mean()) and pu_quality.usual(b"ab", want) == pu_quality.usual(b"", want)
+
+
+def test_prior_of_known_mixtures():
+    rng = np.random.default_rng(3)
+    for prior in (0.1, 0.5, 0.85):
+        good = np.clip(rng.normal(2500, 300, 20_000), 0, 4095).astype(int)
+        pool = np.where(rng.random(60_000) < prior, rng.normal(2500, 300, 60_000), rng.normal(1200, 300, 60_000))
+        got = pu_quality.lowest_ratio(np.bincount(good, minlength=4096), np.bincount(np.clip(pool, 0, 4095).astype(int), minlength=4096))
+        assert abs(got - prior) < 0.03
+    assert pu_quality.lowest_ratio(np.array([0, 5]), np.array([0, 9])) == 0.99  # nothing but good text
+
+
+def test_fit_reaches_the_minimum_of_the_risk(spark):
+    """Risk, gradient and prior in NumPy on the collected rows."""
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(w + "!" if rng.random() < (0.2 if i % 4 else 0.45) else w for w in prose(i, 20).split())) for i in range(400)]
+    docs = docs_frame(spark, rows)
+    letters = pu_quality.letter_table(docs)
+    kept = pu_quality.featured(docs, letters)
+    model = pu_quality.fit(kept, labelled(spark, [(i, int(i % 4 > 0), 0) for i in range(0, 400, 2)]), letters)
+    found = {r.doc_id: r.x for r in kept.collect()}
+    assert all(np.allclose(found[i], pu_quality.features([(text or "").encode()], letters)[0]) for i, text in rows)
+    x = np.array([found[i] for i, _ in rows])
+    good = np.array([i % 2 == 0 and i % 4 > 0 and zlib.crc32(str(i).encode()) % 5 != 0 for i, _ in rows])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0), atol=1e-6)
+    z = model.standard(x)
+
+    def risk(w):
+        a = z @ w
+        bad = np.logaddexp(0, a).mean() - model.prior * np.logaddexp(0, a[good]).mean()
+        return model.prior * np.logaddexp(0, -a[good]).mean() + max(bad, 0) + pu_quality.RIDGE / 2 * (w ** 2).sum(), bad
+    best, bad = risk(model.weights)
+    assert bad > 0 and best < risk(np.zeros_like(model.weights))[0]
+    nudges = np.eye(len(model.weights)) * 1e-5
+    slope = [(risk(model.weights + e)[0] - risk(model.weights - e)[0]) / 2e-5 for e in nudges]
+    assert np.abs(slope).max() < 1e-3
+    assert abs(model.prior - 0.75) < 0.2  # from 160 trusted texts that overlap with the others
+
+
 # --- vocabulary file ---
 
 def test_vocabulary_file(tmp_path):
