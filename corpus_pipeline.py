@@ -19,7 +19,8 @@ from millrace.sources.tables import Tables
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the positive-unlabelled classifier accepts; it is fitted on ``docs`` and ``labels``."""
     ship_package(spark)
-    model = pu_quality.fit(pu_quality.featured(docs), Tables(spark, sf_dir).labels)
+    letters = pu_quality.letter_table(docs)
+    model = pu_quality.fit(pu_quality.featured(docs, letters), Tables(spark, sf_dir).labels, letters)
     return pu_quality.keep_good(docs, model)
 
 
