@@ -82,15 +82,25 @@ def mean_resolve_time(parents: DataFrame, outcomes: DataFrame, key: str, opened:
     """Mean seconds and count per category.
 
     Outcomes are summed per (key, category) before the join, so a key with very many outcomes
-    reaches the join as a few rows. Microseconds are summed as integers.
+    reaches the join as a few rows. Microseconds are summed exactly, as whole seconds and the rest
+    of each, since their sums pass 64 bits: two months' gaps do so in some two million rows.
     """
+    second = F.lit(1_000_000)
+
+    def parts(ts: str) -> tuple[Column, Column]:
+        whole = F.floor(micros(ts) / second)
+        return whole, micros(ts) - whole * second
+
+    seconds, rest = parts(closed)
     summed = (outcomes.dropna(subset=[key, closed]).groupBy(key, category)
-              .agg(F.count(F.lit(1)).alias("_n"), F.sum(micros(closed)).alias("_closed")))
-    opened_at = parents.dropna(subset=[opened]).select(key, micros(opened).alias("_opened"))
-    gap = F.col("_closed") - F.col("_n") * F.col("_opened")
+              .agg(F.count(F.lit(1)).alias("_n"), F.sum(seconds).alias("_seconds"), F.sum(rest).alias("_rest")))
+    opened_seconds, opened_rest = parts(opened)
+    opened_at = parents.dropna(subset=[opened]).select(key, opened_seconds.alias("_from"), opened_rest.alias("_from_rest"))
+    total = (F.sum(F.col("_seconds") - F.col("_n") * F.col("_from")).cast("decimal(20,0)") * second
+             + F.sum(F.col("_rest") - F.col("_n") * F.col("_from_rest")))
     return (summed.join(opened_at, key).groupBy(category)
             .agg(F.sum("_n").alias("n"),
-                 F.round(F.sum(gap) / F.sum("_n") / F.lit(1e6), 1).alias("avg_seconds")))
+                 F.round(total.cast("double") / F.sum("_n") / F.lit(1e6), 1).alias("avg_seconds")))
 
 
 def entity_search(entities: DataFrame, key: str, name: str, activity: DataFrame, activity_ts: str,

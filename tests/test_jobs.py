@@ -85,6 +85,16 @@ def test_call_log_marks_unfinished(spark):
     assert rows(out.select("c", "duration_ms", "ok")) == [(1, 3_600_000, True), (2, None, False)]
 
 
+def test_mean_resolve_time_whose_sums_pass_64_bits(spark):
+    early, late = dt.datetime(1000, 1, 1), dt.datetime(9000, 1, 1, 0, 0, 0, 700_000)
+    parents = spark.createDataFrame([(1, early), (2, early), (3, late)], "k long, opened timestamp_ntz")
+    outcomes = (spark.range(120).selectExpr("1 + id % 2 AS k", "'x' AS c").withColumn("closed", F.lit(late).cast("timestamp_ntz"))
+                .unionByName(spark.createDataFrame([(3, "y", early)], "k long, c string, closed timestamp_ntz")))
+    got = rows(rel.mean_resolve_time(parents, outcomes, "k", "opened", "closed", "c"))
+    seconds = round((late - early).total_seconds(), 1)
+    assert got == [("x", 120, seconds), ("y", 1, -seconds)]
+
+
 def test_mean_resolve_time_with_a_busy_key(spark):
     parents = spark.createDataFrame([(1, day(0)), (2, day(0))], "k long, opened timestamp_ntz")
     outcomes = spark.createDataFrame([(1, day(0, 1), "x")] * 99 + [(2, day(0, 3), "x")], "k long, closed timestamp_ntz, c string")
