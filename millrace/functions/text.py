@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import or_
 
 import numpy as np
@@ -151,17 +151,21 @@ def feature_of(token: str, dims: int) -> tuple[int, int]:
     return int(digest[:8], 16) % dims, 1 if int(digest[8], 16) % 2 == 0 else -1
 
 
+#: Frequent tokens come back in every batch.
+_known_feature = lru_cache(maxsize=1 << 17)(feature_of)
+
+
 def hashed_features(tokens: pa.Array, dims: int) -> np.ndarray:
     """Signed token counts per bucket, one row per token list.
 
-    Each distinct token of the batch is hashed once; the rest is array arithmetic.
+    Each distinct token of the batch is looked up once; the rest is array arithmetic.
     """
     lengths = np.nan_to_num(tokens.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
     out = np.zeros((len(lengths), dims), dtype=np.float32)
     encoded = tokens.flatten().dictionary_encode()
     if not len(encoded):
         return out
-    placed = [feature_of(t, dims) for t in encoded.dictionary.to_pylist()]
+    placed = [_known_feature(t, dims) for t in encoded.dictionary.to_pylist()]
     bucket = np.array([b for b, _ in placed], dtype=np.int64)
     sign = np.array([s for _, s in placed], dtype=np.float32)
     index = encoded.indices.to_numpy(zero_copy_only=False)

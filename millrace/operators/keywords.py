@@ -1,6 +1,7 @@
 """A stored inverted index, and keyword search that reads only the asked terms.
 
-Documents are dealt into slabs of bounded size. A row of the index is a block: the postings of one
+Documents are cut into slabs of bounded size where they are read; only their postings move, packed by
+slab and folder. A row of the index is a block: the postings of one
 term in one slab, with the highest gains that they can add to a score. Blocks lie in folders by a hash of the
 term, sorted by term, beside a dictionary of the terms; a search reads the folders of its terms,
 sends blocks to their slab, and adds up scores there. The dictionary knows, for every term, a gain
@@ -17,22 +18,26 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.vectors import BestRows
 from millrace.operators.keyed import last_n_per_key
 from millrace.operators.retrieval import QUESTION_BOUND, SCORE_DIGITS
-from millrace.session import fresh_dir, ship_package
+from millrace.session import bound_batches, fresh_dir, ship_package
 
-#: Documents of a slab on average; postings of a folder of terms, and of one file in it.
-SLAB, FOLDER_POSTINGS, FILE_POSTINGS = 512, 20_000_000, 5_000_000
+#: Documents and lexemes of a slab at most (a longer document is a slab by itself); lexemes of a folder of terms, and of one file in it.
+SLAB, SLAB_LEXEMES, FOLDER_POSTINGS, FILE_POSTINGS = 2048, 2_000_000, 20_000_000, 2_000_000
+#: Blocks of one Arrow batch.
+BATCH_BLOCKS = 20_000
 #: Pairs of a question and a posting that are added up in one step.
 PAIRS = 4_000_000
 #: For these k the index keeps a gain that k documents reach; a larger k starts without a bound.
 LEVELS = (1, 5, 10, 20, 50, 100)
 _SAFE = 1e-6
 _BLOCK = "term string, slab long, docs array<long>, tfs array<int>, sizes array<int>, tops array<double>, top_tf int"
+_BLOCK_NAMES = ["term", "slab", "docs", "tfs", "sizes", "tops", "top_tf", "bucket"]
 
 
 def term_bucket(term: str, buckets: int) -> int:
@@ -44,45 +49,83 @@ def _bucket(term: Column, buckets: int) -> Column:
     return F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % F.lit(buckets)
 
 
-def _slab(doc_id: Column, slabs: int) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(slabs))
-
-
 def bm25_gain(tf: np.ndarray, size: np.ndarray, mean: float, k1: float, b: float) -> np.ndarray:
     return tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * size / mean))
 
 
-def slab_blocks(slab: int, ids: np.ndarray, tokens: pa.Array, mean: float, k1: float, b: float) -> pa.RecordBatch | None:
-    """The blocks of one slab, by term."""
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of several runs, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def packed_slab(slab: int, ids: np.ndarray, tokens: pa.Array, buckets: int) -> pa.RecordBatch:
+    """A slab's postings by folder, one compressed row for each, and in folder -1 the ids of its documents."""
     order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    if (ids[1:] == ids[:-1]).any():
-        raise ValueError(f"document {ids[1:][ids[1:] == ids[:-1]][0]} is there twice; an index needs unique ids")
-    sizes = np.nan_to_num(tokens.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    lengths = np.nan_to_num(tokens.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    ids, sizes = ids[order], lengths[order]
     coded = tokens.flatten().dictionary_encode()
-    if not len(coded):
-        return None
     place = np.empty(len(ids), np.int64)
     place[order] = np.arange(len(ids))
-    cells, tf = np.unique(coded.indices.to_numpy().astype(np.int64) * len(ids) + np.repeat(place, sizes), return_counts=True)
-    term, doc = cells // len(ids), cells % len(ids)
-    size = sizes[order][doc]
-    gain = bm25_gain(tf, size, mean, k1, b)
-    starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+    cells, tf = np.unique(coded.indices.to_numpy().astype(np.int64) * len(ids) + np.repeat(place, lengths), return_counts=True)
+    term, doc = cells // max(1, len(ids)), cells % max(1, len(ids))
+    starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]][:len(term)])
     counts = np.diff(np.r_[starts, len(term)])
-    best = gain[np.lexsort((-gain, term))]
-    tops = np.stack([np.where(counts >= k, best[np.minimum(starts + k - 1, len(best) - 1)], 0.0) for k in LEVELS], axis=1)
-    offsets = pa.array(np.r_[starts, len(term)].astype(np.int32))
+    words = coded.dictionary.take(pa.array(term[starts]))
+    folder = np.fromiter((term_bucket(t, buckets) for t in words.to_pylist()), np.int64, len(words))
+    by_folder = np.argsort(folder, kind="stable")
+    found, first = np.unique(folder[by_folder], return_index=True)
+    out = [(-1, _pack(ids=ids))]
+    for name, own in zip(found.tolist(), np.split(by_folder, first[1:])):
+        at = _spans(starts[own], counts[own])
+        out.append((name, _pack(terms=words.take(pa.array(own)), counts=counts[own], places=doc[at], tfs=tf[at], ids=ids, sizes=sizes)))
+    return pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int32()), pa.array(np.full(len(out), slab)), pa.array([p for _, p in out], pa.binary())],
+                                      ["bucket", "slab", "packed"])
+
+
+def _pack(**arrays: np.ndarray | pa.Array) -> bytes:
+    """Arrays of any length as one compressed Arrow row; numbers but ids take 32 bits."""
+    columns = [v if isinstance(v, pa.Array) else pa.array(v if k == "ids" else v.astype(np.int32)) for k, v in arrays.items()]
+    rows = [pa.LargeListArray.from_arrays(pa.array([0, len(v)], pa.int64()), v) for v in columns]
+    batch, sink = pa.RecordBatch.from_arrays(rows, list(arrays)), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: bytes) -> dict[str, pa.Array]:
+    batch = pa.ipc.open_stream(packed).read_next_batch()
+    return {name: batch.column(name).flatten() for name in batch.schema.names}
+
+
+def folder_blocks(bucket: int, slabs: Sequence[int], packed: Sequence[bytes], mean: float, k1: float, b: float) -> pa.RecordBatch:
+    """The blocks of a folder from its packed slabs, by term and slab; folder -1 lists each slab's documents."""
+    lists = [_unpack(p) for p in packed]
+    if bucket < 0:
+        counts, n = [len(x["ids"]) for x in lists], len(lists)
+        docs = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.concat_arrays([x["ids"] for x in lists]))
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(n, pa.string()), pa.array(slabs, pa.int64()), docs, *(pa.nulls(n, pa.list_(pa.int32())) for _ in range(2)),
+             pa.nulls(n, pa.list_(pa.float64())), pa.nulls(n, pa.int32()), pa.array([bucket] * n, pa.int32())], _BLOCK_NAMES)
+    terms = pa.concat_arrays([x["terms"] for x in lists])
+    slab = np.repeat(np.array(slabs, np.int64), [len(x["terms"]) for x in lists])
+    order = pc.sort_indices(pa.table({"term": terms, "slab": slab}), [("term", "ascending"), ("slab", "ascending")]).to_numpy().astype(np.int64)
+    counts = np.concatenate([x["counts"].to_numpy() for x in lists]).astype(np.int64)
+    at = _spans((np.cumsum(counts) - counts)[order], counts[order])
+    counts = counts[order]
+    docs, size = (np.concatenate([x[c].to_numpy()[x["places"].to_numpy()] for x in lists])[at] for c in ("ids", "sizes"))
+    tf = np.concatenate([x["tfs"].to_numpy() for x in lists])[at]
+    del lists, at
+    starts = np.cumsum(counts) - counts
+    gain = bm25_gain(tf, size, mean, k1, b)
+    best = gain[np.lexsort((-gain, np.repeat(np.arange(len(counts)), counts)))]
+    reached = np.searchsorted(LEVELS, counts, "right")  # a level that a block is too short for has no gain in it
+    level = _spans(np.zeros(len(reached), np.int64), reached)
+    tops = best[np.repeat(starts, reached) + np.array(LEVELS)[level] - 1]
+    offsets = pa.array(np.r_[starts, len(docs)].astype(np.int32))
     return pa.RecordBatch.from_arrays(
-        [coded.dictionary.take(pa.array(term[starts])), pa.array(np.full(len(starts), slab)), pa.ListArray.from_arrays(offsets, pa.array(ids[doc])),
-         pa.ListArray.from_arrays(offsets, pa.array(tf.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(size.astype(np.int32))),
-         pa.ListArray.from_arrays(pa.array(np.arange(len(starts) + 1, dtype=np.int32) * len(LEVELS)), pa.array(tops.ravel())),
-         pa.array(np.maximum.reduceat(tf, starts).astype(np.int32))], ["term", "slab", "docs", "tfs", "sizes", "tops", "top_tf"])
-
-
-def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Places of several runs, one after the other."""
-    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        [terms.take(pa.array(order)), pa.array(slab[order]), *(pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (docs, tf, size)),
+         pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(reached)].astype(np.int32)), pa.array(tops)),
+         pa.array(np.maximum.reduceat(tf, starts)), pa.array(np.full(len(counts), bucket, np.int32))], _BLOCK_NAMES)
 
 
 @dataclass
@@ -181,39 +224,64 @@ class KeywordIndex:
         """Write the index of ``docs``: unique non-NULL long ids, and lexemes (NULL counts as none)."""
         spark = docs.sparkSession
         ship_package(spark)
+        bound_batches(spark)
         rows = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(tokens).alias("tokens"))
-        n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.coalesce(F.size("tokens"), F.lit(0))), F.lit(0))).first()
-        slabs, buckets = max(1, -(-n // slab)), max(16, min(4096, -(-total // FOLDER_POSTINGS)))
+        n, total, twice = (rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("tokens"), F.lit(0))).alias("size"))
+                           .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0)), F.min(F.when(F.col("n") > 1, F.col("doc")))).first())
+        if twice is not None:
+            raise ValueError(f"document {twice} is there twice; an index needs unique ids")
+        buckets = max(16, min(4096, -(-total // FOLDER_POSTINGS)))
         mean = total / n if total else 1.0
         files = max(1, -(-total // (buckets * FILE_POSTINGS)))
+        parts = max(-(-total // FILE_POSTINGS), min(buckets, spark.sparkContext.defaultParallelism))
 
         def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.RecordBatch] = []
+            rows = lexemes = 0
 
-            def blocks() -> pa.RecordBatch | None:
+            def made() -> pa.RecordBatch:
                 table = pa.Table.from_batches(held).combine_chunks()
-                return slab_blocks(table.column("slab")[0].as_py(), table.column("doc").to_numpy(), table.column("tokens").combine_chunks(), mean, k1, b)
+                ids = table.column("doc").to_numpy()
+                name = int.from_bytes(hashlib.blake2b(ids.tobytes(), digest_size=8).digest(), "little", signed=True)
+                return packed_slab(name, ids, table.column("tokens").combine_chunks(), buckets)
 
             for batch in batches:
-                number = batch.column("slab").to_numpy()
-                edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
-                for start, end in zip(edges, edges[1:]):
-                    if held and held[-1].column("slab")[0].as_py() != number[start] and (made := blocks()):
-                        yield made
-                    if held and held[-1].column("slab")[0].as_py() != number[start]:
+                sizes = np.nan_to_num(batch.column("tokens").value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64).tolist()
+                start = 0
+                for i, size in enumerate(sizes):
+                    if rows and (rows == slab or lexemes + size > SLAB_LEXEMES):
+                        held.append(batch.slice(start, i - start))
+                        yield made()
+                        held, rows, lexemes, start = [], 0, 0, i
+                    rows, lexemes = rows + 1, lexemes + size
+                held.append(batch.slice(start))
+            if rows:
+                yield made()
+
+        def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def blocks(bucket: int, held: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+                made = folder_blocks(bucket, [s for s, _ in held], [p for _, p in held], mean, k1, b)
+                for at in range(0, made.num_rows, BATCH_BLOCKS):
+                    yield made.slice(at, BATCH_BLOCKS)
+
+            at, held = None, []
+            for batch in batches:
+                for bucket, file, number, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                    if held and at != (bucket, file):
+                        yield from blocks(at[0], held)
                         held = []
-                    if end > start:
-                        held.append(batch.slice(start, end - start))
-            if held and (made := blocks()):
-                yield made
-
-        number = _slab(F.col("doc"), slabs)
-        (rows.withColumn("slab", number).repartition("slab").sortWithinPartitions("slab").select("slab", "doc", "tokens").mapInArrow(cut, _BLOCK)
-         .withColumn("bucket", _bucket(F.col("term"), buckets).cast("int")).repartition("bucket", F.pmod("slab", F.lit(files)))
-         .sortWithinPartitions("bucket", "term", "slab").write.partitionBy("bucket").parquet(f"{root}/blocks"))
+                    at = bucket, file
+                    held.append((number, packed))
+            if held:
+                yield from blocks(at[0], held)
+
+        (rows.mapInArrow(cut, "bucket int, slab long, packed binary").select("bucket", F.pmod("slab", F.lit(files)).alias("file"), "slab", "packed")
+         .repartition(parts, "bucket", "file").sortWithinPartitions("bucket", "file", "slab").mapInArrow(merge, f"{_BLOCK}, bucket int")
+         .write.partitionBy("bucket").parquet(f"{root}/blocks"))
         stored = spark.read.schema(f"{_BLOCK}, bucket int").parquet(f"{root}/blocks")
-        (stored.groupBy("bucket", "term").agg(
-            F.sum(F.size("docs")).alias("df"), F.array(*[F.max(F.col("tops")[i]) for i in range(len(LEVELS))]).alias("tops"))
+        slabs = max(1, stored.filter("bucket < 0").count())
+        tops = F.array(*[F.coalesce(F.max(F.get("tops", F.lit(i))), F.lit(0.0)) for i in range(len(LEVELS))])
+        (stored.filter("bucket >= 0").groupBy("bucket", "term").agg(F.sum(F.size("docs")).alias("df"), tops.alias("tops"))
          .repartition("bucket").sortWithinPartitions("term").write.partitionBy("bucket").parquet(f"{root}/terms"))
         numbers = (n, slabs, buckets, float(mean), float(k1), float(b))
         spark.createDataFrame([numbers], "documents long, slabs long, buckets long, mean_length double, k1 double, b double").coalesce(1).write.parquet(f"{root}/numbers")
@@ -226,8 +294,17 @@ class KeywordIndex:
 
     @property
     def blocks(self) -> DataFrame:
+        return self._rows.filter("bucket >= 0")
+
+    @property
+    def _rows(self) -> DataFrame:
         return self.spark.read.schema(f"{_BLOCK}, bucket int").parquet(f"{self.root}/blocks")
 
+    @property
+    def slab_documents(self) -> DataFrame:
+        """doc and its slab, for every document."""
+        return self._rows.filter("bucket < 0").select(F.explode("docs").alias("doc"), "slab")
+
     @property
     def terms(self) -> DataFrame:
         """bucket, term, df, tops of every term."""
@@ -310,7 +387,7 @@ class KeywordIndex:
         if filtered:
             may = allowed.select(F.col(names[1]).cast("long").alias("doc")).filter("doc IS NOT NULL")
             empty = F.array().cast("array<int>")
-            rows = rows.unionByName(may.select(_slab(F.col("doc"), self.slabs).alias("slab"), F.lit(-1).cast("long").alias("code"), F.array("doc").alias("docs"),
+            rows = rows.unionByName(may.join(self.slab_documents, "doc").select("slab", F.lit(-1).cast("long").alias("code"), F.array("doc").alias("docs"),
                                                empty.alias("tfs"), empty.alias("sizes"), F.lit(0.0).alias("top"), F.lit(0).alias("top_tf")))
 
         def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ from millrace.functions.skew import (BROADCAST_LIMIT, key_set, lookup_join, plan
 from millrace.functions.text import chunks, hashed_features, lexemes
 from millrace.functions.vectors import BestRows, as_matrix, pairwise
 from millrace.operators.keyed import last_n_per_key
-from millrace.session import ship_package
+from millrace.session import bound_batches, ship_package
 
 #: Most questions sent to every task in one piece.
 QUESTION_BOUND = 4096
@@ -97,6 +97,7 @@ def embed_hashed(df: DataFrame, id_col: str, tokens: Column, dims: int = 64,
     Returns the id, the ``keep`` columns unchanged, and ``embedding``.
     """
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     picked = df.select(id_col, *keep, tokens.alias("_tokens"))
     names = [id_col, *keep]
 

@@ -40,8 +40,10 @@ SELECT (SELECT count(*) FROM documents) AS n_documents, count(DISTINCT term) AS
 def index_build(t: Tables) -> DataFrame:
     """Writes an index anew and counts what is in it."""
     index = KeywordIndex.build(roles.library(t), fresh_dir(t.spark, "keyword-index"))
-    return index.blocks.agg(F.lit(index.documents).alias("n_documents"), F.count_distinct("term").alias("n_terms"),
-                            F.sum(F.size("docs")).alias("n_postings"), F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n_occurrences"))
+    terms = index.terms.agg(F.count(F.lit(1)).alias("n_terms"))
+    occurrences = F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda a, x: a + x))
+    return (index.blocks.agg(F.sum(F.size("docs")).alias("n_postings"), occurrences.alias("n_occurrences")).crossJoin(terms)
+            .select(F.lit(index.documents).alias("n_documents"), "n_terms", "n_postings", "n_occurrences"))
 
 
 @query("chunk_documents", r"""WITH d AS (

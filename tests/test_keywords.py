@@ -56,6 +56,29 @@ def test_postings_are_those_of_the_documents(library, index):
     assert index.documents == 403
 
 
+def test_documents_are_cut_into_slabs_where_they_are_read(spark, library, tmp_path, monkeypatch):
+    """Bounded by documents and by lexemes; every document, empty ones too, is in one slab, and no lexeme list is shuffled."""
+    monkeypatch.setattr(W, "SLAB_LEXEMES", 60)
+    index = KeywordIndex.build(library, str(tmp_path / "cut"), slab=7)
+    known = library.filter("doc_id IS NOT NULL")
+    held = index.slab_documents.join(known, F.col("doc") == F.col("doc_id")).selectExpr("slab", "coalesce(size(tokens), 0) AS n")
+    sizes = [tuple(r) for r in held.groupBy("slab").agg(F.count("n"), F.greatest(F.sum("n"), F.lit(0))).select("count(n)", F.col("greatest(sum(n), 0)")).collect()]
+    assert sum(n for n, _ in sizes) == known.count() == index.slab_documents.select("doc").distinct().count()
+    assert len(sizes) == index.slabs and all(n <= 7 and lexemes <= 60 for n, lexemes in sizes)
+    assert rows(index.postings().select("term", "doc_id", "tf")) == rows(R.postings(known, "doc_id").select("term", "doc_id", "tf"))
+
+
+def test_packed_slabs_come_back_as_blocks():
+    ids, words = np.array([9, 4, 30]), [["b", "a", "b"], ["a"], None]
+    batch = W.packed_slab(5, ids, W.pa.array(words, W.pa.list_(W.pa.string())), 1)
+    folders = {n: [p] for n, p in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())}
+    assert sorted(folders) == [-1, 0]
+    assert W.folder_blocks(-1, [5], folders[-1], 1.0, 1.2, 0.75).column(2).to_pylist() == [[4, 9, 30]]
+    twice = W.folder_blocks(0, [7, 5], folders[0] * 2, 4 / 3, 1.2, 0.75).to_pylist()
+    assert [(r["term"], r["slab"], r["docs"], r["tfs"], r["sizes"], r["top_tf"], len(r["tops"])) for r in twice] == [
+        ("a", 5, [4, 9], [1, 1], [1, 3], 1, 1), ("a", 7, [4, 9], [1, 1], [1, 3], 1, 1), ("b", 5, [9], [2], [3], 2, 1), ("b", 7, [9], [2], [3], 2, 1)]
+
+
 def test_other_folders_are_not_read(index):
     terms = ["w1", "rare"]
     folders = {f"bucket={W.term_bucket(t, index.buckets)}/" for t in terms}
