@@ -27,6 +27,8 @@ from millrace.llm.words import LOWER, hash_words, mix, signed
 CUTOFF, REST = 5, 0.05
 #: Text of one block: larger ones repeat fewer n-grams, smaller ones take less memory.
 BLOCK_BYTES = 3 << 20
+#: N-grams of a slice's lists that are sorted at a time, on average.
+STEP = 1 << 18
 _BEGIN, _END = np.uint64(0x5EED0000BE91), np.uint64(0x5EED00000E4D)
 _ZERO = np.uint64(0)
 
@@ -131,21 +133,35 @@ def add_up(lists: DataFrame) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         where, level = table.column("slice")[0].as_py(), table.column("level")[0].as_py()
         rows = sorted(zip(*(table.column(c).to_pylist() for c in ("block", "keys", "counts"))))
-        lists = [unpack_numbers(k, True) for _, k, _ in rows]
-        keys, first, place = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
-        counts = np.concatenate([unpack_numbers(c) for _, _, c in rows])
-        totals = np.bincount(place, counts, len(keys)).astype(np.int64)
-        owned = np.zeros(len(place), bool)
-        owned[first] = True
-        seen = totals > 0
-        stats = [*np.bincount(np.minimum(totals[seen], CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2].tolist(), int(totals.sum()), int(seen.sum())]
-        out = [("table", where, level, None, pack_numbers(keys[seen], True), pack_numbers(totals[seen]), None, stats)]
-        at, last = 0, None
-        for (block, _, _), own in zip(rows, lists):
-            here = slice(at, at + len(own))
-            at += len(own)
+        names, lists, values = ([r[0] for r in rows], [unpack_numbers(k, True) for _, k, _ in rows], [unpack_numbers(c) for _, _, c in rows])
+        del rows
+        low, high = min(int(x[0]) for x in lists), max(int(x[-1]) for x in lists)
+        steps = 1 + sum(map(len, lists)) // STEP
+        edges = np.array([low + (high - low) * i // steps for i in range(1, steps)], np.uint64)
+        cuts = [[0, *np.searchsorted(x, edges).tolist(), len(x)] for x in lists]
+        answers, owners = [[] for _ in lists], [[] for _ in lists]
+        stored, stored_counts = [], []
+        for i in range(steps):  # hash range by hash range, so that the sort takes little memory
+            spans = [slice(*c[i:i + 2]) for c in cuts]
+            keys, first, place = np.unique(np.concatenate([x[s] for x, s in zip(lists, spans)]), return_index=True, return_inverse=True)
+            totals = np.bincount(place, np.concatenate([v[s] for v, s in zip(values, spans)]), len(keys)).astype(np.int64)
+            owned = np.zeros(len(place), bool)
+            owned[first] = True
+            stored.append(keys[totals > 0])
+            stored_counts.append(totals[totals > 0])
+            at = 0
+            for j, s in enumerate(spans):
+                here = slice(at, at := at + s.stop - s.start)
+                answers[j].append(totals[place[here]].astype(np.uint32 if totals.max(initial=0) < 1 << 32 else np.int64))
+                owners[j].append(owned[here])
+        del lists, values
+        seen = np.concatenate(stored_counts)
+        stats = [*np.bincount(np.minimum(seen, CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2].tolist(), int(seen.sum()), len(seen)]
+        out = [("table", where, level, None, pack_numbers(np.concatenate(stored), True), pack_numbers(seen), None, stats)]
+        last = None
+        for block, totals, owned in zip(names, answers, owners):
             if block != last:  # equal blocks count each, and share one answer
-                out.append(("answer", where, level, block, None, pack_numbers(totals[place[here]]), np.packbits(owned[here]).tobytes(), None))
+                out.append(("answer", where, level, block, None, pack_numbers(np.concatenate(totals)), np.packbits(np.concatenate(owned)).tobytes(), None))
             last = block
         kinds = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
