@@ -392,3 +392,16 @@ def test_vocabulary_file(tmp_path):
     v = byte_bpe.Vocabulary.load(str(path), r"\S+|\s+")
     assert byte_bpe.encode_word(b"ab", v.ranks) == [97, 98] and byte_bpe.encode_word(b"", v.ranks) == []
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_katz_lists_merge_alike_in_one_range_and_in_many(spark, monkeypatch):
+    keys = [np.array([1, 5, 9], np.uint64), np.array([5, 9, 1 << 63], np.uint64), np.array([2], np.uint64)]
+    counts = [np.array([0, 2, 1], np.uint64), np.array([1, 0, 3], np.uint64), np.array([0], np.uint64)]
+    lists = spark.createDataFrame([(0, 1, bytes([i]), pack_numbers(k, True), pack_numbers(c)) for i, (k, c) in enumerate(zip(keys, counts))],
+                                  "slice int, level int, block binary, keys binary, counts binary")
+    for step in (1 << 18, 2):
+        monkeypatch.setattr(katz, "STEP", step)
+        got = {r.block and bytes(r.block): r for r in katz.add_up(lists).collect()}
+        assert unpack_numbers(got[None]["keys"], True).tolist() == [5, 9, 1 << 63] and unpack_numbers(got[None]["counts"]).tolist() == [3, 1, 3]
+        assert [unpack_numbers(got[bytes([i])]["counts"]).tolist() for i in range(3)] == [[0, 3, 1], [3, 1, 3], [0]]
+        assert [np.unpackbits(np.frombuffer(got[bytes([i])]["owned"], np.uint8))[:3].tolist() for i in range(3)] == [[1, 1, 1], [0, 0, 1], [1, 0, 0]]
