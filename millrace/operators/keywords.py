@@ -12,6 +12,7 @@ not scored for a question whose blocks together cannot reach it, or the k-th sco
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from millrace.functions.vectors import BestRows
 from millrace.operators.keyed import last_n_per_key
 from millrace.operators.retrieval import QUESTION_BOUND, SCORE_DIGITS
-from millrace.session import bound_batches, fresh_dir, ship_package
+from millrace.session import bound_batches, fresh_dir, ship_package, unsorted_folders
 
 #: Documents and lexemes of a slab at most (a longer document is a slab by itself); lexemes of a folder of terms, and of one file in it.
 SLAB, SLAB_LEXEMES, FOLDER_POSTINGS, FILE_POSTINGS = 2048, 2_000_000, 20_000_000, 2_000_000
@@ -41,12 +42,12 @@ _BLOCK_NAMES = ["term", "slab", "docs", "tfs", "sizes", "tops", "top_tf", "bucke
 
 
 def term_bucket(term: str, buckets: int) -> int:
-    """Folder of a term: the first eight hex digits of its MD5 decide."""
-    return int(hashlib.md5(term.encode()).hexdigest()[:8], 16) % buckets
+    """Folder of a term: its CRC-32 decides."""
+    return zlib.crc32(term.encode()) % buckets
 
 
 def _bucket(term: Column, buckets: int) -> Column:
-    return F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % F.lit(buckets)
+    return F.crc32(term.cast("binary")) % F.lit(buckets)
 
 
 def bm25_gain(tf: np.ndarray, size: np.ndarray, mean: float, k1: float, b: float) -> np.ndarray:
@@ -233,7 +234,6 @@ class KeywordIndex:
         buckets = max(16, min(4096, -(-total // FOLDER_POSTINGS)))
         mean = total / n if total else 1.0
         files = max(1, -(-total // (buckets * FILE_POSTINGS)))
-        parts = max(-(-total // FILE_POSTINGS), min(buckets, spark.sparkContext.defaultParallelism))
 
         def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.RecordBatch] = []
@@ -275,14 +275,17 @@ class KeywordIndex:
             if held:
                 yield from blocks(at[0], held)
 
-        (rows.mapInArrow(cut, "bucket int, slab long, packed binary").select("bucket", F.pmod("slab", F.lit(files)).alias("file"), "slab", "packed")
-         .repartition(parts, "bucket", "file").sortWithinPartitions("bucket", "file", "slab").mapInArrow(merge, f"{_BLOCK}, bucket int")
-         .write.partitionBy("bucket").parquet(f"{root}/blocks"))
+        # Each task merges and writes one file of one folder: equal shares, and blocks go out as they come, not sorted again by folder.
+        merged = (rows.mapInArrow(cut, "bucket int, slab long, packed binary").select("bucket", F.pmod("slab", F.lit(files)).cast("int").alias("file"), "slab", "packed")
+                  .repartitionById((buckets + 1) * files, (F.col("bucket") + 1) * F.lit(files) + F.col("file"))
+                  .sortWithinPartitions("bucket", "file", "slab").mapInArrow(merge, f"{_BLOCK}, bucket int"))
+        with unsorted_folders(spark):
+            merged.write.partitionBy("bucket").parquet(f"{root}/blocks")
         stored = spark.read.schema(f"{_BLOCK}, bucket int").parquet(f"{root}/blocks")
         slabs = max(1, stored.filter("bucket < 0").count())
         tops = F.array(*[F.coalesce(F.max(F.get("tops", F.lit(i))), F.lit(0.0)) for i in range(len(LEVELS))])
         (stored.filter("bucket >= 0").groupBy("bucket", "term").agg(F.sum(F.size("docs")).alias("df"), tops.alias("tops"))
-         .repartition("bucket").sortWithinPartitions("term").write.partitionBy("bucket").parquet(f"{root}/terms"))
+         .repartition("bucket").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{root}/terms"))
         numbers = (n, slabs, buckets, float(mean), float(k1), float(b))
         spark.createDataFrame([numbers], "documents long, slabs long, buckets long, mean_length double, k1 double, b double").coalesce(1).write.parquet(f"{root}/numbers")
         return cls(spark, root, *numbers)
