@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -84,7 +84,15 @@ def _unpack_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint32, n, 4), np.frombuffer(raw, np.uint32, -1, 4 + 4 * n)
 
 
-def by_slice(words: set[bytes], slices: int) -> list[tuple[int, list[bytes]]]:
+def distinct_words(pieces: list[list[str]]) -> tuple[list[bytes], np.ndarray]:
+    """Distinct pre-tokens of some texts, and for every occurrence its place among them."""
+    place: dict[str, int] = {}
+    known = place.setdefault
+    occurs = np.fromiter((known(w, len(place)) for p in pieces for w in p), np.int64, sum(map(len, pieces)))
+    return [w.encode() for w in place], occurs
+
+
+def by_slice(words: Collection[bytes], slices: int) -> list[tuple[int, list[bytes]]]:
     """Distinct words in sorted order, by the slice that their hash names."""
     ordered = sorted(words)
     at = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in ordered), np.uint64, len(ordered)) % np.uint64(slices)
@@ -148,17 +156,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None, d
         tokens = token_table(shared.value) if decoded else None
         for names, texts in zip(left.column("doc_id").to_pylist(), left.column("texts").to_pylist()):
             pieces = [cut(t.decode("utf-8", "replace")) for t in unpack(texts)]
+            found, occurs = distinct_words(pieces)
             place: dict[bytes, int] = {}
             sizes, flat = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
-            for at, words in by_slice({w.encode() for p in pieces for w in p}, slices):
+            for at, words in by_slice(found, slices):
                 for word in words:
-                    place[word.decode()] = len(place)
+                    place[word] = len(place)
                 n, values = _unpack_ids(coded[at])
                 sizes.append(n)
                 flat.append(values)
             ends = np.r_[0, np.cumsum(np.concatenate(sizes), dtype=np.int64)]
             table = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat).astype(np.int32)))
-            order = np.fromiter((place[w] for p in pieces for w in p), np.int64, sum(map(len, pieces)))
+            order = np.fromiter((place[w] for w in found), np.int64, len(found))[occurs]
             taken = table.take(pa.array(order))
             at = np.r_[0, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))]
             offsets = taken.offsets.to_numpy()[at]

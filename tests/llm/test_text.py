@@ -56,6 +56,12 @@ def test_bpe_small_blocks_and_slices(spark, vocabulary, library, monkeypatch):
     assert ordered((r.doc_id, list(r.ids)) for r in got) == ordered((i, library.encode_ordinary(t)) for i, t in rows)
 
 
+def test_bpe_words_of_a_block_are_numbered_once():
+    words, occurs = byte_bpe.distinct_words([["a", " é", "a"], [], [" é", "b"]])
+    assert words == [b"a", " é".encode(), b"b"] and occurs.tolist() == [0, 1, 0, 1, 2]
+    assert byte_bpe.distinct_words([])[0] == [] and byte_bpe.distinct_words([[]])[1].tolist() == []
+
+
 def test_bpe_empty_table_clashing_columns_and_null_ids(spark, vocabulary):
     assert byte_bpe.encode(docs_frame(spark).limit(0), vocabulary).collect() == []
     plain, clash = (byte_bpe.encode(docs_frame(spark, clashing=c), vocabulary).collect() for c in (False, True))
