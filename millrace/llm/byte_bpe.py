@@ -3,6 +3,7 @@
 Documents are packed into blocks. Each block sends its distinct pre-tokens to slices of the
 vocabulary (a global shuffle of distinct words), a slice encodes every word once and sends the ids
 back to the blocks that asked, and a block puts its documents together again by pre-token position.
+Where the pattern lets a text be cut at single spaces, each distinct segment of a block is cut into pre-tokens once.
 Lists of words and ids travel compressed, one row per block and slice. Decoding joins ids with the
 token-byte table.
 """
@@ -28,19 +29,24 @@ from millrace.llm.staging import bound_batches
 
 #: Most slices of the distinct words.
 MOST_SLICES = 4096
+_BREAK, _BLANK = regex.compile(r" (?=\S)"), pa.array(["", *regex.findall(r"\s", "".join(map(chr, range(0x3100))))], pa.large_string())
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Token bytes to rank, and the pattern that cuts text into pre-tokens. Its size is the tokenizer's."""
+    """Token bytes to rank, and the pattern that cuts text into pre-tokens. Its size is the tokenizer's.
+
+    ``spaced`` says that cutting a text before a space that no blank follows changes none of its matches.
+    """
 
     ranks: dict[bytes, int]
     pattern: str
+    spaced: bool = False
 
     @classmethod
-    def load(cls, path: str, pattern: str) -> Vocabulary:
+    def load(cls, path: str, pattern: str, spaced: bool = False) -> Vocabulary:
         with open(path, "rb") as lines:
-            return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(None, lines))}, pattern)
+            return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(None, lines))}, pattern, spaced)
 
 
 def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -84,6 +90,43 @@ def _unpack_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint32, n, 4), np.frombuffer(raw, np.uint32, -1, 4 + 4 * n)
 
 
+def cut_texts(texts: list[str], vocabulary: Vocabulary) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Pre-tokens of the distinct segments of some texts, and how many each has; the segments' places in the texts, and how many each text has.
+
+    A segment begins with a text, or with a space that no blank follows if the vocabulary is ``spaced``.
+    """
+    cut, n = regex.compile(vocabulary.pattern).findall, len(texts)
+    if not vocabulary.spaced or not n:
+        heads, inner, places, counts = texts, pa.array([], pa.large_string()), np.arange(n), np.ones(n, np.int64)
+    else:
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        blank = pc.is_in(pc.utf8_slice_codeunits(coded.dictionary, 0, 1), _BLANK).to_numpy(zero_copy_only=False)
+        odd = np.unique(np.repeat(np.arange(n), lists.value_lengths().to_numpy())[blank[coded.indices.to_numpy()]]) if blank.any() else []
+        if len(odd):  # spaces before blanks or at an end
+            order = np.arange(n)
+            order[odd] = n + np.arange(len(odd))
+            lists = pa.concat_arrays([lists, pa.array([_BREAK.split(texts[i]) for i in odd.tolist()], lists.type)]).take(pa.array(order))
+            coded = lists.flatten().dictionary_encode()
+        counts, places = lists.value_lengths().to_numpy().astype(np.int64), coded.indices.to_numpy().astype(np.int64)
+        first = np.cumsum(counts) - counts  # has no space before it
+        heads = coded.dictionary.take(pa.array(places[first])).to_pylist()
+        places[first] = -1
+        used = np.bincount(places + 1, minlength=len(coded.dictionary) + 1)[1:] > 0
+        inner = coded.dictionary.filter(pa.array(used))
+        places = (np.r_[np.cumsum(used), 0] - 1 + n)[places]
+        places[first] = np.arange(n)
+    pieces = [cut(h) for h in heads]
+    words = [w for p in pieces for w in p]
+    sizes = np.fromiter(map(len, pieces), np.int64, n)
+    if len(inner):
+        own = cut(" " + pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner.cast(pa.string())), " ")[0].as_py())
+        words += own
+        ends = np.cumsum(pc.utf8_length(inner).to_numpy() + 1)
+        sizes = np.r_[sizes, np.diff(np.searchsorted(np.cumsum(np.fromiter(map(len, own), np.int64, len(own))), ends, "right"), prepend=0)]
+    return words, sizes, places, counts
+
+
 def distinct_words(pieces: list[list[str]]) -> tuple[list[bytes], np.ndarray]:
     """Distinct pre-tokens of some texts, and for every occurrence its place among them."""
     place: dict[str, int] = {}
@@ -113,16 +156,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None, d
     slices = slices or min(MOST_SLICES, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = spark.sparkContext.broadcast(vocabulary)  # as large as the tokenizer, whatever the corpus
     packed = blocks(docs)
-    pattern = vocabulary.pattern
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = regex.compile(pattern).findall
         for batch in batches:
             for block, texts in zip(batch.column("block").to_pylist(), batch.column("texts").to_pylist()):
-                found: set[str] = set()
-                for text in unpack(texts):
-                    found.update(cut(text.decode("utf-8", "replace")))
-                rows = by_slice({w.encode() for w in found}, slices)
+                found = set(cut_texts([t.decode("utf-8", "replace") for t in unpack(texts)], shared.value)[0])
+                rows = by_slice([w.encode() for w in found], slices)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([s for s, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.binary()),
                      pa.array([pack(w) for _, w in rows], pa.binary())], ["slice", "block", "words"])
@@ -150,17 +189,16 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None, d
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         kind = left.schema.field("doc_id").type.value_type
-        cut = regex.compile(pattern).findall
         coded = dict(zip(right.column("slice").to_pylist(), right.column("coded").to_pylist()))
         ids, rows, back = [], [], []
         tokens = token_table(shared.value) if decoded else None
         for names, texts in zip(left.column("doc_id").to_pylist(), left.column("texts").to_pylist()):
-            pieces = [cut(t.decode("utf-8", "replace")) for t in unpack(texts)]
-            found, occurs = distinct_words(pieces)
+            words, lengths, places, counts = cut_texts([t.decode("utf-8", "replace") for t in unpack(texts)], shared.value)
+            found, occurs = distinct_words([words])
             place: dict[bytes, int] = {}
             sizes, flat = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
-            for at, words in by_slice(found, slices):
-                for word in words:
+            for at, own in by_slice(found, slices):
+                for word in own:
                     place[word] = len(place)
                 n, values = _unpack_ids(coded[at])
                 sizes.append(n)
@@ -169,8 +207,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, slices: int | None = None, d
             table = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat).astype(np.int32)))
             order = np.fromiter((place[w] for w in found), np.int64, len(found))[occurs]
             taken = table.take(pa.array(order))
-            at = np.r_[0, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))]
-            offsets = taken.offsets.to_numpy()[at]
+            at = np.r_[0, np.cumsum(lengths)]  # segment by segment, then text by text
+            taken = pa.LargeListArray.from_arrays(pa.array(taken.offsets.to_numpy()[at]), taken.values).take(pa.array(places))
+            offsets = taken.offsets.to_numpy()[np.r_[0, np.cumsum(counts)]]
             values = taken.values
             ids.extend(names)
             rows.append(pa.LargeListArray.from_arrays(pa.array(offsets - offsets[0]), values.slice(offsets[0], offsets[-1] - offsets[0])))

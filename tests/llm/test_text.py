@@ -62,6 +62,23 @@ def test_bpe_words_of_a_block_are_numbered_once():
     assert byte_bpe.distinct_words([])[0] == [] and byte_bpe.distinct_words([[]])[1].tolist() == []
 
 
+def test_bpe_texts_are_cut_segment_by_segment(vocabulary):
+    """Every match is that of the whole text, and a segment that comes again is not cut again."""
+    import random
+    import regex
+    whole = regex.compile(vocabulary.pattern).findall
+    rng = random.Random(7)
+    some = [*" " * 8, *"ab1.-é\n\t\r\x1c\x1f\x85\u00a0\u200b\u3000\u0301\0", "'s", "'", "\U0001f600"]
+    texts = ["", " ", "  ", " a", "a ", *("".join(rng.choices(some, k=rng.randint(0, 14))) for _ in range(3000))]
+    for tokenizer in (vocabulary, byte_bpe.Vocabulary(vocabulary.ranks, vocabulary.pattern)):
+        for given in (texts, texts[:5], []):
+            words, sizes, places, counts = byte_bpe.cut_texts(given, tokenizer)
+            ends, at = np.cumsum(sizes), np.cumsum(counts) - counts
+            pieces = [words[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist())]
+            assert [[w for i in places[a:a + n].tolist() for w in pieces[i]] for a, n in zip(at.tolist(), counts.tolist())] == [whole(t) for t in given]
+    assert len(byte_bpe.cut_texts(["one two." + " one two." * 1000] * 3, vocabulary)[0]) == 3 + 3
+
+
 def test_bpe_empty_table_clashing_columns_and_null_ids(spark, vocabulary):
     assert byte_bpe.encode(docs_frame(spark).limit(0), vocabulary).collect() == []
     plain, clash = (byte_bpe.encode(docs_frame(spark, clashing=c), vocabulary).collect() for c in (False, True))
