@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.text import strings
 from millrace.functions.vectors import BestRows
 from millrace.operators.keyed import last_n_per_key
 from millrace.operators.retrieval import QUESTION_BOUND, SCORE_DIGITS
@@ -72,7 +73,7 @@ def packed_slab(slab: int, ids: np.ndarray, tokens: pa.Array, buckets: int) -> p
     starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]][:len(term)])
     counts = np.diff(np.r_[starts, len(term)])
     words = coded.dictionary.take(pa.array(term[starts]))
-    folder = np.fromiter((term_bucket(t, buckets) for t in words.to_pylist()), np.int64, len(words))
+    folder = np.fromiter((term_bucket(t, buckets) for t in strings(words)), np.int64, len(words))
     by_folder = np.argsort(folder, kind="stable")
     found, first = np.unique(folder[by_folder], return_index=True)
     out = [(-1, _pack(ids=ids))]
