@@ -8,6 +8,7 @@ from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -158,11 +159,19 @@ def features_of(tokens: list[str], dims: int) -> tuple[np.ndarray, np.ndarray]:
     return bucket, np.where(digests[:, 4] & 16, -1.0, 1.0).astype(np.float32)
 
 
+def word_lists(column: pa.Array) -> pa.Array:
+    """Lists of words, given as such or joined by one space; an empty string holds none."""
+    if not pa.types.is_string(column.type) and not pa.types.is_large_string(column.type):
+        return column
+    return pc.split_pattern(pc.if_else(pc.equal(column, ""), None, column), " ")
+
+
 def hashed_features(tokens: pa.Array, dims: int) -> np.ndarray:
-    """Signed token counts per bucket, one row per token list.
+    """Signed token counts per bucket, one row per token list (or per string of tokens, see :func:`word_lists`).
 
     Each distinct token of the batch is looked up once; the rest is array arithmetic.
     """
+    tokens = word_lists(tokens)
     lengths = np.nan_to_num(tokens.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
     out = np.zeros((len(lengths), dims), dtype=np.float32)
     encoded = tokens.flatten().dictionary_encode()

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import strings
+from millrace.functions.text import strings, word_lists
 from millrace.functions.vectors import BestRows
 from millrace.operators.keyed import last_n_per_key
 from millrace.operators.retrieval import QUESTION_BOUND, SCORE_DIGITS
@@ -223,12 +223,16 @@ class KeywordIndex:
     @classmethod
     def build(cls, docs: DataFrame, root: str, doc_id: str = "doc_id", tokens: str = "tokens", k1: float = 1.2, b: float = 0.75,
               slab: int = SLAB) -> KeywordIndex:
-        """Write the index of ``docs``: unique non-NULL long ids, and lexemes (NULL counts as none)."""
+        """Write the index of ``docs``: unique non-NULL long ids, and lexemes (NULL counts as none),
+        as lists or as strings in which they are joined by one space."""
         spark = docs.sparkSession
         ship_package(spark)
         bound_batches(spark)
         rows = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(tokens).alias("tokens"))
-        n, total, twice = (rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("tokens"), F.lit(0))).alias("size"))
+        joined = rows.schema["tokens"].dataType.typeName() == "string"
+        gaps = F.octet_length("tokens") - F.octet_length(F.replace("tokens", F.lit(" "), F.lit("")))
+        size = F.when(F.col("tokens") != "", gaps + 1) if joined else F.size("tokens")
+        n, total, twice = (rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(size, F.lit(0))).alias("size"))
                            .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0)), F.min(F.when(F.col("n") > 1, F.col("doc")))).first())
         if twice is not None:
             raise ValueError(f"document {twice} is there twice; an index needs unique ids")
@@ -247,6 +251,7 @@ class KeywordIndex:
                 return packed_slab(name, ids, table.column("tokens").combine_chunks(), buckets)
 
             for batch in batches:
+                batch = pa.RecordBatch.from_arrays([batch.column("doc"), word_lists(batch.column("tokens"))], ["doc", "tokens"])
                 sizes = np.nan_to_num(batch.column("tokens").value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64).tolist()
                 start = 0
                 for i, size in enumerate(sizes):
