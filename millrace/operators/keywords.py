@@ -79,7 +79,9 @@ def packed_slab(slab: int, ids: np.ndarray, tokens: pa.Array, buckets: int) -> p
     out = [(-1, _pack(ids=ids))]
     for name, own in zip(found.tolist(), np.split(by_folder, first[1:])):
         at = _spans(starts[own], counts[own])
-        out.append((name, _pack(terms=words.take(pa.array(own)), counts=counts[own], places=doc[at], tfs=tf[at], ids=ids, sizes=sizes)))
+        used = np.bincount(doc[at], minlength=len(ids)) > 0  # else ids and sizes would grow with slabs times folders
+        out.append((name, _pack(terms=words.take(pa.array(own)), counts=counts[own], places=(np.cumsum(used) - 1)[doc[at]], tfs=tf[at],
+                                ids=ids[used], sizes=sizes[used])))
     return pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int32()), pa.array(np.full(len(out), slab)), pa.array([p for _, p in out], pa.binary())],
                                       ["bucket", "slab", "packed"])
 
