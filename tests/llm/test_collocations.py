@@ -65,6 +65,26 @@ def test_small_steps_and_slices(spark, monkeypatch):
     assert ordered(got.collect()) == ordered(brute(TEXTS, 6))
 
 
+def test_files_have_few_blocks_and_blocks_are_packed(spark):
+    """Spark reads and writes the rows of a whole file at once, however many blocks a task has."""
+    relation, key = collocations.occurrences(frame(spark, TEXTS).coalesce(1), 300), ["names"]
+    assert relation.count() > 20
+    for _ in range(3):
+        files = relation.groupBy(F.input_file_name()).count().agg(F.max("count"), F.count(F.lit(1))).first()
+        assert files[0] <= collocations.FILE_BLOCKS and files[1] > 2
+        assert {dict(relation.dtypes)[c] for c in ("places", "codes")} == {"binary"}
+        relation = collocations.extend(relation, collocations.frequent(relation, key, 2), key, False)
+        key = ["left", "right"]
+    assert {dict(relation.dtypes)[c] for c in ("lefts", "rights", "counts")} == {"binary"}
+
+
+def test_nothing_is_sent_to_all_tasks_beyond_the_bounds(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE_PAIRS", 7)
+    monkeypatch.setattr(collocations, "LOOKUP_BYTES", 0)
+    got = collocations.phrases(frame(spark, TEXTS), support=6, bound=0, block_bytes=900)
+    assert ordered(got.collect()) == ordered(brute(TEXTS, 6))
+
+
 def test_overlaps_repeats_and_phrases_inside_longer_ones(spark):
     rows = [("en", "a a a a a a. new york city hall. new york city hall. new york")] * 3 + [("fr", "x y. x y. x y")] * 2
     assert ordered(collocations.phrases(frame(spark, rows), support=3).collect()) == ordered(brute(rows, 3))
