@@ -37,7 +37,7 @@ BLOCK_BYTES = 2 << 20
 FILE_BLOCKS = 8
 #: Frequent groups, and bytes of their words, up to which they are sent to every task (16 bytes a pair); more are looked up in slices.
 GROUP_BOUND, WORD_BYTES = 2_000_000, 16 << 20
-#: File size up to which the phrases one word shorter are broadcast; in memory they are some ten times larger.
+#: File size up to which the phrases one word shorter are broadcast; in memory they are some twenty times larger.
 LOOKUP_BYTES = 4 << 20
 #: Pairs that a task adds up before it sends them, and pairs of one slice.
 TASK_PAIRS, SLICE_PAIRS = 1_000_000, 1_500_000

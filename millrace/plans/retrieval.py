@@ -42,8 +42,9 @@ def index_build(t: Tables) -> DataFrame:
     index = KeywordIndex.build(roles.library(t), fresh_dir(t.spark, "keyword-index"))
     terms = index.terms.agg(F.count(F.lit(1)).alias("n_terms"))
     occurrences = F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda a, x: a + x))
-    return (index.blocks.agg(F.sum(F.size("docs")).alias("n_postings"), occurrences.alias("n_occurrences")).crossJoin(terms)
-            .select(F.lit(index.documents).alias("n_documents"), "n_terms", "n_postings", "n_occurrences"))
+    postings = index.blocks.agg(F.sum(F.size("docs")).alias("n_postings"), occurrences.alias("n_occurrences"))
+    return (terms.unionByName(postings, allowMissingColumns=True)
+            .agg(F.lit(index.documents).alias("n_documents"), *(F.max(c).alias(c) for c in ("n_terms", "n_postings", "n_occurrences"))))
 
 
 @query("chunk_documents", r"""WITH d AS (
